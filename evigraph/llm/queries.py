@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..common import table
 from ..plans.registry import Registry
-from . import components, ranking, survivors
+from . import bpe, components, leakage, ranking, survivors, truncation
 
 R = Registry()
 
@@ -105,3 +105,28 @@ SELECT id AS node_id, min(g) AS group_id FROM c GROUP BY id
 )
 def p6_found(spark, sf):
     return components.proposal_groups(table(spark, sf, "merge_proposals_referenced_sources"))
+
+
+@R.add("p8_ids")
+def p8_ids(spark, sf):
+    return bpe.encode_corpus(table(spark, sf, "documents"))
+
+
+@R.add("p9_found")
+def p9_found(spark, sf):
+    return leakage.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "item_id")
+
+
+@R.add("p9_near")
+def p9_near(spark, sf):
+    return leakage.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items"), span=leakage.SPAN)
+
+
+@R.add("p10_found")
+def p10_found(spark, sf):
+    return truncation.truncated(table(spark, sf, "documents")).where("cut").select("doc_id")
+
+
+@R.add("p10_by_source")
+def p10_by_source(spark, sf):
+    return truncation.truncation_by_source(truncation.truncated(table(spark, sf, "documents")))
