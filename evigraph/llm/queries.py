@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..common import table
 from ..plans.registry import Registry
-from . import bpe, components, leakage, ranking, survivors, truncation
+from . import bpe, components, leakage, neighbours, ranking, survivors, truncation
 
 R = Registry()
 
@@ -92,6 +92,20 @@ def p4_source_quality(spark, sf):
     return survivors.spelling_truth(table(spark, sf, "canonical_spelling_outvoted"))[1]
 
 
+def _similar(spark, sf):
+    return neighbours.similar_ids(table(spark, sf, "embedding_model"), table(spark, sf, "text_embeddings"))
+
+
+@R.add("p5_found")
+def p5_found(spark, sf):
+    return neighbours.similar_pairs(_similar(spark, sf))
+
+
+@R.add("p5_similar")
+def p5_similar(spark, sf):
+    return _similar(spark, sf)
+
+
 @R.add(
     "p6_found",
     f"""

@@ -8,9 +8,10 @@ from pyspark.sql import Window as W
 
 from ..session import materialise
 
-#: A length is a spike if at least SPIKE_TEXTS different texts of a source have it, SPIKE_TIMES
-#: as many as the mean of the lengths up to SPIKE_NEAR away on either side.
-SPIKE_TEXTS, SPIKE_TIMES, SPIKE_NEAR = 4, 8.0, 40
+#: A length is a spike if at least SPIKE_TEXTS different texts of a source have it, a share
+#: SPIKE_SHARE of the source's texts, and SPIKE_TIMES as many as the mean of the lengths up to
+#: SPIKE_NEAR away on either side.
+SPIKE_TEXTS, SPIKE_SHARE, SPIKE_TIMES, SPIKE_NEAR = 4, 0.01, 8.0, 40
 #: A line's first word marks a closing line if so large a share of all different texts end
 #: with such a line unpunctuated, and so large a share of such lines stands at the end.
 CLOSING_SHARE, CLOSING_LAST = 0.001, 0.5
@@ -32,6 +33,8 @@ def described(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per non-blank text: its lengths without and with the mark, and how its end looks."""
     d = documents.select(F.col(key).alias("_key"), F.col("source").alias("_source"), F.col("n_chars").cast("bigint").alias("_said"), F.col("text").alias("_text"))
     d = d.withColumn("_body", _clean(F.col("_text"))).where(F.length("_body") > 0)
+    # addresses and rules after a sentence don't make its end open
+    d = d.withColumn("_core", F.regexp_replace("_body", r"(?:\s+(?:https?://\S+|[-=_*~#]{3,}))+$", ""))
     d = d.withColumn("_bare", F.regexp_replace(F.regexp_replace("_body", MARKS, ""), DOTS, ""))
     last = F.element_at(F.split("_body", "\r\n|\n|\r"), -1)
     return d.select(
@@ -46,7 +49,7 @@ def described(documents: DataFrame, key: str = "doc_id") -> DataFrame:
         F.col("_body").rlike(DOTS).alias("dotted"),
         F.col("_bare").rlike(f"[{ENDS}][{AFTER}]*$").alias("bare_ended"),
         F.col("_body").rlike("�+$").alias("broken"),
-        F.col("_body").rlike(f"[{ENDS}][{AFTER}]*$").alias("ended"),
+        F.col("_core").rlike(f"[{ENDS}][{AFTER}]*$").alias("ended"),
         F.col("_body").rlike(r"</\s*[A-Za-z][\w:-]*\s*>$").alias("tag"),
         F.trim(last).alias("last"),
     )
@@ -69,7 +72,9 @@ def spikes(d: DataFrame) -> DataFrame:
     w = W.partitionBy("_source", "unit").orderBy("length")
     near = F.sum("texts").over(w.rangeBetween(-SPIKE_NEAR, SPIKE_NEAR)) - F.sum("texts").over(w.rangeBetween(-1, 1))
     expected = near / F.lit(2.0 * (SPIKE_NEAR - 1))
-    return hist.withColumn("expected", expected).where((F.col("texts") >= SPIKE_TEXTS) & (F.col("texts") >= SPIKE_TIMES * F.col("expected"))).drop("expected")
+    share = F.lit(SPIKE_SHARE) * F.sum("texts").over(W.partitionBy("_source", "unit"))
+    many = (F.col("texts") >= SPIKE_TEXTS) & ((F.col("unit") == "bare") | (F.col("texts") >= F.col("share")))
+    return hist.withColumns({"expected": expected, "share": share}).where(many & (F.col("texts") >= SPIKE_TIMES * F.col("expected"))).drop("expected", "share")
 
 
 def closing_words(documents: DataFrame, d: DataFrame) -> DataFrame:
