@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..common import table
 from ..plans.registry import Registry
-from . import bpe, components, leakage, neighbours, ranking, survivors, truncation
+from . import bpe, components, leakage, names, neighbours, ranking, survivors, truncation
 
 R = Registry()
 
@@ -27,6 +27,16 @@ def _probit_sql(p: str) -> str:
     return f"CASE WHEN {p} < 0.02425 THEN {tail} WHEN {p} > 1 - 0.02425 THEN -({tail}) ELSE {middle} END"
 
 
+@R.add("p2_found")
+def p2_found(spark, sf):
+    return names.same_entity_pairs(names.name_groups(table(spark, sf, "nodes")))
+
+
+@R.add("p2_groups")
+def p2_groups(spark, sf):
+    return names.name_groups(table(spark, sf, "nodes"))
+
+
 _P3_NAMES = ("corroboration_bonus", "base_weight", "confidence")
 
 
