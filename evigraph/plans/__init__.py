@@ -2,6 +2,6 @@
 
 
 def all_registries():
-    from . import training
+    from . import evidence, training
 
-    return [training.R]
+    return [evidence.R, training.R]
