@@ -24,19 +24,21 @@ ENDS = r".!?。！？．｡؟۔।॥։።…"
 AFTER = r"\"'”’»›“‘)\]}）」』】*_"
 
 
-def _clean(c: Column) -> Column:
-    """Without blanks, control characters and blank-like marks at the end."""
-    return F.regexp_replace(c, r"(?U)[\s\p{Cc}\p{Cf}\p{Z}]+$", "")
+#: What is taken off a text's end before it is looked at, and the characters of the end that
+#: the patterns see.
+BLANKS = "".join(chr(c) for c in [*range(33), *range(127, 161), 0xAD, 0x1680, *range(0x2000, 0x2010), *range(0x2028, 0x2030), 0x205F, *range(0x2060, 0x2065), 0x3000, 0xFEFF])
+TAIL = 400
 
 
 def described(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per non-blank text: its lengths without and with the mark, and how its end looks."""
     d = documents.select(F.col(key).alias("_key"), F.col("source").alias("_source"), F.col("n_chars").cast("bigint").alias("_said"), F.col("text").alias("_text"))
-    d = d.withColumn("_body", _clean(F.col("_text"))).where(F.length("_body") > 0)
+    d = d.withColumn("_body", F.rtrim(F.col("_text"), F.lit(BLANKS))).where(F.length("_body") > 0)
+    d = d.withColumn("_end", F.substring("_body", -TAIL, TAIL))
     # addresses and rules after a sentence don't make its end open
-    d = d.withColumn("_core", F.regexp_replace("_body", r"(?:\s+(?:https?://\S+|[-=_*~#]{3,}))+$", ""))
-    d = d.withColumn("_bare", F.regexp_replace(F.regexp_replace("_body", MARKS, ""), DOTS, ""))
-    last = F.element_at(F.split("_body", "\r\n|\n|\r"), -1)
+    d = d.withColumn("_core", F.regexp_replace("_end", r"(?:\s+(?:https?://\S+|[-=_*~#]{3,}))+$", ""))
+    d = d.withColumn("_bare", F.regexp_replace(F.regexp_replace("_end", MARKS, ""), DOTS, ""))
+    last = F.substring_index(F.translate("_body", "\r", "\n"), "\n", -1)
     return d.select(
         "_key",
         "_source",
@@ -44,13 +46,13 @@ def described(documents: DataFrame, key: str = "doc_id") -> DataFrame:
         F.xxhash64("_text").alias("_hash"),
         F.length("_text").alias("chars"),
         F.octet_length("_text").alias("bytes"),
-        F.length(F.col("_bare")).alias("bare"),
-        F.col("_body").rlike(MARKS).alias("marked"),
-        F.col("_body").rlike(DOTS).alias("dotted"),
+        (F.length("_body") - F.length("_end") + F.length("_bare")).alias("bare"),
+        F.col("_end").rlike(MARKS).alias("marked"),
+        F.col("_end").rlike(DOTS).alias("dotted"),
         F.col("_bare").rlike(f"[{ENDS}][{AFTER}]*$").alias("bare_ended"),
-        F.col("_body").rlike("�+$").alias("broken"),
+        F.endswith("_end", F.lit("\ufffd")).alias("broken"),
         F.col("_core").rlike(f"[{ENDS}][{AFTER}]*$").alias("ended"),
-        F.col("_body").rlike(r"</\s*[A-Za-z][\w:-]*\s*>$").alias("tag"),
+        F.col("_end").rlike(r"</\s*[A-Za-z][\w:-]*\s*>$").alias("tag"),
         F.trim(last).alias("last"),
     )
 
@@ -84,7 +86,7 @@ def closing_words(documents: DataFrame, d: DataFrame) -> DataFrame:
     n = distinct.count()
     at_end = distinct.where(~F.col("ended") & ~F.col("tag") & ~F.col("marked")).groupBy(_lead(F.col("last")).alias("lead")).agg(F.count("*").alias("at_end"))
     at_end = at_end.where(F.col("at_end") >= max(3, CLOSING_SHARE * n))
-    lines = documents.select(F.explode(F.split("text", "\r\n|\n|\r")).alias("line")).groupBy(_lead(F.col("line")).alias("lead")).agg(F.count("*").alias("lines"))
+    lines = documents.select(F.explode(F.split(F.translate("text", "\r", "\n"), "\n")).alias("line")).groupBy(_lead(F.col("line")).alias("lead")).agg(F.count("*").alias("lines"))
     return at_end.join(lines, "lead").where(F.col("at_end") >= CLOSING_LAST * F.col("lines")).select("lead")
 
 
