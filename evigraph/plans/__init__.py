@@ -2,6 +2,6 @@
 
 
 def all_registries():
-    from . import evidence, training
+    from . import evidence, pairing, training
 
-    return [evidence.R, training.R]
+    return [evidence.R, pairing.R, training.R]

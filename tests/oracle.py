@@ -41,10 +41,15 @@ def rows(cols, data):
     return sorted(cols), sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
+took: dict[str, float] = {}
+
+
 def compare(spark, name, query, sql, sf):
     """An error text, or '' where both agree."""
     df = query(spark, sf)
+    t = time.time()
     got = rows(df.columns, [tuple(r) for r in df.collect()])
+    took[name] = time.time() - t
     con = connect(sf)
     res = con.execute(sql)
     want = rows([d[0] for d in res.description], res.fetchall())
@@ -92,5 +97,5 @@ if __name__ == "__main__":
         except Exception as x:  # noqa: BLE001
             why, n_rows = f"{type(x).__name__}: {str(x)[:600]}", ""
         bad += bool(why)
-        print(f"{'BAD' if why else 'ok '} {n} {time.time() - t:.1f}s {n_rows} {why}", flush=True)
+        print(f"{'BAD' if why else 'ok '} {n} {time.time() - t:.1f}s (collect {took.get(n, 0):.1f}) {n_rows} {why}", flush=True)
     print("bad:", bad)
