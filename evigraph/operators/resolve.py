@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from ..functions import kernel, text
+from ..functions.kernel import ratio_udf, similarity_udf
+from ..session import materialise
 
 
 def plain_key(c: str | Column) -> Column:
@@ -20,3 +26,134 @@ def name_edges(nodes: DataFrame, key: Column | None = None) -> DataFrame:
     k = k.join(g, "key")
     pair = k.select(F.col("id").alias("a"), "key", "types").join(k.select(F.col("id").alias("b"), "key"), "key").where("a < b")
     return pair.select("a", "b", F.when(F.col("types") > 1, F.lit(0.9)).otherwise(F.lit(0.95)).alias("score"))
+
+
+def near_tokens(tokens: DataFrame, least: float = 0.81) -> DataFrame:
+    """(t, u): pairs of different tokens whose ratio 2 LCS / (lengths) is at least `least`, both ways.
+
+    Lossless: from t to u at most e = (1 - least) x (lengths) letters are dropped or added, and
+    each takes at most two of t's bigrams away. So of t's bigrams, rarest first, one of the
+    first 2 e + 1 is also u's. Only those are joined; candidates are checked by the ratio.
+    """
+    t = tokens.select("t").distinct().where(F.length("t") >= 3)
+    grams = t.select("t", F.length("t").alias("n"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: F.substring(F.col("t"), i, F.lit(2))))).alias("g"))
+    df = grams.groupBy("g").agg(F.count("*").alias("df"))
+    w = W.partitionBy("t").orderBy("df", "g")
+    g = grams.join(df, "g").withColumn("p", F.row_number().over(w))
+    # the longest u still in reach: n x (2 - least) / least
+    longest = F.floor(F.col("n") * F.lit((2 - least) / least))
+    reach = F.floor(F.lit(1 - least) * (F.col("n") + longest))
+    a = g.where(F.col("p") <= 2 * reach + 1).select("t", "n", "g")
+    b = g.select(F.col("t").alias("u"), F.col("n").alias("m"), "g")
+    fits = F.lit(2.0) * F.least("n", "m") >= F.lit(least) * (F.col("n") + F.col("m"))
+    pairs = a.join(b, "g").where(fits & (F.col("t") != F.col("u"))).select(F.least("t", "u").alias("t"), F.greatest("t", "u").alias("u")).distinct()
+    near = pairs.where(ratio_udf("t", "u") >= least)
+    return near.unionByName(near.select(F.col("u").alias("t"), F.col("t").alias("u")))
+
+
+def _name_tokens(names: DataFrame) -> DataFrame:
+    """(kind, name, t, last): the kernel's tokens of each name, last = of its last comma part."""
+    @F.pandas_udf("array<struct<t:string,last:boolean>>")
+    def split(name: pd.Series) -> pd.Series:
+        def one(n):
+            tail = set(kernel.parts(n.split(",")[-1]).tokens)
+            every = kernel.parts(n).tokens
+            telling = [x for x in every if x not in kernel.STOP] or list(every)
+            return [{"t": x, "last": x in tail} for x in dict.fromkeys(telling)]
+
+        return name.map(one)
+
+    return names.select("kind", "name", F.explode(split("name")).alias("x")).select("kind", "name", "x.t", "x.last")
+
+
+def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75) -> DataFrame:
+    """(kind, a, b, similarity): names of one kind whose kernel similarity is at least `least`.
+
+    left and right: (kind, name), distinct. Two names can only be similar if every telling
+    word of one has a counterpart in the other. So each name asks with its two rarest words
+    and the rarest of its last comma part; the other must hold a near spelling of one, or an
+    initial. Both sides ask. Scored once per distinct pair.
+    """
+    lt, rt = _name_tokens(left), _name_tokens(right)
+    every = lt.unionByName(rt).distinct()
+    every = materialise(every, "name_tokens")
+    near = near_tokens(every.select("t"))
+    counts = every.groupBy("kind", "t").agg(F.count("*").alias("df"))
+    w = W.partitionBy("kind", "name").orderBy("df", "t")
+    placed = every.join(counts, ["kind", "t"]).where(F.length("t") > 1)
+    asks = placed.withColumn("p", F.row_number().over(w)).where("p <= 2").select("kind", "name", "t")
+    tails = placed.where("last").withColumn("p", F.row_number().over(w)).where("p = 1").select("kind", "name", "t")
+    asks = materialise(asks.unionByName(tails).distinct(), "asks")
+    wide = asks.select("kind", "name", "t").unionByName(asks.join(near, "t").select("kind", "name", F.col("u").alias("t"))).distinct()
+    has = every.select("kind", F.col("name").alias("other"), "t")
+    hits = wide.join(has, ["kind", "t"]).select("kind", "name", "other").distinct()
+    is_left = left.select("kind", F.col("name").alias("a"))
+    is_right = right.select("kind", F.col("name").alias("b"))
+    both = hits.select("kind", F.col("name").alias("a"), F.col("other").alias("b")).unionByName(hits.select("kind", F.col("other").alias("a"), F.col("name").alias("b"))).distinct()
+    both = both.join(is_left, ["kind", "a"], "left_semi").join(is_right, ["kind", "b"], "left_semi")
+    return both.withColumn("similarity", similarity_udf("a", "b")).where(F.col("similarity") >= least)
+
+
+def fuzzy_edges(nodes: DataFrame, least: float = 0.75) -> DataFrame:
+    """(a, b, score), a < b: nodes of one type with similar names, score at 3 decimals.
+
+    Names are compared once for each distinct pair; nodes of equal names are joined on.
+    """
+    n = nodes.select("id", F.col("node_type").alias("kind"), "name").where("name IS NOT NULL")
+    names = n.select("kind", "name").distinct()
+    p = fuzzy_pairs(names, names, least).where("a < b")
+    same = n.select("kind", F.col("name").alias("x"), F.col("id").alias("i")).join(n.select("kind", F.col("name").alias("x"), F.col("id").alias("j")), ["kind", "x"]).where("i < j").select("i", "j", F.lit(1.0).alias("s"))
+    x = p.join(n.select("kind", F.col("name").alias("a"), F.col("id").alias("i")), ["kind", "a"]).join(n.select("kind", F.col("name").alias("b"), F.col("id").alias("j")), ["kind", "b"]).select("i", "j", F.col("similarity").alias("s"))
+    return x.unionByName(same).groupBy(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).agg(F.max(F.bround("s", 3)).alias("score"))
+
+
+#: The tiers of matching in their order.
+TIERS = ("exact", "equivalent", "acronym", "punctuation", "nickname", "fuzzy")
+
+
+def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: DataFrame, fuzzy: bool = True) -> DataFrame:
+    """(kind, name, node_id, tier, score): what each asked (kind, name) resolves to, by the first
+    tier that finds a live node of its type.
+
+    exact name, then alias; equal equivalence key; a bare acronym that a node declares; equal
+    letters and digits; a nickname (people); the most similar name or alias from 0.75 on that
+    shares 0.3 of its words. More references win, then the smaller id; fuzzy by similarity
+    first. Descriptions in brackets match nothing. Each tier is one join over distinct names.
+    """
+    asked = asked.select("kind", "name").where("name IS NOT NULL").distinct()
+    asked = materialise(asked.withColumns({"key": kernel.equivalence_udf("name"), "blind": text.blind_key("name"), "bare": kernel.bare_acronym_udf("name")}), "asked")
+    open_ = asked.where(~text.is_description("name"))
+    n = nodes.select(F.col("node_type").alias("kind"), F.col("name").alias("node_name"), F.col("id").alias("node_id"))
+    live = n.select("node_id", "kind")
+    spelled = n.unionByName(aliases.select(F.col("alias").alias("node_name"), "node_id").join(live, "node_id").select("kind", "node_name", "node_id"))
+    spelled = spelled.groupBy("kind", "node_name", "node_id").agg(F.lit(1).alias("_")).drop("_")
+    keys = spelled.select("node_name").distinct().withColumns({"nkey": kernel.equivalence_udf("node_name"), "nblind": text.blind_key("node_name"), "acr": text.declared_acronym("node_name")})
+    spelled = materialise(spelled.join(keys, "node_name"), "spelled")
+    found = []
+
+    def tier(df: DataFrame, i: int, score=None) -> None:
+        found.append(df.select("kind", "name", "node_id", F.lit(i).alias("tier"), (F.lit(1.0) if score is None else score).alias("score")))
+
+    tier(open_.join(spelled.withColumn("name", F.col("node_name")).select("kind", "name", "node_id"), ["kind", "name"]), 0)
+    tier(open_.join(spelled.select("kind", F.col("nkey").alias("key"), "node_id"), ["kind", "key"]), 1)
+    tier(open_.where("bare").join(spelled.where("acr IS NOT NULL").select("kind", F.col("acr").alias("name"), "node_id"), ["kind", "name"]), 2)
+    tier(open_.join(spelled.where("nblind IS NOT NULL").select("kind", F.col("nblind").alias("blind"), "node_id"), ["kind", "blind"]), 3)
+    rest = lambda c: F.lower(F.trim(F.regexp_replace(F.col(c), r"^\S+\s*", "")))
+    people = open_.where("kind = 'person'").withColumn("tail", rest("name")).where("tail <> ''")
+    nick = people.join(spelled.where("kind = 'person'").withColumn("tail", rest("node_name")).select("node_name", "node_id", "tail"), "tail")
+    tier(nick.where(kernel.nickname_udf("name", "node_name")), 4)
+    first = found[0]
+    for x in found[1:]:
+        first = first.unionByName(x)
+    first = materialise(first, "tiers")
+    if fuzzy:
+        left = open_.join(first.select("kind", "name").distinct(), ["kind", "name"], "left_anti").select("kind", "name")
+        p = fuzzy_pairs(left, spelled.select("kind", F.col("node_name").alias("name")).distinct())
+        wa, wb = F.array_distinct(F.split(F.lower(F.trim("a")), r"\s+")), F.array_distinct(F.split(F.lower(F.trim("b")), r"\s+"))
+        share = F.size(F.array_intersect(wa, wb)) / F.greatest(F.size(wa), F.size(wb))
+        near = p.where(share >= kernel.OVERLAP).join(spelled.select("kind", F.col("node_name").alias("b"), "node_id"), ["kind", "b"])
+        first = first.unionByName(near.select("kind", F.col("a").alias("name"), "node_id", F.lit(5).alias("tier"), F.col("similarity").alias("score")))
+    x = first.join(refs, "node_id", "left")
+    w = W.partitionBy("kind", "name").orderBy("tier", F.desc("score"), F.desc(F.coalesce("refs", F.lit(0))), "node_id")
+    best = x.withColumn("p", F.row_number().over(w)).where("p = 1")
+    return best.select("kind", "name", "node_id", F.element_at(F.array(*[F.lit(t) for t in TIERS]), F.col("tier") + 1).alias("tier"), F.round("score", 9).alias("score"))

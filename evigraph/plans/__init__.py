@@ -2,6 +2,6 @@
 
 
 def all_registries():
-    from . import evidence, pairing, training
+    from . import evidence, pairing, resolving, training
 
-    return [evidence.R, pairing.R, training.R]
+    return [evidence.R, pairing.R, resolving.R, training.R]
