@@ -110,3 +110,9 @@ def with_position(df: DataFrame, order: list[Column], name: str, start: int = 1)
     schema = T.StructType([T.StructField("_pid", T.LongType()), T.StructField("_offset", T.LongType())])
     at = F.broadcast(df.sparkSession.createDataFrame(offsets, schema))
     return placed.join(at, "_pid").withColumn(name, F.col("_offset") + F.col("_at") + F.lit(start)).drop("_pid", "_at", "_offset")
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """df over all shuffle partitions, whatever its size: for rows that cost much each (Python)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..common import spread
 from ..functions import kernel, text
 from ..functions.kernel import ratio_udf, similarity_udf
 from ..session import materialise
@@ -29,25 +30,30 @@ def name_edges(nodes: DataFrame, key: Column | None = None) -> DataFrame:
 
 
 def near_tokens(tokens: DataFrame, least: float = 0.81) -> DataFrame:
-    """(t, u): pairs of different tokens whose ratio 2 LCS / (lengths) is at least `least`, both ways.
+    """(t, u): pairs of different tokens whose ratio 2 LCS / (n + m) is at least
+    `least`, both ways.
 
-    Lossless: from t to u at most e = (1 - least) x (lengths) letters are dropped or added, and
-    each takes at most two of t's bigrams away. So of t's bigrams, rarest first, one of the
-    first 2 e + 1 is also u's. Only those are joined; candidates are checked by the ratio.
+    Lossless: L = ceil(least (n + m) / 2) letters are common, so the shorter token t loses
+    n - L letters and gains m - L, and with them at most 2 (n - L) + (m - L) of its bigrams.
+    One of its rarest bigrams, that many and one, is also u's; only those are joined, then the
+    shared bigrams are counted, and the ratio is taken of what is left.
     """
     t = tokens.select("t").distinct().where(F.length("t") >= 3)
-    grams = t.select("t", F.length("t").alias("n"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: F.substring(F.col("t"), i, F.lit(2))))).alias("g"))
+    gram = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: F.substring(F.col("t"), i, F.lit(2))))
+    sets = materialise(t.select("t", F.length("t").alias("n"), gram.alias("gs")), "grams")
+    grams = sets.select("t", "n", F.explode("gs").alias("g"))
     df = grams.groupBy("g").agg(F.count("*").alias("df"))
     w = W.partitionBy("t").orderBy("df", "g")
-    g = grams.join(df, "g").withColumn("p", F.row_number().over(w))
-    # the longest u still in reach: n x (2 - least) / least
-    longest = F.floor(F.col("n") * F.lit((2 - least) / least))
-    reach = F.floor(F.lit(1 - least) * (F.col("n") + longest))
-    a = g.where(F.col("p") <= 2 * reach + 1).select("t", "n", "g")
+    g = materialise(grams.join(df, "g").withColumn("p", F.row_number().over(w)), "ranked_grams")
+    a = g.select("t", "n", "g", "p")
     b = g.select(F.col("t").alias("u"), F.col("n").alias("m"), "g")
-    fits = F.lit(2.0) * F.least("n", "m") >= F.lit(least) * (F.col("n") + F.col("m"))
-    pairs = a.join(b, "g").where(fits & (F.col("t") != F.col("u"))).select(F.least("t", "u").alias("t"), F.greatest("t", "u").alias("u")).distinct()
-    near = pairs.where(ratio_udf("t", "u") >= least)
+    common = F.ceil(F.lit(least / 2) * (F.col("n") + F.col("m")) - 1e-9)
+    lost = 2 * (F.col("n") - common) + (F.col("m") - common)
+    shorter = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("t") < F.col("u")))
+    pairs = a.join(b, "g").where(shorter & (common <= F.col("n")) & (F.col("p") <= lost + 1)).select("t", "u").distinct()
+    pairs = pairs.join(sets, "t").join(sets.select(F.col("t").alias("u"), F.col("n").alias("m"), F.col("gs").alias("hs")), "u")
+    pairs = pairs.where(F.size(F.array_intersect("gs", "hs")) >= F.size("gs") - lost).select("t", "u")
+    near = spread(pairs).where(ratio_udf("t", "u") >= least)
     return near.unionByName(near.select(F.col("u").alias("t"), F.col("t").alias("u")))
 
 
@@ -70,28 +76,36 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75) -> DataF
     """(kind, a, b, similarity): names of one kind whose kernel similarity is at least `least`.
 
     left and right: (kind, name), distinct. Two names can only be similar if every telling
-    word of one has a counterpart in the other. So each name asks with its two rarest words
-    and the rarest of its last comma part; the other must hold a near spelling of one, or an
-    initial. Both sides ask. Scored once per distinct pair.
+    word of one has a counterpart in the other. So each name asks with its rarest word
+    and the rarest of its last comma part, for a near spelling; and with its second rarest
+    word where the other holds an initial of the rarest. Both sides ask. Scored once per distinct pair.
     """
     lt, rt = _name_tokens(left), _name_tokens(right)
     every = lt.unionByName(rt).distinct()
     every = materialise(every, "name_tokens")
-    near = near_tokens(every.select("t"))
+    near = materialise(near_tokens(every.select("t")), "near_tokens")
     counts = every.groupBy("kind", "t").agg(F.count("*").alias("df"))
     w = W.partitionBy("kind", "name").orderBy("df", "t")
     placed = every.join(counts, ["kind", "t"]).where(F.length("t") > 1)
-    asks = placed.withColumn("p", F.row_number().over(w)).where("p <= 2").select("kind", "name", "t")
-    tails = placed.where("last").withColumn("p", F.row_number().over(w)).where("p = 1").select("kind", "name", "t")
-    asks = materialise(asks.unionByName(tails).distinct(), "asks")
-    wide = asks.select("kind", "name", "t").unionByName(asks.join(near, "t").select("kind", "name", F.col("u").alias("t"))).distinct()
+    ranked = materialise(placed.withColumns({"p": F.row_number().over(w), "first": F.first("t").over(w)}), "asks")
+    tails = ranked.where("last").withColumn("p", F.row_number().over(w)).where(F.contains("name", F.lit(",")) & (F.col("p") == 1))
+    asks = ranked.where("p = 1").select("kind", "name", "t").unionByName(tails.select("kind", "name", "t")).distinct()
+    # the rarest word may stand as an initial on the other side: then the next one must be there
+    second = ranked.where("p = 2").select("kind", "name", "t", F.substring("first", 1, 1).alias("letter"))
+    initials = every.where(F.length("t") == 1).select("kind", F.col("name").alias("other"), F.col("t").alias("letter"))
     has = every.select("kind", F.col("name").alias("other"), "t")
-    hits = wide.join(has, ["kind", "t"]).select("kind", "name", "other").distinct()
+
+    def wide(x: DataFrame) -> DataFrame:
+        return x.unionByName(x.join(near, "t").select(*[F.col("u").alias("t") if c == "t" else F.col(c) for c in x.columns])).distinct()
+
+    hits = wide(asks).join(has, ["kind", "t"]).select("kind", "name", "other")
+    short = wide(second).join(has.join(initials, ["kind", "other"]), ["kind", "t", "letter"]).select("kind", "name", "other")
+    hits = hits.unionByName(short).distinct()
     is_left = left.select("kind", F.col("name").alias("a"))
     is_right = right.select("kind", F.col("name").alias("b"))
     both = hits.select("kind", F.col("name").alias("a"), F.col("other").alias("b")).unionByName(hits.select("kind", F.col("other").alias("a"), F.col("name").alias("b"))).distinct()
     both = both.join(is_left, ["kind", "a"], "left_semi").join(is_right, ["kind", "b"], "left_semi")
-    return both.withColumn("similarity", similarity_udf("a", "b")).where(F.col("similarity") >= least)
+    return spread(both).withColumn("similarity", similarity_udf("a", "b")).where(F.col("similarity") >= least)
 
 
 def fuzzy_edges(nodes: DataFrame, least: float = 0.75) -> DataFrame:

@@ -2,6 +2,6 @@
 
 
 def all_registries():
-    from . import curation, evidence, pairing, resolving, training
+    from . import curation, evidence, pairing, resolving, streams, training
 
-    return [curation.R, evidence.R, pairing.R, resolving.R, training.R]
+    return [curation.R, evidence.R, pairing.R, resolving.R, streams.R, training.R]
