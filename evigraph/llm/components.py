@@ -13,7 +13,8 @@ def group_ids(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, group_id): group_id is the smallest id linked with id, directly or indirectly.
 
     vertices: (id), edges: (a, b), in any direction, with repeats and loops. A vertex without
-    an edge is its own group. Null ids are left out; ids of edges count as vertices. An empty
+    an edge is its own group. Null ids are left out; an edge with a null end ties nothing, but
+    its other end counts as a vertex, as all ends of edges do. An empty
     input gives an empty result.
 
     Each round hooks: the label of a component's root sinks to the smallest label that any

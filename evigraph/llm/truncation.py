@@ -65,10 +65,12 @@ def _lead(line: Column) -> Column:
 def spikes(d: DataFrame) -> DataFrame:
     """(_source, unit, length, texts): lengths at which too many different texts of a source end.
 
-    unit is chars, bytes or bare (characters before a mark). A source that had several limits
+    unit is chars or bytes of texts without a mark, or bare, the characters before a mark. A source that had several limits
     has several spikes. Copies of a text count once.
     """
-    units = F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), F.col(u).cast("int").alias("length")) for u in ("chars", "bytes")], F.struct(F.lit("bare").alias("unit"), F.when(F.col("marked") | F.col("dotted"), F.col("bare").cast("int")).alias("length"))))
+    is_marked = F.col("marked") | F.col("dotted")
+    unit = lambda u, cond: F.struct(F.lit(u).alias("unit"), F.when(cond, F.col(u).cast("int")).alias("length"))
+    units = F.explode(F.array(unit("chars", ~is_marked), unit("bytes", ~is_marked), unit("bare", is_marked)))
     texts = d.groupBy("_source", "_hash").agg(F.first("chars").alias("chars"), F.first("bytes").alias("bytes"), F.first("bare").alias("bare"), F.first("marked").alias("marked"), F.first("dotted").alias("dotted"))
     hist = texts.select("_source", units.alias("u")).select("_source", "u.*").where("length IS NOT NULL").groupBy("_source", "unit", "length").agg(F.count("*").alias("texts"))
     w = W.partitionBy("_source", "unit").orderBy("length")
