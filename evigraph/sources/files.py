@@ -22,7 +22,7 @@ def digest_files(spark: SparkSession, root: str) -> DataFrame:
     hidden folders, and not of a run kind other than production (none stated counts as production)."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.yaml").load(root)
     f = f.where(~F.col("path").rlike(r"/variants/|/\.[^/]+/|/\.[^/]+$"))
-    f = f.select("path", F.sha2("content", 256).alias("sha256"), F.decode("content", F.lit("UTF-8")).alias("content"))
+    f = f.select("path", F.sha2("content", 256).alias("sha256"), F.decode("content", "UTF-8").alias("content"))
     kind = F.regexp_extract("content", r"(?m)^\s*run_kind:\s*[\"']?([A-Za-z_-]+)", 1)
     return f.where(kind.isin("", "production"))
 
