@@ -69,6 +69,24 @@ def ocr(token: str) -> str:
     return token.replace("rn", "m").replace("vv", "w")
 
 
+def distance(a: str, b: str, most: int) -> int:
+    """edits, with cl read as d where that is nearer."""
+    d = edits(a, b, most)
+    return min(d, edits(a.replace("cl", "d"), b.replace("cl", "d"), most)) if d and ("cl" in a or "cl" in b) else d
+
+
+def given_name(token: str, established: frozenset[str]) -> str:
+    """A given name; one that nobody has is read as a scanner's mistake where that makes a known one."""
+    known = lambda t: t in established or t in FORMAL or t in NICKNAMES
+    if known(token) or len(token) == 1:
+        return token
+    digits = token.translate(_OCR)
+    for a, b in (("", ""), ("rn", "m"), ("vv", "w"), ("cl", "d"), ("m", "rn"), ("d", "cl")):
+        if known(t := digits.replace(a, b) if a else digits):
+            return t
+    return token
+
+
 def parse_person(name: str, established: frozenset[str] = frozenset()) -> dict:
     """given, middle (a letter or ''), surname of a name in any usual order.
 
@@ -105,12 +123,12 @@ def parse_person(name: str, established: frozenset[str] = frozenset()) -> dict:
     if len(tokens) < 2:
         return {"given": "", "middle": "", "surname": tokens[0] if tokens else "", "suffix": suffix}
     middle = [t for t in tokens[1:-1] if not near_particle(t)]
-    return {"given": tokens[0], "middle": middle[0][:1] if middle else "", "surname": ocr(tokens[-1]), "suffix": suffix}
+    return {"given": given_name(tokens[0], established), "middle": middle[0][:1] if middle else "", "surname": ocr(tokens[-1]), "suffix": suffix}
 
 
 def parse_body(name: str, established: frozenset[str] = frozenset()) -> dict:
     """tokens (place first, weightless words and legal forms left out, abbreviations spelled out) and acronym."""
-    s = re.sub(r"\([^)]*\)", " ", fold(name)).replace("&", " and ")
+    s = re.sub(r"\([^)]*\)", " ", fold(name)).replace("&", " and ").replace("+", " and ")
     s = re.sub(r"\be\.\s?v\b\.?", "ev", s)
     clean = lambda p: [t for t in (re.sub(r"['.]", "", w) for w in re.split(r"[\s\-/_]+", p)) if t and t not in LEGAL - {"corp."}]
     parts = [p for p in (clean(x) for x in s.split(",")) if p]
@@ -147,7 +165,7 @@ def _most(token: str) -> int:
 def person_channel(v: dict, c: dict, established: frozenset[str]) -> float | None:
     """The log-likelihood that a person called c is written v; None if it can't be."""
     score = 0.0
-    d = edits(v["surname"], c["surname"], _most(c["surname"]))
+    d = distance(v["surname"], c["surname"], _most(c["surname"]))
     if d > _most(c["surname"]) or (v["suffix"] and c["suffix"] and v["suffix"] != c["suffix"]):
         return None
     score += d * TYPO
@@ -164,9 +182,9 @@ def person_channel(v: dict, c: dict, established: frozenset[str]) -> float | Non
     fa, fb = FORMAL.get(a, set()) | {a}, FORMAL.get(b, set()) | {b}
     if fa & fb:
         return score + NICKNAME
-    if a in established and b in established:
-        return None
-    d = edits(ocr(a), ocr(b), _most(b))
+    if all(x in established or x in FORMAL or x in NICKNAMES for x in (a, b)):
+        return None  # two names that people have are no typos of each other
+    d = distance(ocr(a), ocr(b), _most(b))
     if d > _most(b):  # a typo in a nickname or of one
         for x, y in ((a, b), (b, a)):
             short = [n for n in NICKNAMES.get(x, "").split() if len(n) > 3 and edits(n, y, 1) == 1]
@@ -186,7 +204,7 @@ def body_channel(v: dict, c: dict, established: frozenset[str]) -> float | None:
     if not a or not b:
         return None
     if v["acronym"] and not c["acronym"]:
-        d = edits(a[0], b[0], _most(b[0]))
+        d = distance(a[0], b[0], _most(b[0]))
         return None if d > _most(b[0]) or v["acronym"] != _initials(b[1:]) or len(b) < 3 else d * TYPO + ACRONYM
     if len(a) != len(b) or sorted(x for x in a if x.isdigit()) != sorted(x for x in b if x.isdigit()):
         return None
@@ -204,7 +222,7 @@ def body_channel(v: dict, c: dict, established: frozenset[str]) -> float | None:
         for y in left:
             if y.isdigit() or (x in established and y in established):
                 continue
-            d = edits(x, y, _most(y))
+            d = distance(x, y, _most(y))
             cost = d * TYPO if d <= _most(y) else None
             if cost is None and len(x) >= 3 and len(x) < len(y) and x[0] == y[0] and _inside(x, y) and y in established:
                 cost = ABBREVIATION
@@ -223,7 +241,8 @@ def _inside(x: str, y: str) -> bool:
 
 
 def _deletes(s: str) -> set[str]:
-    return {s} | ({s[:i] + s[i + 1 :] for i in range(len(s))} if len(s) >= 4 else set())
+    both = {s, s.replace("cl", "d")}
+    return both | {x[:i] + x[i + 1 :] for x in both if len(x) >= 4 for i in range(len(x))}
 
 
 def block_keys(kind: str, p: dict) -> set[str]:
@@ -310,9 +329,10 @@ def attributions(classes: DataFrame, established: dict[str, frozenset[str]]) ->
     """(kind, key, to): each spelling class that is a variant, and the class it is attributed to.
 
     Candidates are ranked: spelled-out before shortened, then by frequency, then the fuller
-    spelling. A variant's candidates are the higher-ranked classes that share a block with
-    it; posterior = frequency prior x channel likelihood. The variant goes to the maximum,
-    unless a name of its own is likelier. A shortened one (initial, acronym) weighs whole
+    spelling; the channel of two classes that share a block runs from the higher to the lower.
+    posterior = frequency prior x channel likelihood, the latter for each use. A class goes to
+    its maximum, unless a name of its own is likelier; of two rare spellings that differ by a
+    typo either may be the true one, so both ask. A shortened one (initial, acronym) weighs whole
     entities, so that an entity's other spellings add to it, and needs a clear majority.
     """
     fields = ["key", "uses", "short", "weight", "given", "middle", "surname", "suffix", "tokens", "acronym"]
@@ -339,7 +359,9 @@ def attributions(classes: DataFrame, established: dict[str, frozenset[str]]) ->
     scored = pairs.select("kind", "v", "c").repartition("kind", F.xxhash64("v.key")).mapInPandas(score, "kind string, key string, to string, short boolean, to_short boolean, uses long, to_uses long, channel double")
     scored = materialise(scored, "scored")
     posterior = F.log("to_uses") + F.col("channel") * (1 + F.log("uses"))
-    same = scored.where("short = to_short").withColumn("score", posterior)
+    # between spellings of one kind either may be the variant: each asks for its own best
+    same = scored.where("short = to_short").select("kind", "key", "to", "short", "uses", "to_uses", "channel")
+    same = same.unionByName(same.select("kind", F.col("to").alias("key"), F.col("key").alias("to"), "short", F.col("to_uses").alias("uses"), F.col("uses").alias("to_uses"), "channel")).withColumn("score", posterior)
     best = same.groupBy("kind", "key").agg(F.max_by(F.struct("to", "score", "short"), F.struct("score", "to_uses", "to")).alias("b"))
     own = F.when(F.col("b.short"), F.lit(NEW_SHORT)).otherwise(F.lit(NEW_FULL))
     spelled = materialise(best.where(F.col("b.score") > own).select("kind", "key", "b.to"), "spelled")
