@@ -121,10 +121,10 @@ def similarity_profile(pairs: DataFrame, cuts: tuple[float, ...], c: str = "cosi
 def best_cut(scored: DataFrame, score: str = "score", label: str = "same") -> DataFrame:
     """(cut, kept, missed, false_links, balanced_accuracy): the score that parts pairs best.
 
-    Every distinct score is a cut (score >= cut links). Counts run over distinct scores, so
-    ties are one row; the lowest of equally good cuts wins.
+    Every distinct score at 6 decimals is a cut (score >= cut links); the lowest of equally good
+    ones wins. Counts run over the cuts, of which scores between -1 and 1 have 2 million at most.
     """
-    g = scored.groupBy(F.col(score).alias("cut")).agg(F.sum(F.col(label).cast("int")).alias("p"), F.sum((~F.col(label)).cast("int")).alias("n"))
+    g = scored.groupBy(F.round(score, 6).alias("cut")).agg(F.sum(F.col(label).cast("int")).alias("p"), F.sum((~F.col(label)).cast("int")).alias("n"))
     w = W.orderBy(F.desc("cut")).rowsBetween(W.unboundedPreceding, 0)
     t = g.agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
     x = g.withColumns({"kept": F.sum("p").over(w), "false_links": F.sum("n").over(w)}).join(F.broadcast(t))  # one row
@@ -148,3 +148,22 @@ def centroids(vectors: DataFrame, by: str = "grp") -> DataFrame:
     """(by, centroid): the mean vector of each group, summed position by position."""
     x = vectors.select(by, F.posexplode("embedding").alias("i", "x")).groupBy(by, "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
     return x.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("i", F.round("x", 9).alias("x")))).alias("c")).select(by, F.transform("c", lambda s: s["x"]).alias("centroid"))
+
+
+def cut_report(scored: DataFrame, cut: float, score: str = "score", label: str = "same") -> DataFrame:
+    """One row: separation (least score of true pairs - greatest of false ones), and what a cut
+    keeps, misses and links falsely."""
+    s, y = F.col(score), F.col(label)
+    n = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    return scored.agg(
+        F.round(F.min(F.when(y, s)) - F.max(F.when(~y, s)), 9).alias("separation"), n(y & (s >= cut)).alias("kept"), n(y & (s < cut)).alias("missed"), n(~y & (s >= cut)).alias("false_links")
+    )
+
+
+def rank_of(near: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, rank): where the best wanted pair of each id stands: 1 + the pairs with a greater cosine.
+
+    near: (id, other, cosine); wanted: (id, other).
+    """
+    best = near.join(wanted, ["id", "other"]).groupBy("id").agg(F.max("cosine").alias("best"))
+    return near.join(best, "id").groupBy("id").agg((1 + F.sum((F.col("cosine") > F.col("best")).cast("int"))).alias("rank"))

@@ -171,3 +171,27 @@ def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: Da
     w = W.partitionBy("kind", "name").orderBy("tier", F.desc("score"), F.desc(F.coalesce("refs", F.lit(0))), "node_id")
     best = x.withColumn("p", F.row_number().over(w)).where("p = 1")
     return best.select("kind", "name", "node_id", F.element_at(F.array(*[F.lit(t) for t in TIERS]), F.col("tier") + 1).alias("tier"), F.round("score", 9).alias("score"))
+
+
+def resolve_unique(asked: DataFrame, nodes: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(name, state, node_id): unique where name or alias leads to exactly one live node,
+    ambiguous to several, lost to none. Never guesses: node_id is null unless unique."""
+    live = nodes.select(F.col("id").alias("node_id"), "name")
+    routes = live.unionByName(aliases.select("node_id", F.col("alias").alias("name")).join(live.select("node_id"), "node_id", "left_semi")).distinct()
+    hits = asked.select("name").where("name IS NOT NULL").distinct().join(routes, "name", "left").groupBy("name").agg(F.countDistinct("node_id").alias("n"), F.min("node_id").alias("m"))
+    state = F.when(F.col("n") == 1, "unique").when(F.col("n") > 1, "ambiguous").otherwise("lost")
+    return hits.select("name", state.alias("state"), F.when(F.col("n") == 1, F.col("m")).alias("node_id"))
+
+
+def union_of_pairs(sources: dict[str, DataFrame], nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs (a, b, sources), dropped (source, n)): unordered pairs of several finders, one row
+    each with who found it; pairs with a node that isn't live are dropped and counted."""
+    every = None
+    for name, df in sources.items():
+        x = df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(name).alias("source")).where("a <> b").distinct()
+        every = x if every is None else every.unionByName(x)
+    live = nodes.select("id")
+    kept = every.join(live.withColumnRenamed("id", "a"), "a", "left_semi").join(live.withColumnRenamed("id", "b"), "b", "left_semi")
+    pairs = kept.groupBy("a", "b").agg(F.sort_array(F.collect_set("source")).alias("sources"))
+    n = every.groupBy("source").agg(F.count("*").alias("found")).join(kept.groupBy("source").agg(F.count("*").alias("kept")), "source", "left")
+    return pairs, n.select("source", (F.col("found") - F.coalesce("kept", F.lit(0))).alias("n"))

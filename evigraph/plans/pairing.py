@@ -153,7 +153,7 @@ def v14(spark, sf):
     return pairs.similarity_profile(pairs.cosine_pairs(_labelled(spark, sf), 10, other_group=True), (0.2, 0.3, 0.4))
 
 
-@R.add("v15_best_cut", f"""WITH {_ALL}, g AS (SELECT cosine AS cut, count(*) FILTER (la = lb) AS p, count(*) FILTER (la <> lb) AS n FROM s WHERE id < other GROUP BY 1),
+@R.add("v15_best_cut", f"""WITH {_ALL}, g AS (SELECT round(cosine, 6) AS cut, count(*) FILTER (la = lb) AS p, count(*) FILTER (la <> lb) AS n FROM s WHERE id < other GROUP BY 1),
 t AS (SELECT sum(p) AS tp, sum(n) AS tn FROM g), c AS (SELECT cut, sum(p) OVER w AS kept, sum(n) OVER w AS fl FROM g WINDOW w AS (ORDER BY cut DESC))
 SELECT cut, CAST(kept AS BIGINT) AS kept, CAST(tp - kept AS BIGINT) AS missed, CAST(fl AS BIGINT) AS false_links, round((kept / tp + 1 - fl / tn) / 2, 9) AS balanced_accuracy FROM c, t ORDER BY 5 DESC, 1 LIMIT 1""")
 def v15(spark, sf):
