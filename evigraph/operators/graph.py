@@ -12,15 +12,28 @@ _IDS = {"id", "record_id", "speaker_id", "producer_id", "work_id", "claim_id", "
 
 
 class Graph:
-    """The tables below a folder, ids normalised, repeated rows dropped, only the asked columns read."""
+    """The tables below a folder, ids normalised, repeated rows dropped, only the asked columns read.
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.dir = spark, sf_dir
+    Dropping repeats shuffles the asked columns. Where many queries follow, compact() does it
+    once; the graph it returns reads its tables as they are.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, compacted: str | None = None) -> None:
+        self.spark, self.dir, self.compacted = spark, sf_dir, compacted
+
+    def compact(self, path: str) -> Graph:
+        """Writes nodes, records, claims and edges clean below path, each spread by its key."""
+        tables = {n: self._clean(n, tuple(c for c in self.raw(n).columns if c != "relay"), _IDS if n != "records" else _IDS - {"producer_id"}) for n in ("nodes", "records", "claims")}
+        for name, df in [*tables.items(), ("edges", self.edges())]:
+            df.write.mode("overwrite").parquet(f"{path}/{name}.parquet")
+        return Graph(self.spark, self.dir, path)
 
     def raw(self, name: str) -> DataFrame:
         return table(self.spark, self.dir, name)
 
     def _clean(self, name: str, cols: tuple[str, ...], ids: set[str] = _IDS) -> DataFrame:
+        if self.compacted:
+            return self.spark.read.parquet(f"{self.compacted}/{name}.parquet").select(*cols)
         out = []
         for c in cols:
             x = norm_id(c) if c in ids else norm_hash(c) if c == "content_hash" else node_type(c) if c == "node_type" else F.col(c)
@@ -32,7 +45,7 @@ class Graph:
         want = ("id", *cols) if cols else ("id", "node_type", "name")
         extra = () if "retired_at" in want else ("retired_at",)
         df = self._clean("nodes", (*want, *extra))
-        return (df.where(F.col("retired_at").isNull()) if live else df).select(*want).distinct()
+        return (df.where(F.col("retired_at").isNull()) if live else df).select(*want)
 
     def records(self, *cols: str) -> DataFrame:
         return self._clean("records", ("id", *cols), _IDS - {"producer_id"})
@@ -42,6 +55,8 @@ class Graph:
 
     def edges(self) -> DataFrame:
         """(claim_id, node_id, salience): one row per edge, with its strongest salience; null = not assessed."""
+        if self.compacted:
+            return self.spark.read.parquet(f"{self.compacted}/edges.parquet")
         df = self.raw("claim_node_refs").select(norm_id("claim_id").alias("claim_id"), norm_id("node_id").alias("node_id"), salience_rank("salience").alias("rank"))
         df = df.where("claim_id IS NOT NULL AND node_id IS NOT NULL").groupBy("claim_id", "node_id").agg(F.max("rank").alias("rank"))
         return df.select("claim_id", "node_id", F.when(F.col("rank") > 0, F.element_at(F.array(*[F.lit(s) for s in SALIENCE]), F.col("rank"))).alias("salience"))

@@ -67,3 +67,17 @@ def test_selection_takes_turns(spark, rows):
 def test_slugs(spark, rows):
     df = frame(spark, "id string, node_type string, name string", [("aaaaaaaaaa", "person", "Jo Doe"), ("bbbbbbbbbb", "person", "Jo  Doe!"), ("cccccccccc", "place", "Jo Doe")])
     assert rows(briefs.slug_map(df), "id", "slug") == [("aaaaaaaaaa", "jo-doe"), ("bbbbbbbbbb", "jo-doe-bbbbbbbb"), ("cccccccccc", "jo-doe")]
+
+
+def test_compacted_graph_answers_the_same(spark, small, tmp_path, rows):
+    from evigraph.operators.graph import Graph
+
+    a = Graph(spark, small)
+    b = a.compact(str(tmp_path / "clean"))
+    for f in (lambda g: g.node_claims(), lambda g: g.works(), lambda g: g.nodes("node_type", "name"), lambda g: g.edges(), lambda g: ev_scores(g)):
+        assert rows(f(a)) == rows(f(b))
+
+
+def ev_scores(g):
+    c = g.claims("claim_type", "attestation", "record_id", "speaker_id", "origin_kind", "origin", "origin_ref")
+    return E.scores(c, g.corroborations(), E.name_index(g.nodes("name"), g.aliases(), False)).select("claim_id", "score", "tier")
