@@ -52,8 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), "evigraph", f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, in this application's own part of it."""
+    return os.path.join(shared_dir(spark), "evigraph", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all that this application wrote into the shared folder; no result may still be read from it."""
+    remove(os.path.join(shared_dir(spark), "evigraph", spark.sparkContext.applicationId), spark)
 
 
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
