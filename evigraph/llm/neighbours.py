@@ -24,11 +24,11 @@ def model_length(model: Column) -> Column:
 
 
 def usable_vectors(text_embeddings: DataFrame) -> DataFrame:
-    """(model, text, vid, embedding): each text's vector in a model's space, without those that
+    """(model, text, vid, embedding): the vectors of texts in a model's space, without those that
     are null, of another length than the model's, all zero, or hold null, NaN or infinity.
 
     A model id without a length goes by its most frequent length. Equal vectors of a model
-    share one vid, a hash of 128 bits. Of several vectors of one text and model one counts.
+    share one vid, a hash of 128 bits.
     """
     e = text_embeddings.select(F.trim("model_id").alias("model"), norm_hash("text_hash").alias("text"), "embedding").where("model IS NOT NULL AND text IS NOT NULL AND embedding IS NOT NULL")
     stated = model_length(F.col("model"))
@@ -40,7 +40,7 @@ def usable_vectors(text_embeddings: DataFrame) -> DataFrame:
     some = F.exists("embedding", lambda x: x != 0)
     ok = e.where((F.size("embedding") == wanted) & ~bad & some)
     vid = F.concat(F.hex(F.xxhash64("model", "embedding")), F.lit("-"), F.hex(F.xxhash64(F.lit(1), F.reverse("embedding"), "model")))
-    return ok.withColumn("vid", vid).groupBy("model", "text").agg(F.min_by(F.struct("vid", "embedding"), "vid").alias("v")).select("model", "text", "v.vid", "v.embedding")
+    return ok.withColumn("vid", vid)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -71,10 +71,11 @@ def build_shards(vectors: DataFrame, k: int, least: float, shard_rows: int) -> D
     vector's nearest in its own shard.
 
     A model's vectors are spread by hash over so many shards that one has about shard_rows.
-    Equal vectors are one row, so copies don't fill a shard.
+    Equal vectors are one row, so copies don't fill a shard. A shard that is its model's only
+    one is asked by nobody else; its embeddings and edges aren't kept (null).
     """
     distinct = vectors.dropDuplicates(["model", "vid"]).select("model", "vid", "embedding")
-    counts = vectors.groupBy("model").agg(F.countDistinct("vid").alias("n")).withColumn("shards", F.ceil(F.col("n") / F.lit(shard_rows)).cast("int"))
+    counts = vectors.select("model", "vid").distinct().groupBy("model").agg(F.count("*").alias("n")).withColumn("shards", F.ceil(F.col("n") / F.lit(shard_rows)).cast("int"))
     sharded = distinct.join(counts.select("model", "shards"), "model").withColumn("shard", F.pmod(F.xxhash64("vid"), F.col("shards")).cast("int"))
 
     def run(t: pa.Table) -> pa.Table:
@@ -86,8 +87,11 @@ def build_shards(vectors: DataFrame, k: int, least: float, shard_rows: int) -> D
         else:
             graph, ids = np.full((1, vg.EDGES), -1, np.int32), np.full((1, 1), -1, np.int32)
         edges = pa.ListArray.from_arrays(pa.array(np.arange(0, graph.size + 1, graph.shape[1], dtype=np.int32)), pa.array(graph.ravel(), pa.int32()))
+        embedding = t.column("embedding")
+        if t.column("shards")[0].as_py() == 1:
+            embedding, edges = pa.nulls(len(x), embedding.type), pa.nulls(len(x), edges.type)
         names = ["model", "shard", "shards", "pos", "vid", "embedding", "edges", "near"]
-        cols = [t.column("model"), t.column("shard"), t.column("shards"), pa.array(np.arange(len(x), dtype=np.int32)), t.column("vid"), t.column("embedding"), edges, _near_lists(x, vids, x, ids, k, least)]
+        cols = [t.column("model"), t.column("shard"), t.column("shards"), pa.array(np.arange(len(x), dtype=np.int32)), t.column("vid"), embedding, edges, _near_lists(x, vids, x, ids, k, least)]
         return pa.table(dict(zip(names, cols, strict=True)))
 
     schema = f"model string, shard int, shards int, pos int, vid string, embedding array<float>, edges array<int>, near {_NEAR}"
@@ -140,12 +144,14 @@ def similar_ids(embedding_model: DataFrame, text_embeddings: DataFrame, k: int =
     Ids whose vector is unusable (see usable_vectors) take no part. Ids of equal vectors have
     the cosine 1 and stand for one vector in the index, so a text may belong to any number of
     ids; of such ids those with the smallest ids are named, k of them for each asker, instead
-    of all pairs. Ties go to the smaller id. Repeated rows add nothing.
+    of all pairs. Ties go to the smaller id. Repeated rows add nothing; if a text has several
+    different vectors in one model's space, each counts and a pair has its greatest cosine.
     """
-    vectors = materialise(usable_vectors(text_embeddings), "vectors")
-    near = materialise(nearest(vectors, k, least, shard_rows, block_rows), "near")
+    usable = usable_vectors(text_embeddings)
+    texts = materialise(usable.select("model", "text", "vid").distinct(), "vectors_of_texts")
+    near = materialise(nearest(usable.select("model", "vid", "embedding"), k, least, shard_rows, block_rows), "near")
     ids = embedding_model.select(norm_id("id").alias("id"), F.trim("model_id").alias("model"), norm_hash("text_hash").alias("text")).where("id IS NOT NULL").distinct()
-    ids = materialise(ids.join(vectors.select("model", "text", "vid"), ["model", "text"]).select("model", "vid", "id").distinct(), "ids")
+    ids = materialise(ids.join(texts, ["model", "text"]).select("model", "vid", "id").distinct(), "ids")
     # of each vector the k + 1 smallest ids; the limit applies before the shuffle as well
     w = W.partitionBy("model", "vid").orderBy("id")
     heads = ids.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k + 1).drop("n").withColumnRenamed("id", "other_id")
