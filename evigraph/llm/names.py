@@ -330,9 +330,11 @@ def attributions(classes: DataFrame, established: dict[str, frozenset[str]]) ->
 
     Candidates are ranked: spelled-out before shortened, then by frequency, then the fuller
     spelling; the channel of two classes that share a block runs from the higher to the lower.
-    posterior = frequency prior x channel likelihood, the latter for each use. A class goes to
-    its maximum, unless a name of its own is likelier; of two rare spellings that differ by a
-    typo either may be the true one, so both ask. A shortened one (initial, acronym) weighs whole
+    posterior = frequency prior x channel likelihood. Both weigh the uses of one spelling for each
+    use of the other: the prior where the asked one is more frequent, the channel where the asking
+    one is; so a table with every name ten times as often has the same links. A class goes to
+    its maximum, unless a name of its own is likelier; of two spellings about as frequent that
+    differ by a typo either may be the true one, so both ask. A shortened one (initial, acronym) weighs whole
     entities, so that an entity's other spellings add to it, and needs a clear majority.
     """
     fields = ["key", "uses", "short", "weight", "given", "middle", "surname", "suffix", "tokens", "acronym"]
@@ -358,7 +360,8 @@ def attributions(classes: DataFrame, established: dict[str, frozenset[str]]) ->
 
     scored = pairs.select("kind", "v", "c").repartition("kind", F.xxhash64("v.key")).mapInPandas(score, "kind string, key string, to string, short boolean, to_short boolean, uses long, to_uses long, channel double")
     scored = materialise(scored, "scored")
-    posterior = F.log("to_uses") + F.col("channel") * (1 + F.log("uses"))
+    ratio = F.col("uses") / F.col("to_uses")
+    posterior = F.log(F.greatest(F.lit(1.0), 1 / ratio)) + F.col("channel") * (1 + F.log(F.greatest(F.lit(1.0), ratio)))
     # between spellings of one kind either may be the variant: each asks for its own best
     same = scored.where("short = to_short").select("kind", "key", "to", "short", "uses", "to_uses", "channel")
     same = same.unionByName(same.select("kind", F.col("to").alias("key"), F.col("key").alias("to"), "short", F.col("to_uses").alias("uses"), F.col("uses").alias("to_uses"), "channel")).withColumn("score", posterior)

@@ -63,3 +63,16 @@ def test_edits(a, b, n):
 def test_people(name, given, middle, surname):
     p = N.parse_person(name, frozenset({"deborah", "andrew"}))
     assert (p["given"], p["middle"], N.ocr(p["surname"])) == (given, middle, N.ocr(surname))
+
+
+def links(spark, counts):
+    rows = [(f"{n}-{i}", "organisation" if "Wing" in n else "person", n, None) for n, c in counts.items() for i in range(c)]
+    classes, _, established = N.spellings(frame(spark, rows))
+    return {(r.key, r.to) for r in N.attributions(classes, established).collect()}
+
+
+@pytest.mark.parametrize("times", [1, 50])
+def test_links_do_not_depend_on_table_size(spark, times):
+    counts = {"Rebecca Veproummesk": 6, "Rebecca Veproumesk": 1, "Vera Holtrunsta": 1, "Vera Holtrumstq": 1, "Dethmoskwou Observation Wing 13": 4, "Dethmoakwou Observation Wing 13": 1}
+    got = {frozenset(x) for x in links(spark, {n: c * times for n, c in counts.items()})}
+    assert got == {frozenset(x) for x in [("rebecca||veproummesk|", "rebecca||veproumesk|"), ("dethmoskwou observation wing 13", "dethmoakwou observation wing 13")]}
