@@ -20,6 +20,8 @@ TYPO, NICKNAME, INITIAL, ACRONYM, ABBREVIATION, MIDDLE = -4.5, -1.5, -2.0, -2.0,
 NEW_FULL, NEW_SHORT = -11.5, -8.0
 #: Share of all names from which a given name or a word counts as established, and the least count.
 ESTABLISHED_SHARE, ESTABLISHED_LEAST = {"person": 0.0005, "organisation": 0.004}, 3
+#: A word is read as a misspelling of a near one from so many times its count on, however often it occurs.
+FAR_MORE = 8
 #: Share of the posterior that the best reading of an initial or an acronym must have.
 CLEAR = 0.5
 
@@ -87,11 +89,12 @@ def given_name(token: str, established: frozenset[str]) -> str:
     return token
 
 
-def parse_person(name: str, established: frozenset[str] = frozenset()) -> dict:
+def parse_person(name: str, established: frozenset[str] = frozenset(), own: frozenset[str] | None = None) -> dict:
     """given, middle (a letter or ''), surname of a name in any usual order.
 
     Titles, nicknames in quotes or brackets, particles before the surname and suffixes are
-    taken off. established: given names by which a surname in front is known.
+    taken off. established: given names by which a surname in front is known; own: those of
+    them that are no misspellings (see own_words).
     """
     s = re.sub(r'"[^"]*"|\([^)]*\)', " ", fold(name))
     parts = [p.strip() for p in s.split(",")]
@@ -123,7 +126,7 @@ def parse_person(name: str, established: frozenset[str] = frozenset()) -> dict:
     if len(tokens) < 2:
         return {"given": "", "middle": "", "surname": tokens[0] if tokens else "", "suffix": suffix}
     middle = [t for t in tokens[1:-1] if not near_particle(t)]
-    return {"given": given_name(tokens[0], established), "middle": middle[0][:1] if middle else "", "surname": ocr(tokens[-1]), "suffix": suffix}
+    return {"given": given_name(tokens[0], established if own is None else own), "middle": middle[0][:1] if middle else "", "surname": ocr(tokens[-1]), "suffix": suffix}
 
 
 def parse_body(name: str, established: frozenset[str] = frozenset()) -> dict:
@@ -162,6 +165,27 @@ def _most(token: str) -> int:
     return 0 if len(token) < 4 else 1 if len(token) < 8 else 2
 
 
+def _deletes2(s: str) -> set[str]:
+    """s, also with cl read as d, with up to two letters left out: any two words that distance()
+    puts within two edits share one of these."""
+    out = {s, s.replace("cl", "d")}
+    for _ in range(2):
+        out |= {x[:i] + x[i + 1 :] for x in out if len(x) > 1 for i in range(len(x))}
+    return out
+
+
+def own_words(counts: dict[str, int], kind: str) -> frozenset[str]:
+    """Of the established words those that are words of their own: no near one is FAR_MORE times
+    as frequent. A ratio of counts, so the size of the table doesn't matter."""
+    index: dict[str, set[str]] = {}
+    for w in counts:
+        for d in _deletes2(ocr(w)):
+            index.setdefault(d, set()).add(w)
+    fixed = lambda w: kind == "person" and (w in FORMAL or w in NICKNAMES)
+    near = lambda w: {x for d in _deletes2(ocr(w)) for x in index[d] if counts[x] >= FAR_MORE * counts[w]}
+    return frozenset(w for w in counts if fixed(w) or not any(distance(ocr(w), ocr(x), _most(x)) <= _most(x) for x in near(w)))
+
+
 def person_channel(v: dict, c: dict, established: frozenset[str]) -> float | None:
     """The log-likelihood that a person called c is written v; None if it can't be."""
     score = 0.0
@@ -268,9 +292,9 @@ _PARSED = "struct<key:string,short:boolean,weight:int,given:string,middle:string
 _COLUMNS = [f.split(":")[0] for f in _PARSED[len("struct<") : -1].split(",")]
 
 
-def _parsed(kind: str, name: str, established: frozenset[str]) -> dict | None:
+def _parsed(kind: str, name: str, established: frozenset[str], own: frozenset[str]) -> dict | None:
     if kind == "person":
-        p = parse_person(name, established)
+        p = parse_person(name, established, own)
         key = "|".join((p["given"], p["middle"], p["surname"], p["suffix"]))
         ok, short = bool(p["surname"]), len(p["given"]) == 1
         out = {"key": key, "short": short, "weight": len(p["given"]) + 2 * bool(p["middle"]), **p, "tokens": None, "acronym": None}
@@ -289,7 +313,7 @@ def _first_words(name: str, kind: str) -> list[str]:
 
 
 def spellings(nodes: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, frozenset[str]]]:
-    """(spelling classes, node to class, established words by type) of the live people and bodies.
+    """(spelling classes, node to class, established words of their own by type) of the live people and bodies.
 
     A class are the spellings that differ only in case, accents, blanks, order, titles and
     the like. Names are parsed once for each distinct spelling.
@@ -311,18 +335,19 @@ def spellings(nodes: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, frozens
         floor = F.when(F.col("kind") == k, F.lit(max(ESTABLISHED_LEAST, ESTABLISHED_SHARE[k] * totals.get(k, 0)))).otherwise(floor)
     rows = words.where(F.col("n") >= floor).collect()
     established = {k: frozenset(r["word"] for r in rows if r["kind"] == k) for k in kinds}
-    sent = nodes.sparkSession.sparkContext.broadcast(established)
+    own = {k: own_words({r["word"]: r["n"] for r in rows if r["kind"] == k}, k) for k in kinds}
+    sent = nodes.sparkSession.sparkContext.broadcast((established, own))
 
     @F.pandas_udf(_PARSED)
     def parse(kind: pd.Series, name: pd.Series) -> pd.DataFrame:
-        out = [_parsed(k, n, sent.value[k]) or {} for k, n in zip(kind, name, strict=True)]
+        out = [_parsed(k, n, sent.value[0][k], sent.value[1][k]) or {} for k, n in zip(kind, name, strict=True)]
         return pd.DataFrame({c: [r.get(c) for r in out] for c in _COLUMNS})
 
     parsed = names.withColumn("p", parse("kind", "name")).select("kind", "name", "uses", "p.*").where("key IS NOT NULL")
     parsed = materialise(parsed, "parsed")
     classes = parsed.groupBy("kind", "key").agg(F.sum("uses").alias("uses"), *[F.first(c).alias(c) for c in ("short", "weight", "given", "middle", "surname", "suffix", "tokens", "acronym", "blocks")])
     of_node = live.join(parsed.select("kind", "name", "key"), ["kind", "name"]).select("id", "kind", "key")
-    return materialise(classes, "classes"), materialise(of_node, "members"), established
+    return materialise(classes, "classes"), materialise(of_node, "members"), own
 
 
 def attributions(classes: DataFrame, established: dict[str, frozenset[str]]) -> DataFrame:
