@@ -58,40 +58,46 @@ def near_tokens(tokens: DataFrame, least: float = 0.81) -> DataFrame:
 
 
 def _name_tokens(names: DataFrame) -> DataFrame:
-    """(kind, name, t, last): the kernel's tokens of each name, last = of its last comma part."""
-    @F.pandas_udf("array<struct<t:string,last:boolean>>")
+    """(kind, name, t, last, number): the kernel's tokens of each name, last = of its last comma
+    part, number = with digits, which the kernel doesn't ask a counterpart for."""
+    @F.pandas_udf("array<struct<t:string,last:boolean,number:boolean>>")
     def split(name: pd.Series) -> pd.Series:
         def one(n):
             tail = set(kernel.parts(n.split(",")[-1]).tokens)
             every = kernel.parts(n).tokens
             telling = [x for x in every if x not in kernel.STOP] or list(every)
-            return [{"t": x, "last": x in tail} for x in dict.fromkeys(telling)]
+            return [{"t": x, "last": x in tail, "number": any(c.isdigit() for c in x)} for x in dict.fromkeys(telling)]
 
         return name.map(one)
 
-    return names.select("kind", "name", F.explode(split("name")).alias("x")).select("kind", "name", "x.t", "x.last")
+    return names.select("kind", "name", F.explode(split("name")).alias("x")).select("kind", "name", "x.t", "x.last", "x.number")
 
 
 def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75) -> DataFrame:
     """(kind, a, b, similarity): names of one kind whose kernel similarity is at least `least`.
 
     left and right: (kind, name), distinct. Two names can only be similar if every telling
-    word of one has a counterpart in the other. So each name asks with its rarest word
-    and the rarest of its last comma part, for a near spelling; and with its second rarest
-    word where the other holds an initial of the rarest. Both sides ask. Scored once per distinct pair.
+    word of one without digits has a counterpart in the other. So each name asks with its rarest
+    word without digits and the rarest such of its last comma part, for a near spelling; and with
+    its rarer words after the rarest where the other holds an initial of that. Both sides ask.
+    Words with digits ask as well, in the same way: names of numbers or of initials and numbers
+    have no other. Scored once per distinct pair.
     """
     lt, rt = _name_tokens(left), _name_tokens(right)
     every = lt.unionByName(rt).distinct()
     every = materialise(every, "name_tokens")
     near = materialise(near_tokens(every.select("t")), "near_tokens")
     counts = every.groupBy("kind", "t").agg(F.count("*").alias("df"))
+    placed = materialise(every.join(counts, ["kind", "t"]).where(F.length("t") > 1), "asks")
     w = W.partitionBy("kind", "name").orderBy("df", "t")
-    placed = every.join(counts, ["kind", "t"]).where(F.length("t") > 1)
-    ranked = materialise(placed.withColumns({"p": F.row_number().over(w), "first": F.first("t").over(w)}), "asks")
-    tails = ranked.where("last").withColumn("p", F.row_number().over(w)).where(F.contains("name", F.lit(",")) & (F.col("p") == 1))
-    asks = ranked.where("p = 1").select("kind", "name", "t").unionByName(tails.select("kind", "name", "t")).distinct()
-    # the rarest word may stand as an initial on the other side: then the next one must be there
-    second = ranked.where("p = 2").select("kind", "name", "t", F.substring("first", 1, 1).alias("letter"))
+    asks = second = None
+    for words in (placed, placed.where("NOT number")):
+        ranked = words.withColumns({"p": F.row_number().over(w), "first": F.first("t").over(w)})
+        tails = words.where("last").withColumn("p", F.row_number().over(w)).where(F.contains("name", F.lit(",")) & (F.col("p") == 1))
+        one = ranked.where("p = 1").select("kind", "name", "t").unionByName(tails.select("kind", "name", "t"))
+        # the rarest word may stand as an initial on the other side: then one of the next must be there
+        two = ranked.where("p >= 2").select("kind", "name", "t", F.substring("first", 1, 1).alias("letter"))
+        asks, second = (one, two) if asks is None else (asks.unionByName(one).distinct(), second.unionByName(two).distinct())
     initials = every.where(F.length("t") == 1).select("kind", F.col("name").alias("other"), F.col("t").alias("letter"))
     has = every.select("kind", F.col("name").alias("other"), "t")
 

@@ -112,6 +112,15 @@ def test_fuzzy_pairs_lose_nothing(spark, small):
     assert got == want
 
 
+def test_fuzzy_pairs_lose_no_one_sided_numbers(spark):
+    place = "Vemviskwand Observation Wing"
+    names = [place, f"{place} 26", f"{place} Annex", f"{place} 27", "Kevin Observation 26", "K. O. 26", "Norlund Wing, Annex 3", "Norlund Wing, Annex"] + [f"Vemviskwand {x} {y}" for x in ("Observation", "Wing") for y in ("Radar", "Tower", "Hangar")]
+    df = spark.createDataFrame([("place", n) for n in names], "kind string, name string")
+    got = {(r.a, r.b): r.similarity for r in resolve.fuzzy_pairs(df, df).where("a < b").collect()}
+    assert got == {(a, b): kernel.similarity(a, b) for a in names for b in names if a < b and kernel.similarity(a, b) >= kernel.FUZZY}
+    assert (f"{place} 26", f"{place} Annex") in got
+
+
 def test_near_tokens_lose_nothing(spark):
     r = random.Random(3)
     words = {"".join(r.choices("abcd", k=r.randint(1, 12))) for _ in range(220)}
