@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..common import node_type, norm_id
+from ..common import node_type, norm_id, spread
 from ..session import materialise
 from .components import group_ids
 
@@ -71,10 +71,14 @@ def ocr(token: str) -> str:
     return token.replace("rn", "m").replace("vv", "w")
 
 
+def readings(s: str) -> list[str]:
+    """s as it is, with cl read as d, with ph read as f, and with both."""
+    return [s, s.replace("cl", "d"), s.replace("ph", "f"), s.replace("cl", "d").replace("ph", "f")]
+
+
 def distance(a: str, b: str, most: int) -> int:
-    """edits, with cl read as d where that is nearer."""
-    d = edits(a, b, most)
-    return min(d, edits(a.replace("cl", "d"), b.replace("cl", "d"), most)) if d and ("cl" in a or "cl" in b) else d
+    """edits, with cl read as d and ph as f where that is nearer."""
+    return min(edits(x, y, most) for x, y in dict.fromkeys(zip(readings(a), readings(b), strict=True)))
 
 
 def given_name(token: str, established: frozenset[str]) -> str:
@@ -166,9 +170,9 @@ def _most(token: str) -> int:
 
 
 def _deletes2(s: str) -> set[str]:
-    """s, also with cl read as d, with up to two letters left out: any two words that distance()
-    puts within two edits share one of these."""
-    out = {s, s.replace("cl", "d")}
+    """The readings of s with up to two letters left out: any two words that distance() puts
+    within two edits share one of these."""
+    out = set(readings(s))
     for _ in range(2):
         out |= {x[:i] + x[i + 1 :] for x in out if len(x) > 1 for i in range(len(x))}
     return out
@@ -264,32 +268,56 @@ def _inside(x: str, y: str) -> bool:
     return all(c in at for c in x)
 
 
-def _deletes(s: str) -> set[str]:
-    both = {s, s.replace("cl", "d")}
-    return both | {x[:i] + x[i + 1 :] for x in both if len(x) >= 4 for i in range(len(x))}
+def starts(given: str) -> set[str]:
+    """Letters of which two given names within reach of the channel share at least one: the first
+    three of each reading, since two edits leave one of them among the other's first three."""
+    names = {given} | FORMAL.get(given, set()) | {n for n in NICKNAMES.get(given, "").split() if len(n) > 3}
+    return {c for n in names for x in (n, ocr(n)) for r in readings(x) for c in r[:3]}
+
 
+def block_keys(kind: str, p: dict) -> set[tuple[str, str]]:
+    """(word, rest): two spellings are compared if they share a rest and their words are equal or
+    near (see near_words).
 
-def block_keys(kind: str, p: dict) -> set[str]:
-    """Keys of which two spellings within reach of the channel share at least one: the surname
-    or place with up to one letter left out, and what their initials may be."""
+    People: the surname, and a letter of starts(). Bodies: the place, and the numbers with the
+    initials of the other words, up to two of them left out but one kept; a body of two words
+    also has its second word, with the place less up to two letters. What the channel would link
+    and this doesn't bring together: bodies of more words whose first one differs by more than
+    edits, or of which more than two initials, or all, differ.
+    """
     if kind == "person":
-        if not p["given"]:
-            return set()
-        starts = set()
-        for n in {p["given"]} | FORMAL.get(p["given"], set()):
-            starts |= set(ocr(n)[:2])
-        return {f"{d}|{s}" for d in _deletes(p["surname"]) for s in starts}
-    if len(p["tokens"]) < 2:
+        return {(p["surname"], s) for s in starts(p["given"])} if p["given"] else set()
+    tokens = p["tokens"]
+    if len(tokens) < 2:
         return set()
-    numbers = "#".join(sorted(t for t in p["tokens"] if t.isdigit()))
-    sign = "".join(sorted(p["acronym"] or _initials(p["tokens"][1:])))
-    signs = {sign} | ({sign[:i] + sign[i + 1 :] for i in range(len(sign))} if len(sign) > 2 else set())
-    return {f"{d}|{s}|{numbers}" for d in _deletes(p["tokens"][0]) for s in signs}
+    numbers = "#".join(sorted(t for t in tokens if t.isdigit()))
+    signs = {"".join(sorted(p["acronym"] or _initials(tokens[1:])))}
+    for _ in range(2):
+        signs |= {x[:i] + x[i + 1 :] for x in signs if len(x) > 1 for i in range(len(x))}
+    second = {(tokens[1], f"{d}~{numbers}") for d in _deletes2(tokens[0])} if len(tokens) == 2 and not p["acronym"] else set()
+    return {(tokens[0], f"{s}|{numbers}") for s in signs} | second
+
+
+def near_words(words: DataFrame) -> DataFrame:
+    """(kind, word, near): different words within the channel's edits of one another, both ways,
+    and each word with itself. Lossless: near words share one of _deletes2()."""
+    @F.pandas_udf("array<string>")
+    def deletes(word: pd.Series) -> pd.Series:
+        return word.map(lambda x: sorted(_deletes2(x)))
+
+    @F.pandas_udf("boolean")
+    def is_near(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([distance(x, y, m) <= m for x, y in zip(a, b, strict=True) for m in (max(_most(x), _most(y)),)], dtype=bool)
+
+    d = materialise(words.select("kind", "word", F.explode(deletes("word")).alias("d")), "deletes")
+    pairs = d.join(d.select("kind", F.col("word").alias("near"), "d"), ["kind", "d"]).where("word < near").select("kind", "word", "near").distinct()
+    near = materialise(spread(pairs).where(is_near("word", "near")), "near_words")
+    return near.unionByName(near.select("kind", F.col("near").alias("word"), F.col("word").alias("near"))).unionByName(words.select("kind", "word", F.col("word").alias("near")))
 
 
-_PARSED = "struct<key:string,short:boolean,weight:int,given:string,middle:string,surname:string,suffix:string,tokens:array<string>,acronym:string,blocks:array<string>>"
+_PARSED = "struct<key:string,short:boolean,weight:int,given:string,middle:string,surname:string,suffix:string,tokens:array<string>,acronym:string,blocks:array<struct<word:string,rest:string>>>"
 
-_COLUMNS = [f.split(":")[0] for f in _PARSED[len("struct<") : -1].split(",")]
+_COLUMNS = re.findall(r"(\w+):", re.sub(r"array<struct<.*?>>", "array", _PARSED[len("struct<") : -1]))
 
 
 def _parsed(kind: str, name: str, established: frozenset[str], own: frozenset[str]) -> dict | None:
@@ -302,7 +330,7 @@ def _parsed(kind: str, name: str, established: frozenset[str], own: frozenset[st
         p = parse_body(name, established)
         ok, short = bool(p["tokens"]), bool(p["acronym"])
         out = {"key": " ".join(p["tokens"]), "short": short, "weight": sum(map(len, p["tokens"])), "given": None, "middle": None, "surname": None, "suffix": None, **p}
-    return out | {"blocks": sorted(block_keys(kind, p))} if ok else None
+    return out | {"blocks": [{"word": w, "rest": r} for w, r in sorted(block_keys(kind, p))]} if ok else None
 
 
 def _first_words(name: str, kind: str) -> list[str]:
@@ -363,10 +391,13 @@ def attributions(classes: DataFrame, established: dict[str, frozenset[str]]) ->
     entities, so that an entity's other spellings add to it, and needs a clear majority.
     """
     fields = ["key", "uses", "short", "weight", "given", "middle", "surname", "suffix", "tokens", "acronym"]
-    keyed = classes.select("kind", F.explode("blocks").alias("block"), F.struct(*fields).alias("v"))
-    keyed = keyed.withColumn("rank", F.struct(F.col("v.short"), -F.col("v.uses"), -F.col("v.weight"), F.col("v.key")))
-    other = keyed.select("kind", "block", F.col("v").alias("c"), F.col("rank").alias("c_rank"))
-    pairs = keyed.join(other, ["kind", "block"]).where(F.col("c_rank") < F.col("rank")).groupBy("kind", F.col("v.key").alias("vk"), F.col("c.key").alias("ck")).agg(F.first("v").alias("v"), F.first("c").alias("c"))
+    rank = F.struct(F.col("short"), -F.col("uses"), -F.col("weight"), F.col("key"))
+    keyed = materialise(classes.select("kind", "key", rank.alias("rank"), F.explode("blocks").alias("b")).select("kind", "key", "rank", "b.word", "b.rest"), "blocks")
+    near = near_words(keyed.select("kind", "word").distinct())
+    asks = keyed.join(near, ["kind", "word"]).select("kind", F.col("near").alias("word"), "rest", F.col("key").alias("vk"), "rank")
+    pairs = asks.join(keyed.select("kind", "word", "rest", F.col("key").alias("ck"), F.col("rank").alias("c_rank")), ["kind", "word", "rest"]).where("c_rank < rank").select("kind", "vk", "ck").distinct()
+    struct = classes.select("kind", "key", F.struct(*fields).alias("s"))
+    pairs = pairs.join(struct.select("kind", F.col("key").alias("vk"), F.col("s").alias("v")), ["kind", "vk"]).join(struct.select("kind", F.col("key").alias("ck"), F.col("s").alias("c")), ["kind", "ck"])
     sent = classes.sparkSession.sparkContext.broadcast(established)
     channel = {"person": person_channel, "organisation": body_channel}
 

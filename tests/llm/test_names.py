@@ -85,3 +85,9 @@ def test_a_misspelling_stays_one_however_often_it_occurs(spark):
     pair = lambda a, b, s: frozenset((f"{a}||{s.lower()}|", f"{b}||{s.lower()}|"))
     assert {frozenset(x) for x in got} == {pair(a, b, s) for a, b in (("katherine", "katherlne"), ("xavier", "xavyer")) for s in surnames[:4]}
     assert N.own_words({"observation": 90, "obseruation": 9, "station": 40, "nation": 6, "stations": 30}, "organisation") == {"observation", "station", "nation", "stations"}
+
+
+def test_two_edits_in_one_word_are_found(spark):
+    counts = {"Harold Deandfotra": 2, "Harold Deandphotra": 2, "Vera Holtrunsta": 3, "Vera Hxltrunsba": 1, "Christopher Lindqvist": 3, "Xyristopher Lindqvist": 1, "Dethmoskwou Observation Wing 13": 3, "Dexhmoskwuu Observation Wing 13": 1}
+    want = [("harold||deandfotra|", "harold||deandphotra|"), ("vera||holtrunsta|", "vera||hxltrunsba|"), ("christopher||lindqvist|", "xyristopher||lindqvist|"), ("dethmoskwou observation wing 13", "dexhmoskwuu observation wing 13")]
+    assert {frozenset(x) for x in links(spark, counts)} == {frozenset(x) for x in want}
