@@ -80,6 +80,12 @@ def declared_acronym(c: str | Column) -> Column:
     return F.when(a != "", a)
 
 
+def trailing_acronym(c: str | Column) -> Column:
+    """kernel.declared_acronym(): what stands in brackets at the end, in capitals."""
+    a = F.upper(F.regexp_extract(_col(c), r"\(([A-Za-z0-9./-]{2,10})\)\s*$", 1))
+    return F.when(a != "", a)
+
+
 def body(c: str | Column) -> Column:
     """A record's text without its front matter and {{annotations}}."""
     x = F.regexp_replace(_col(c), r"(?s)\A---\n.*?\n---\n?", "")

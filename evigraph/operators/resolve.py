@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..common import spread
-from ..functions import kernel, text
+from ..functions import kernel, names, text
 from ..functions.kernel import ratio_udf, similarity_udf
 from ..session import materialise
 
 
+#: Tasks over which the holders of one word are spread.
+SALTS = 8
+
+
 def plain_key(c: str | Column) -> Column:
     """A name in lower case with word punctuation and runs of blanks as one blank."""
     x = F.col(c) if isinstance(c, str) else c
@@ -58,19 +62,23 @@ def near_tokens(tokens: DataFrame, least: float = 0.81) -> DataFrame:
 
 
 def _name_tokens(names: DataFrame) -> DataFrame:
-    """(kind, name, t, last, number): the kernel's tokens of each name, last = of its last comma
-    part, number = with digits, which the kernel doesn't ask a counterpart for."""
-    @F.pandas_udf("array<struct<t:string,last:boolean,number:boolean>>")
+    """(kind, name, form, t, last, number): the kernel's tokens of each name as it is (form 0) and
+    with declared acronyms collapsed (form 1); last = of its last comma part, number = with
+    digits, which the kernel doesn't ask a counterpart for."""
+    @F.pandas_udf("array<struct<form:int,t:string,last:boolean,number:boolean>>")
     def split(name: pd.Series) -> pd.Series:
         def one(n):
-            tail = set(kernel.parts(n.split(",")[-1]).tokens)
-            every = kernel.parts(n).tokens
-            telling = [x for x in every if x not in kernel.STOP] or list(every)
-            return [{"t": x, "last": x in tail, "number": any(c.isdigit() for c in x)} for x in dict.fromkeys(telling)]
+            forms = dict.fromkeys([n.lower(), kernel.collapse_acronyms(n.lower())])
+            out = []
+            for form, f in enumerate(forms):
+                tail, every = set(kernel.tokens(f.split(",")[-1])), kernel.tokens(f)
+                telling = [x for x in every if x not in kernel.STOP] or every
+                out += [{"form": form, "t": x, "last": x in tail, "number": any(c.isdigit() for c in x)} for x in dict.fromkeys(telling)]
+            return out
 
         return name.map(one)
 
-    return names.select("kind", "name", F.explode(split("name")).alias("x")).select("kind", "name", "x.t", "x.last", "x.number")
+    return names.select("kind", "name", F.explode(split("name")).alias("x")).select("kind", "name", "x.*")
 
 
 def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75) -> DataFrame:
@@ -79,17 +87,16 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75) -> DataF
     left and right: (kind, name), distinct. Two names can only be similar if every telling
     word of one without digits has a counterpart in the other. So each name asks with its rarest
     word without digits and the rarest such of its last comma part, for a near spelling; and with
-    its rarer words after the rarest where the other holds an initial of that. Both sides ask.
-    Words with digits ask as well, in the same way: names of numbers or of initials and numbers
-    have no other. Scored once per distinct pair.
+    its rarer words after the rarest where the other holds an initial of that. Both sides ask,
+    in either spelling (acronyms as declared or collapsed). Words with digits ask as well, in
+    the same way: names of numbers or of initials and numbers have no other. Scored once per
+    distinct pair; a word that many names hold is spread by the holders.
     """
-    lt, rt = _name_tokens(left), _name_tokens(right)
-    every = lt.unionByName(rt).distinct()
-    every = materialise(every, "name_tokens")
+    every = materialise(_name_tokens(left.unionByName(right).distinct()), "name_tokens")
     near = materialise(near_tokens(every.select("t")), "near_tokens")
-    counts = every.groupBy("kind", "t").agg(F.count("*").alias("df"))
+    counts = every.groupBy("kind", "t").agg(F.countDistinct("name").alias("df"))
     placed = materialise(every.join(counts, ["kind", "t"]).where(F.length("t") > 1), "asks")
-    w = W.partitionBy("kind", "name").orderBy("df", "t")
+    w = W.partitionBy("kind", "name", "form").orderBy("df", "t")
     asks = second = None
     for words in (placed, placed.where("NOT number")):
         ranked = words.withColumns({"p": F.row_number().over(w), "first": F.first("t").over(w)})
@@ -98,14 +105,17 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75) -> DataF
         # the rarest word may stand as an initial on the other side: then one of the next must be there
         two = ranked.where("p >= 2").select("kind", "name", "t", F.substring("first", 1, 1).alias("letter"))
         asks, second = (one, two) if asks is None else (asks.unionByName(one).distinct(), second.unionByName(two).distinct())
-    initials = every.where(F.length("t") == 1).select("kind", F.col("name").alias("other"), F.col("t").alias("letter"))
-    has = every.select("kind", F.col("name").alias("other"), "t")
+    initials = every.where(F.length("t") == 1).select("kind", F.col("name").alias("other"), F.col("t").alias("letter")).distinct()
+    has = every.select("kind", F.col("name").alias("other"), "t").distinct()
 
     def wide(x: DataFrame) -> DataFrame:
         return x.unionByName(x.join(near, "t").select(*[F.col("u").alias("t") if c == "t" else F.col(c) for c in x.columns])).distinct()
 
-    hits = wide(asks).join(has, ["kind", "t"]).select("kind", "name", "other")
-    short = wide(second).join(has.join(initials, ["kind", "other"]), ["kind", "t", "letter"]).select("kind", "name", "other")
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salted = lambda x: x.withColumn("salt", F.explode(salts))
+    held = has.withColumn("salt", F.pmod(F.xxhash64("other"), F.lit(SALTS)).cast("int"))
+    hits = salted(wide(asks)).join(held, ["kind", "t", "salt"]).select("kind", "name", "other")
+    short = salted(wide(second)).join(held.join(initials, ["kind", "other"]), ["kind", "t", "letter", "salt"]).select("kind", "name", "other")
     hits = hits.unionByName(short).distinct()
     is_left = left.select("kind", F.col("name").alias("a"))
     is_right = right.select("kind", F.col("name").alias("b"))
@@ -128,7 +138,7 @@ def fuzzy_edges(nodes: DataFrame, least: float = 0.75) -> DataFrame:
 
 
 #: The tiers of matching in their order.
-TIERS = ("exact", "equivalent", "acronym", "punctuation", "nickname", "fuzzy")
+TIERS = ("exact", "alias", "equivalent", "acronym", "punctuation", "nickname", "fuzzy")
 
 
 def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: DataFrame, fuzzy: bool = True) -> DataFrame:
@@ -136,49 +146,96 @@ def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: Da
     tier that finds a live node of its type.
 
     exact name, then alias; equal equivalence key; a bare acronym that a node declares; equal
-    letters and digits; a nickname (people); the most similar name or alias from 0.75 on that
-    shares 0.3 of its words. More references win, then the smaller id; fuzzy by similarity
-    first. Descriptions in brackets match nothing. Each tier is one join over distinct names.
+    letters and digits; a nickname (people); the most similar from 0.75 on, by a node's name
+    that shares 0.3 of the words, or by an alias where the name shares fewer. Of several exact
+    names and declared acronyms the most referenced wins, then the smaller id; elsewhere the
+    node that came first (seq, where nodes have it), then the smaller id. Descriptions in
+    brackets match nothing, and a person's name without a family name neither matches nor is
+    matched (see match_in_record). Each tier is one join over distinct names.
     """
-    asked = asked.select("kind", "name").where("name IS NOT NULL").distinct()
-    asked = materialise(asked.withColumns({"key": kernel.equivalence_udf("name"), "blind": text.blind_key("name"), "bare": kernel.bare_acronym_udf("name")}), "asked")
-    open_ = asked.where(~text.is_description("name"))
-    n = nodes.select(F.col("node_type").alias("kind"), F.col("name").alias("node_name"), F.col("id").alias("node_id"))
-    live = n.select("node_id", "kind")
-    spelled = n.unionByName(aliases.select(F.col("alias").alias("node_name"), "node_id").join(live, "node_id").select("kind", "node_name", "node_id"))
-    spelled = spelled.groupBy("kind", "node_name", "node_id").agg(F.lit(1).alias("_")).drop("_")
-    keys = spelled.select("node_name").distinct().withColumns({"nkey": kernel.equivalence_udf("node_name"), "nblind": text.blind_key("node_name"), "acr": text.declared_acronym("node_name")})
-    spelled = materialise(spelled.join(keys, "node_name"), "spelled")
+    scoped = (F.col("kind") == "person") & names.record_scoped("name")
+    asked = asked.select("kind", "name").where(F.col("name").isNotNull() & ~text.is_description("name") & ~scoped).distinct()
+    bare = (F.length(F.trim("name")) <= kernel.BARE) & ~F.contains(F.trim("name"), F.lit(" ")) & (F.upper("name") == F.col("name")) & (F.trim("name") != "")
+    asked = materialise(asked.withColumns({"key": kernel.equivalence_udf("name"), "blind": text.blind_key("name"), "bare": bare}), "asked")
+    order = F.col("seq") if "seq" in nodes.columns else F.lit(0)
+    n = nodes.select(F.col("node_type").alias("kind"), "name", F.col("id").alias("node_id"), order.cast("bigint").alias("seq")).where(F.col("name").isNotNull())
+    n = n.where(~((F.col("kind") == "person") & names.record_scoped("name"))).distinct().join(refs, "node_id", "left").withColumn("refs", F.coalesce("refs", F.lit(0)))
+    keys = n.select("name").distinct().withColumns({"key": kernel.equivalence_udf("name"), "blind": text.blind_key("name"), "acr": text.trailing_acronym("name")})
+    n = materialise(n.join(keys, "name").withColumnRenamed("name", "node_name"), "spelled")
+    other = aliases.select("alias", "node_id").distinct().join(n.select("kind", "node_id", "node_name", "seq", "refs"), "node_id")
     found = []
 
-    def tier(df: DataFrame, i: int, score=None) -> None:
-        found.append(df.select("kind", "name", "node_id", F.lit(i).alias("tier"), (F.lit(1.0) if score is None else score).alias("score")))
-
-    tier(open_.join(spelled.withColumn("name", F.col("node_name")).select("kind", "name", "node_id"), ["kind", "name"]), 0)
-    tier(open_.join(spelled.select("kind", F.col("nkey").alias("key"), "node_id"), ["kind", "key"]), 1)
-    tier(open_.where("bare").join(spelled.where("acr IS NOT NULL").select("kind", F.col("acr").alias("name"), "node_id"), ["kind", "name"]), 2)
-    tier(open_.join(spelled.where("nblind IS NOT NULL").select("kind", F.col("nblind").alias("blind"), "node_id"), ["kind", "blind"]), 3)
-    rest = lambda c: F.lower(F.trim(F.regexp_replace(F.col(c), r"^\S+\s*", "")))
-    people = open_.where("kind = 'person'").withColumn("tail", rest("name")).where("tail <> ''")
-    nick = people.join(spelled.where("kind = 'person'").withColumn("tail", rest("node_name")).select("node_name", "node_id", "tail"), "tail")
-    tier(nick.where(kernel.nickname_udf("name", "node_name")), 4)
+    def tier(df: DataFrame, name: str, most_used: bool, score=None) -> None:
+        by = -F.col("refs") if most_used else F.col("seq")
+        found.append(df.select("kind", "name", "node_id", F.lit(TIERS.index(name)).alias("tier"), (F.lit(1.0) if score is None else score).alias("score"), by.cast("bigint").alias("by")))
+
+    there = n.drop("node_name")
+    tier(asked.join(n.withColumnRenamed("node_name", "name").drop("key", "blind", "acr"), ["kind", "name"]), "exact", True)
+    tier(asked.join(other.withColumnRenamed("alias", "name").drop("node_name"), ["kind", "name"]), "alias", True)
+    tier(asked.select("kind", "name", "key").join(there, ["kind", "key"]), "equivalent", False)
+    tier(asked.where("bare").select("kind", "name", F.upper(F.trim("name")).alias("acr")).join(there.where("acr IS NOT NULL"), ["kind", "acr"]), "acronym", True)
+    tier(asked.select("kind", "name", "blind").join(there.where("blind IS NOT NULL"), ["kind", "blind"]), "punctuation", False)
+    rest = lambda c: F.regexp_replace(F.trim(F.regexp_replace(F.col(c), r"^\s*\S+\s*", "")), r"\s+", " ")
+    people = asked.where("kind = 'person'").select("kind", "name", rest("name").alias("tail")).where("tail <> ''")
+    nick = people.join(n.where("kind = 'person'").withColumn("tail", rest("node_name")), ["kind", "tail"])
+    tier(nick.where(kernel.nickname_udf("name", "node_name")), "nickname", False)
     first = found[0]
     for x in found[1:]:
         first = first.unionByName(x)
     first = materialise(first, "tiers")
     if fuzzy:
-        left = open_.join(first.select("kind", "name").distinct(), ["kind", "name"], "left_anti").select("kind", "name")
-        p = fuzzy_pairs(left, spelled.select("kind", F.col("node_name").alias("name")).distinct())
-        wa, wb = F.array_distinct(F.split(F.lower(F.trim("a")), r"\s+")), F.array_distinct(F.split(F.lower(F.trim("b")), r"\s+"))
-        share = F.size(F.array_intersect(wa, wb)) / F.greatest(F.size(wa), F.size(wb))
-        near = p.where(share >= kernel.OVERLAP).join(spelled.select("kind", F.col("node_name").alias("b"), "node_id"), ["kind", "b"])
-        first = first.unionByName(near.select("kind", F.col("a").alias("name"), "node_id", F.lit(5).alias("tier"), F.col("similarity").alias("score")))
-    x = first.join(refs, "node_id", "left")
-    w = W.partitionBy("kind", "name").orderBy("tier", F.desc("score"), F.desc(F.coalesce("refs", F.lit(0))), "node_id")
-    best = x.withColumn("p", F.row_number().over(w)).where("p = 1")
+        left = asked.join(first.select("kind", "name").distinct(), ["kind", "name"], "left_anti").select("kind", "name")
+        spelled = n.select("kind", F.col("node_name").alias("name")).unionByName(other.select("kind", F.col("alias").alias("name"))).distinct()
+        p = materialise(fuzzy_pairs(left, spelled), "fuzzy_pairs")
+        wide = lambda c: F.array_distinct(F.split(F.lower(F.trim(c)), r"\s+"))
+        share = lambda x, y: F.size(F.array_intersect(wide(x), wide(y))) / F.greatest(F.size(wide(x)), F.size(wide(y)))
+        by_name = p.where(share("a", "b") >= kernel.OVERLAP).join(there.join(n.select("node_id", F.col("node_name").alias("b")), "node_id"), ["kind", "b"])
+        by_alias = p.join(other.withColumnRenamed("alias", "b"), ["kind", "b"]).where(share("a", "node_name") < kernel.OVERLAP)
+        for x in (by_name, by_alias):
+            found.clear()
+            tier(x.withColumnRenamed("a", "name"), "fuzzy", False, F.col("similarity"))
+            first = first.unionByName(found[0])
+    w = W.partitionBy("kind", "name").orderBy("tier", F.desc("score"), "by", "node_id")
+    best = first.withColumn("p", F.row_number().over(w)).where("p = 1")
     return best.select("kind", "name", "node_id", F.element_at(F.array(*[F.lit(t) for t in TIERS]), F.col("tier") + 1).alias("tier"), F.round("score", 9).alias("score"))
 
 
+def match_in_record(asked: DataFrame, people: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(record_id, name, node_id, via): the person that a record knows by a name, if any.
+
+    asked: (record_id, name); people: (record_id, node_id, name), whom each record declares,
+    quotes or refers to. By exact name, else by alias (of several the smallest id), else, for one
+    word that is no initial, by the given or family name if exactly one of the record's people
+    of two or more words carries it.
+    """
+    asked = asked.select("record_id", "name").where("name IS NOT NULL").distinct()
+    people = materialise(people.select("record_id", "node_id", "name").distinct(), "people")
+    by_name = asked.join(people, ["record_id", "name"]).groupBy("record_id", "name").agg(F.min("node_id").alias("by_name"))
+    known = people.select("record_id", "node_id").distinct().join(aliases.select("node_id", F.col("alias").alias("name")).distinct(), "node_id")
+    by_alias = asked.join(known, ["record_id", "name"]).groupBy("record_id", "name").agg(F.min("node_id").alias("by_alias"))
+    w = names.person_words("name")
+    carried = people.select("record_id", "node_id", w.alias("w")).where(F.size("w") > 1).select("record_id", "node_id", F.explode(F.array_distinct(F.array(F.col("w")[0], F.element_at("w", -1)))).alias("word"))
+    carriers = carried.groupBy("record_id", "word").agg(F.countDistinct("node_id").alias("n"), F.min("node_id").alias("by_word")).where("n = 1").drop("n")
+    one = F.when((F.size(w) == 1) & ~names.is_initial(w[0]), w[0])
+    x = asked.withColumn("word", one).join(carriers, ["record_id", "word"], "left").join(by_name, ["record_id", "name"], "left").join(by_alias, ["record_id", "name"], "left")
+    via = F.when(F.col("by_name").isNotNull(), "name").when(F.col("by_alias").isNotNull(), "alias").when(F.col("by_word").isNotNull(), "word")
+    return x.select("record_id", "name", F.coalesce("by_name", "by_alias", "by_word").alias("node_id"), via.alias("via")).where("node_id IS NOT NULL")
+
+
+def fuller_names(people: DataFrame) -> DataFrame:
+    """(name, candidates, fuller): names whose given name is an initial, how many names spell it
+    out, and the first of these. people: (name), distinct.
+
+    Names meet by family name and first letter; only the deficient ones ask.
+    """
+    w = names.person_words("name")
+    n = materialise(people.where(F.col("name").isNotNull() & ~names.record_scoped("name")).select("name", w.alias("w")).where(F.size("w") > 1).select("name", F.element_at("w", -1).alias("family"), F.substring(F.col("w")[0], 1, 1).alias("letter"), names.is_initial(F.col("w")[0]).alias("short")), "people")
+    asks = n.where("short").select("family", "letter", "name")
+    full = n.where("NOT short").select("family", "letter", F.col("name").alias("fuller"))
+    x = spread(asks.join(full, ["family", "letter"])).where(kernel.fuller_udf("fuller", "name"))
+    return x.groupBy("name").agg(F.count("*").alias("candidates"), F.min("fuller").alias("fuller"))
+
+
 def resolve_unique(asked: DataFrame, nodes: DataFrame, aliases: DataFrame) -> DataFrame:
     """(name, state, node_id): unique where name or alias leads to exactly one live node,
     ambiguous to several, lost to none. Never guesses: node_id is null unless unique."""

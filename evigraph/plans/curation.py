@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..common import norm_hash, norm_id
-from ..functions import kernel, text
+from ..functions import text
 from ..operators import briefs, ledger, reconcile, resolve
 from ..operators import evidence as ev
 from ..operators import incremental as inc
 from ..operators.graph import Graph
 from .registry import Registry
-from .sqlbase import hash64, ident
+from .sqlbase import hash64, ident, person_words, scoped
 from .sqlbase import with_parts as q
 
 R = Registry()
@@ -40,11 +40,15 @@ def m2(g):
     return x.groupBy("action").agg(F.count("*").alias("n"), F.countDistinct("record_id").alias("records"))
 
 
-@add("m3_fuller_names")
+@add("m3_fuller_names", q("node", f"""
+, p AS (SELECT DISTINCT name FROM node WHERE node_type = 'person'), {person_words('p')},
+k AS (SELECT name, w, w[1][1] AS letter, w[-1] AS family FROM pw WHERE len(w) > 1 AND NOT {scoped('w', 'name')}),
+f AS (SELECT o.name, n.name AS fuller FROM k o JOIN k n ON n.family = o.family AND n.letter = o.letter WHERE regexp_full_match(o.w[1], '[a-z](\\.[a-z])*') AND NOT regexp_full_match(n.w[1], '[a-z](\\.[a-z])*')
+ AND (len(o.w) = 2 OR (len(o.w) = 3 AND len(list_filter(n.w[2:-2], lambda v: v = o.w[2] OR ((length(v) = 1 OR length(o.w[2]) = 1) AND v[1] = o.w[2][1]))) > 0)) AND NOT regexp_matches(regexp_replace(n.name, '\\([^)]*\\)', ' ', 'g'), '[''’]s\\b') AND NOT regexp_matches(regexp_replace(n.name, '\\([^)]*\\)', ' ', 'g'), '(^|[\\s/,])\\p{{Ll}}'))
+SELECT name, count(*) AS candidates, min(fuller) AS fuller FROM f GROUP BY name"""))
 def m3(g):
-    n = g.nodes("node_type", "name").where("node_type = 'person'").select(F.col("id").alias("node_id"), "name")
-    x = g.aliases().select("alias", "node_id").join(n, "node_id")
-    return x.where(kernel.fuller_udf("alias", "name")).select("node_id", "name", "alias")
+    """Names of people whose given name is an initial, with the names that spell it out."""
+    return resolve.fuller_names(g.nodes("node_type", "name").where("node_type = 'person'").select("name").distinct())
 
 
 @add("m4_upserted_receipts", f"""

@@ -10,6 +10,8 @@ from ..operators import evidence as ev
 from ..operators import gate
 from ..operators.graph import Graph
 from .registry import Registry
+from ..functions import kernel
+from .sqlbase import person_words, scoped, strip_acronym
 from .sqlbase import with_parts as q
 
 R = Registry()
@@ -316,7 +318,21 @@ def gate_floors(g):
     return gate.floors_passed(g.nodes("node_type", "name"), ev.spread_per_node(g.node_claims(), g.works())).drop("name")
 
 
-@add("v5_page_gate")
+_OPENING = gate.OPENING.replace("ARTICLES", "|".join(gate.ARTICLES)).replace("HONORIFICS", "|".join(sorted(kernel.HONORIFICS))).replace("\\W", "[^\\p{L}\\p{N}\\p{M}_]")
+_ABOUT = _SPREAD + f"""
+, gt AS (SELECT n.id, n.node_type, n.name, CASE WHEN n.node_type IN ('place', 'object', 'document') THEN 'high-bar' ELSE 'page-worthy' END AS tier, CAST(sp.claims AS BIGINT) AS claims, sp.sources, sp.top_source, sp.second_source
+FROM node n JOIN sp ON sp.nid = n.id WHERE sp.second_source >= 3 AND ((n.node_type IN ('person', 'organisation', 'project', 'event', 'topic') AND sp.claims >= 8 AND sp.sources >= 3) OR (n.node_type IN ('place', 'object', 'document') AND sp.claims >= 12 AND sp.sources >= 4))),
+{person_words('gt')},
+b AS (SELECT gt.id, gt.name, node_type, {strip_acronym('gt.name')} AS bare, pw.w FROM gt JOIN pw USING (name)),
+f AS (SELECT id, name AS f FROM b UNION SELECT id, bare FROM b UNION SELECT id, regexp_extract(name, '\\(([A-Za-z0-9./-]{{2,10}})\\)\\s*$', 1) FROM b UNION SELECT id, split_part(bare, ',', -1) FROM b WHERE position(',' IN bare) > 0
+ UNION SELECT id, w[-1] FROM b WHERE node_type = 'person' AND len(w) > 1 AND length(w[-1]) > 2 UNION SELECT a.node_id, a.alias FROM alias a JOIN b ON b.id = a.node_id),
+pt AS (SELECT id, '(?is)^{_OPENING}' || string_agg(f, '|' ORDER BY n DESC, f) || ')(?:[^\\p{{L}}\\p{{N}}\\p{{M}}_-]|$)' AS pattern FROM (SELECT DISTINCT id, regexp_replace(trim(f), '([^\\p{{L}}\\p{{N}}\\s])', '\\\\\\1', 'g') AS f, length(trim(f)) AS n FROM f WHERE length(trim(f)) > 1) GROUP BY id),
+sc AS (SELECT id, count(*) AS subject_claims FROM (SELECT DISTINCT pt.id, c.content FROM pt JOIN nc ON nc.nid = pt.id JOIN clm c ON c.id = nc.cid WHERE regexp_matches(c.content, pt.pattern)) GROUP BY 1)
+SELECT gt.id AS node_id, gt.node_type, gt.name, tier, claims, sources, top_source, second_source, coalesce(subject_claims, 0) AS subject_claims FROM gt LEFT JOIN sc ON sc.id = gt.id LEFT JOIN pw ON pw.name = gt.name
+WHERE NOT (gt.node_type IN ('person', 'organisation', 'object') AND coalesce(subject_claims, 0) < 3) AND NOT (gt.node_type = 'person' AND {scoped('pw.w', 'gt.name')})"""
+
+
+@add("v5_page_gate", q("node nc work clm alias", _ABOUT))
 def page_gate(g):
     return gate.page_gate(g)
 

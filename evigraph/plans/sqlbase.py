@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..functions import kernel
+
 
 def ident(c: str) -> str:
     return f"nullif(lower(trim({c}, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), '')"
@@ -42,6 +44,37 @@ PARTS = {
 }
 
 
+_TRIMMED = r"'^[^\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_]+$'"
+
+
+def _words(t: str) -> str:
+    return f"list_filter(list_transform(regexp_split_to_array({t}, '[\\s/,]+'), lambda w: regexp_replace(w, {_TRIMMED}, '', 'g')), lambda w: w <> '')"
+
+
+def _in(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+def person_words(source: str, column: str = "name", out: str = "pw") -> str:
+    """CTEs that end in `out` (column, w): the words of each different name of a source, as kernel.person_words()."""
+    skip = lambda x, words: f"{x}[coalesce(list_position(list_transform({x}, lambda w: w NOT IN {_in(words)}), true), len({x}) + 1):]"
+    return f"""{out}_x AS (SELECT {column}, regexp_replace(lower({column}), '\\([^)]*\\)', ' ', 'g') AS x FROM (SELECT DISTINCT {column} FROM {source} WHERE {column} IS NOT NULL)),
+{out}_p AS (SELECT {column}, split_part(x, ',', 1) AS f, CASE WHEN position(',' IN x) > 0 THEN substr(x, position(',' IN x) + 1) ELSE '' END AS g FROM {out}_x),
+{out}_w AS (SELECT {column}, CASE WHEN len(list_filter(regexp_split_to_array(g, '[\\s.]+'), lambda w: w <> '' AND w NOT IN {_in(kernel.SUFFIXES)})) = 0 THEN {_words('f')} ELSE list_concat({_words('g')}, {_words('f')}) END AS w FROM {out}_p),
+{out}_h AS (SELECT {column}, list_reverse({skip('w', kernel.HONORIFICS)}) AS w FROM {out}_w),
+{out} AS (SELECT {column}, list_reverse({skip('w', kernel.SUFFIXES)}) AS w FROM {out}_h)"""
+
+
+def scoped(w: str, name: str) -> str:
+    """Whether a person's name has no family name, from its words."""
+    return f"({name} SIMILAR TO '\\s*\\[[^\\[\\]]+\\]\\s*' OR CASE WHEN len({w}) > 1 THEN regexp_full_match({w}[-1], '[a-z](\\.[a-z])*') AND NOT regexp_full_match({w}[-1], '[ivx]{{1,4}}') ELSE len({w}) = 0 OR {w}[1] NOT IN {_in(kernel.MONONYMS)} END)"
+
+
+def strip_acronym(name: str) -> str:
+    """Without a trailing acronym of three or more; two letters are not looked at."""
+    return f"rtrim(regexp_replace({name}, '\\s*\\([A-Z0-9][A-Z0-9-]+[A-Z0-9]\\)\\s*$', ''))"
+
+
 def with_parts(need: str, body: str, recursive: bool = False) -> str:
     """WITH the named clean tables (blank-separated), then the body; body may go on with ', x AS (...)'."""
     order: list[str] = []

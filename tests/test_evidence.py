@@ -45,10 +45,17 @@ def test_reach_with_hubs_equals_pairs(spark, rows):
     assert E.record_reach(nc.limit(0)).collect() == []
 
 
-def test_subject_patterns():
-    p = gate.subject_pattern(gate.subject_forms("David Fravor", "person", ["Sex"]))
-    assert p.match("David Fravor observed") and p.match("At midday on 8 July 1947, Commander Fravor ordered") and p.match("The Fravor report") and not p.match("According to David Fravor's wing it flew") and not p.match("Fravorite")
-    assert "Roswell" in gate.subject_forms("USA, New Mexico, Roswell", "place", []) and "CIA" in gate.subject_forms("Central Intelligence Agency (CIA)", "organisation", [])
+def test_subject_counts(spark, rows):
+    nodes = frame(spark, "id string, node_type string, name string", [("p", "person", "Ada Brenner"), ("o", "organisation", "Coast Signal Panel (CSP)"), ("l", "place", "Peru, Lima, Dock 7"), ("x", "object", "A+ (b) kit"), ("z", "person", None)])
+    aliases = frame(spark, "node_id string, alias string", [("p", "Gull"), ("p", None), ("x", "")])
+    texts = {
+        "p": ["Ada Brenner saw it", "At noon on 8 July 1951, Commander Brenner ordered it", "The brenner report", "GULL went up", "According to Ada Brenner's wing it flew", "Brennerite", "Some Brenner", "", None, "A long clause " + "x" * 90 + ", Brenner said"],
+        "o": ["the CSP met", "Coast signal panel met", "Panel met", "CSP-2 met"], "l": ["Dock 7 burnt", "Lima burnt"], "x": ["A+ (b) kit, found", "A (b) kit"], "z": ["Ada"],
+    }
+    rows_ = [(n, f"{n}{i}", t) for n, ts in texts.items() for i, t in enumerate([*ts, ts[0]])]
+    nc, claims = frame(spark, "nid string, cid string", [r[:2] for r in rows_]), frame(spark, "id string, content string", [r[1:] for r in rows_])
+    assert rows(gate.subject_counts(nodes, aliases, nc, claims)) == [("l", 1), ("o", 2), ("p", 4), ("x", 1)]
+    assert gate.subject_counts(nodes, aliases, nc.limit(0), claims).collect() == []
 
 
 def test_record_scoped_people(spark):

@@ -104,7 +104,8 @@ def test_fuzzy_pairs_lose_nothing(spark, small):
     from evigraph.operators.graph import Graph
 
     n = Graph(spark, small).nodes("node_type", "name").selectExpr("node_type AS kind", "name").distinct()
-    extra = [("person", x) for x in ("K. Day", "Kevin Day", "Kevin Day Jones", "Day, Kevin", "Daye, Kevin", "Kewin Dey")] + [("place", x) for x in ("USA, Nevada, Area 51", "Nevada, Area 51", "USA, Nevada, Area 52")]
+    extra = [("person", x) for x in ("A. Marsh", "Adam Marsh", "Adam Marsh Vale", "Marsh, Adam", "Marshe, Adam", "Adem Mersh")] + [("place", x) for x in ("Peru, Lima, Dock 51", "Lima, Dock 51", "Peru, Lima, Dock 52", "Dock 51", "Lima Dock")]
+    extra += [("event", x) for x in ("1951 Coast Signal Review Panel (CSRP) hearing", "1951 CSRP hearing", "1951 CSRP hearings", "CSRP", "Coast Signal Review Panel (CSRP)", "Panel (CSRP) hearing")]
     names = n.union(spark.createDataFrame(extra, "kind string, name string")).distinct()
     got = {(r.kind, r.a, r.b): r.similarity for r in resolve.fuzzy_pairs(names, names).where("a < b").collect()}
     every = [tuple(r) for r in names.collect()]
@@ -130,12 +131,28 @@ def test_near_tokens_lose_nothing(spark):
 
 
 def test_match_tiers(spark):
-    nodes = spark.createDataFrame([("1", "person", "Robert Smith"), ("2", "organisation", "Defense Intelligence Agency (DIA)"), ("3", "organisation", "KLAS-TV"), ("4", "object", "E-2 Hawkeye"), ("5", "person", "David Fravor"), ("6", "person", "Robert Smith")], "id string, node_type string, name string")
-    aliases = spark.createDataFrame([("Blue Book", "4"), ("Dave", "5")], "alias string, node_id string")
-    refs = spark.createDataFrame([("6", 9), ("1", 2)], "node_id string, refs int")
-    asked = [("person", "Robert Smith"), ("organisation", "klas tv"), ("organisation", "DIA"), ("object", "E2Hawkeye"), ("person", "Bob Smith"), ("person", "David Favor"), ("object", "Blue Book"), ("person", "[interviewer]"), ("person", "Nobody Known"), ("place", "DIA")]
+    nodes = spark.createDataFrame([("1", "person", "Robert Marsh", 2), ("2", "organisation", "Defence Signal Agency (DSA)", 3), ("3", "organisation", "KLOS-TV", 4), ("4", "object", "H-2 Gull", 5), ("5", "person", "Ada Brenner", 6), ("6", "person", "Robert Marsh", 1), ("7", "person", "Vale", 7)], "id string, node_type string, name string, seq int")
+    aliases = spark.createDataFrame([("Grey Book", "4"), ("Ada", "5")], "alias string, node_id string")
+    refs = spark.createDataFrame([("6", 2), ("1", 9)], "node_id string, refs int")
+    asked = [("person", "Robert Marsh"), ("organisation", "klos tv"), ("organisation", "DSA"), ("object", "H2Gull"), ("person", "Bob Marsh"), ("person", "Ada Brener"), ("object", "Grey Book"), ("person", "[interviewer]"), ("person", "Nobody Known"), ("place", "DSA"), ("person", "Vale"), ("person", "Ada")]
     got = {r.name: (r.node_id, r.tier) for r in resolve.match_names(spark.createDataFrame(asked, "kind string, name string"), nodes, aliases, refs).collect()}
-    assert got == {"Robert Smith": ("6", "exact"), "klas tv": ("3", "equivalent"), "DIA": ("2", "acronym"), "E2Hawkeye": ("4", "punctuation"), "Bob Smith": ("6", "nickname"), "David Favor": ("5", "fuzzy"), "Blue Book": ("4", "exact")}
+    assert got == {"Robert Marsh": ("1", "exact"), "klos tv": ("3", "equivalent"), "DSA": ("2", "acronym"), "H2Gull": ("4", "punctuation"), "Bob Marsh": ("6", "nickname"), "Ada Brener": ("5", "fuzzy"), "Grey Book": ("4", "alias")}
+
+
+def test_match_in_record(spark):
+    people = [("r1", "1", "Ada Brenner"), ("r1", "2", "Tom Vale"), ("r1", "3", "Tim Vale"), ("r1", "4", "Lind"), ("r2", "1", "Ada Brenner"), ("r2", "1", "Ada Brenner"), ("r2", "5", None)]
+    aliases = spark.createDataFrame([("The pilot", "2"), ("The pilot", "5")], "alias string, node_id string")
+    asked = [("r1", "Brenner"), ("r1", "Vale"), ("r1", "Tom"), ("r1", "Lind"), ("r1", "The pilot"), ("r2", "Vale"), ("r2", "Ada"), ("r1", "A."), ("r1", None)]
+    out = resolve.match_in_record(spark.createDataFrame(asked, "record_id string, name string"), spark.createDataFrame(people, "record_id string, node_id string, name string"), aliases)
+    got = {(r.record_id, r.name): (r.node_id, r.via) for r in out.collect()}
+    assert got == {("r1", "Brenner"): ("1", "word"), ("r1", "Tom"): ("2", "word"), ("r1", "Lind"): ("4", "name"), ("r1", "The pilot"): ("2", "alias"), ("r2", "Ada"): ("1", "word")}
+
+
+def test_fuller_names(spark):
+    people = [("A. Brenner",), ("Ada Brenner",), ("Anna Brenner",), ("T. Vale",), ("Ada's Brenner",), ("Tom Marsh",), (None,)]
+    got = [tuple(r) for r in resolve.fuller_names(spark.createDataFrame(people, "name string")).collect()]
+    assert got == [("A. Brenner", 2, "Ada Brenner")]
+
 
 
 def test_search(spark, rows):
