@@ -1,6 +1,6 @@
 import random
 
-import pyarrow as pa
+import numpy as np
 
 from evigraph.llm import leakage as L
 
@@ -64,14 +64,32 @@ def test_random_texts_against_brute_force(spark):
     assert {(d, i) for d, i, _ in found(spark, docs, items)} == brute(docs, items)
 
 
-def test_shards_and_item_blocks(spark, monkeypatch):
-    docs, items = [(i, f"a{i} " + ITEM) for i in range(9)], [(i, ITEM) for i in range(3)]
+def test_segments_and_item_blocks(spark, monkeypatch):
+    docs, items = [(i, f"a{i} " + ITEM) for i in range(9)] + [(99, "none of it")], [(i, ITEM + f" b{i}") for i in range(3)] + [(7, "never " * 20)]
     monkeypatch.setattr(L, "ITEM_WORDS", 20)
-    assert {(d, i) for d, i, _ in found(spark, docs, items)} == brute(docs, items)
-    monkeypatch.setattr(L, "SHARD_WORDS", 20)
-    batch = pa.RecordBatch.from_pydict({"_key": [d for d, _ in docs], "_text": [t for _, t in docs]})
-    out = [x for b in L._scan(iter([batch]), L.Windows([(i, L.words(t)) for i, t in items], 12), None) for x in zip(*[c.to_pylist() for c in b.columns], strict=True)]
-    assert {(d, i) for d, i, _ in out} == brute(docs, items)
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    index = L.build_index(d, segment_words=20)
+    assert index.where("shard = -1").count() > 4
+    assert {(r.doc_id, r.item_id) for r in L.leaked_in(index, i).collect()} == brute(docs, items)
+    # the stored index answers another item set
+    assert {(r.doc_id, r.item_id) for r in L.leaked_in(index, i.where("item_id = 2")).collect()} == {(d, 2) for d in range(9)}
+
+
+def test_postings_pack_and_unpack():
+    r = random.Random(1)
+    for top in (1, 200, 300, 70_000, 1 << 33):
+        p = np.array(sorted({r.randrange(top) for _ in range(50)}), np.int64)
+        if np.diff(p).max(initial=0) < 1 << 32:
+            assert L.unpacked(L.packed(p)).tolist() == p.tolist()
+
+
+def test_the_index_holds_every_word(spark):
+    docs = [("x", "A b a_b, C"), ("y", ""), ("z", None), ("w", "b é b")]
+    index = L.build_index(spark.createDataFrame(docs, "doc_id string, text string").coalesce(1))
+    rows = {r.term: L.unpacked(r.positions).tolist() for r in index.where("term IS NOT NULL").collect()}
+    at = 5 + L.GAP
+    assert rows == {"a": [0, 2], "b": [1, 3, at, at + 2], "c": [4], "é": [at + 1]}
+    assert [r["keys"] for r in index.where("shard = -1").collect()] == [["x", "w"]]
 
 
 def test_empty_tables(spark):
