@@ -18,26 +18,25 @@ CLOSING_SHARE, CLOSING_LAST = 0.001, 0.5
 
 # Marks that software leaves where it cut (at the end of a text), sentence ends
 # of several scripts, and what may follow them.
-MARKS = r"(?U)\s*(?:\[\s*(?:\.\.\.|…)\s*\]?|\(\s*(?:\.\.\.|…)\s*\)?|[\[(]\s*(?i:continued|cont'd|cont\.|truncated|more|read more|cut|snip)[^\])\n]{0,20}[\])]?|(?i:<\s*(?:truncated|snip|more)\s*/?>))\s*$"
-DOTS = r"(?U)\s*(?:\.\.\.+|…)\s*$"
+MARKS = r"(?U)(?<!\s)\s*+(?:\[\s*(?:\.\.\.|…)\s*\]?|\(\s*(?:\.\.\.|…)\s*\)?|[\[(]\s*(?i:continued|cont'd|cont\.|truncated|more|read more|cut|snip)[^\])\n]{0,20}[\])]?|(?i:<\s*(?:truncated|snip|more)\s*/?>))$"
+DOTS = r"(?U)(?<!\s)\s*+(?<!\.)(?:\.{3,}+|…)$"
 ENDS = r".!?。！？．｡؟۔।॥։።…"
 AFTER = r"\"'”’»›“‘)\]}）」』】*_"
 
 
-#: What is taken off a text's end before it is looked at, and the characters of the end that
-#: the patterns see.
+#: What is taken off a text's end before it is looked at.
 BLANKS = "".join(chr(c) for c in [*range(33), *range(127, 161), 0xAD, 0x1680, *range(0x2000, 0x2010), *range(0x2028, 0x2030), 0x205F, *range(0x2060, 0x2065), 0x3000, 0xFEFF])
-TAIL = 400
+#: Addresses and rules that may stand behind a sentence's end. The patterns look at whole texts;
+#: possessive, so that long runs of blanks and marks cost no backtracking.
+BEHIND = r"(?<!\s)(?:\s++(?:https?://\S++|[-=_*~#]{3,}+))++$"
 
 
 def described(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per non-blank text: its lengths without and with the mark, and how its end looks."""
     d = documents.select(F.col(key).alias("_key"), F.col("source").alias("_source"), F.col("n_chars").cast("bigint").alias("_said"), F.col("text").alias("_text"))
     d = d.withColumn("_body", F.rtrim(F.col("_text"), F.lit(BLANKS))).where(F.length("_body") > 0)
-    d = d.withColumn("_end", F.substring("_body", -TAIL, TAIL))
-    # addresses and rules after a sentence don't make its end open
-    d = d.withColumn("_core", F.regexp_replace("_end", r"(?:\s+(?:https?://\S+|[-=_*~#]{3,}))+$", ""))
-    d = d.withColumn("_bare", F.regexp_replace(F.regexp_replace("_end", MARKS, ""), DOTS, ""))
+    d = d.withColumn("_core", F.regexp_replace("_body", BEHIND, ""))
+    d = d.withColumn("_bare", F.regexp_replace(F.regexp_replace("_body", MARKS, ""), DOTS, ""))
     last = F.substring_index(F.translate("_body", "\r", "\n"), "\n", -1)
     return d.select(
         "_key",
@@ -46,20 +45,20 @@ def described(documents: DataFrame, key: str = "doc_id") -> DataFrame:
         F.xxhash64("_text").alias("_hash"),
         F.length("_text").alias("chars"),
         F.octet_length("_text").alias("bytes"),
-        (F.length("_body") - F.length("_end") + F.length("_bare")).alias("bare"),
-        F.col("_end").rlike(MARKS).alias("marked"),
-        F.col("_end").rlike(DOTS).alias("dotted"),
+        F.length("_bare").alias("bare"),
+        F.col("_body").rlike(MARKS).alias("marked"),
+        F.col("_body").rlike(DOTS).alias("dotted"),
         F.col("_bare").rlike(f"[{ENDS}][{AFTER}]*$").alias("bare_ended"),
-        F.endswith("_end", F.lit("\ufffd")).alias("broken"),
+        F.endswith("_body", F.lit("\ufffd")).alias("broken"),
         F.col("_core").rlike(f"[{ENDS}][{AFTER}]*$").alias("ended"),
-        F.col("_end").rlike(r"</\s*[A-Za-z][\w:-]*\s*>$").alias("tag"),
+        F.col("_body").rlike(r"</\s*[A-Za-z][\w:-]*\s*>$").alias("tag"),
         F.trim(last).alias("last"),
     )
 
 
 def _lead(line: Column) -> Column:
     """A line's first word, in lower case, digits masked."""
-    return F.regexp_replace(F.lower(F.regexp_extract(F.trim(line), r"(?U)^(\S{1,80})", 1)), r"\d+", "9")
+    return F.regexp_replace(F.lower(F.regexp_extract(F.trim(line), r"(?U)^(\S+)", 1)), r"\d+", "9")
 
 
 def spikes(d: DataFrame) -> DataFrame:
