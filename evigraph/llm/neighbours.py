@@ -1,7 +1,15 @@
-"""The most similar vectors for every vector, by robust-pruned graphs over shards."""
+"""The most similar vectors for every vector, by robust-pruned graphs over shards.
+
+A model's vectors are cut into shards around centroids. Each vector lies in the shard of its
+nearest centroid and asks that shard and those of the next nearest centroids, so the cost of a
+vector doesn't grow with the number of shards. A shard's graph is built and asked in one task.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,8 +20,15 @@ from ..common import norm_hash, norm_id
 from ..session import materialise
 from . import vectorgraph as vg
 
-#: Vectors in one shard, at most about; queries that one task brings to another shard.
-SHARD_ROWS, BLOCK_ROWS = 131_072, 262_144
+#: Vectors in one shard, about, and how many shards a vector is asked of.
+SHARD_ROWS, PROBES = 8192, 4
+#: Centroids are fitted to a sample of at most so many vectors of a model, and so many for each
+#: centroid; larger collections have larger shards. Every vector is indexed and asked.
+FIT_ROWS, FIT_EACH, FIT_ROUNDS = 65_536, 32, 8
+#: A shard that is expected to hold so many times SHARD_ROWS is split by hash; all its parts are asked.
+SPLIT = 4
+#: Different vectors that a task remembers in order not to send them again.
+SEEN = 200_000
 
 _NEAR = "array<struct<vid:string,cosine:double>>"
 
@@ -39,7 +54,7 @@ def usable_vectors(text_embeddings: DataFrame) -> DataFrame:
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     ok = e.where((F.size("embedding") == wanted) & ~bad & some)
-    vid = F.concat(F.hex(F.xxhash64("model", "embedding")), F.lit("-"), F.hex(F.xxhash64(F.lit(1), F.reverse("embedding"), "model")))
+    vid = F.concat(F.lpad(F.hex(F.xxhash64("model", "embedding")), 16, "0"), F.lit("-"), F.hex(F.xxhash64(F.lit(1), F.reverse("embedding"), "model")))
     return ok.withColumn("vid", vid)
 
 
@@ -66,78 +81,139 @@ def _near_lists(x: np.ndarray, vids: np.ndarray, q: np.ndarray, ids: np.ndarray,
     return pa.ListArray.from_arrays(pa.array(offsets), items)
 
 
-def build_shards(vectors: DataFrame, k: int, least: float, shard_rows: int) -> DataFrame:
-    """(model, shard, shards, pos, vid, embedding, edges, near): the graph of each shard and each
-    vector's nearest in its own shard.
-
-    A model's vectors are spread by hash over so many shards that one has about shard_rows.
-    Equal vectors are one row, so copies don't fill a shard. A shard that is its model's only
-    one is asked by nobody else; its embeddings and edges aren't kept (null).
-    """
-    distinct = vectors.dropDuplicates(["model", "vid"]).select("model", "vid", "embedding")
-    counts = vectors.select("model", "vid").distinct().groupBy("model").agg(F.count("*").alias("n")).withColumn("shards", F.ceil(F.col("n") / F.lit(shard_rows)).cast("int"))
-    sharded = distinct.join(counts.select("model", "shards"), "model").withColumn("shard", F.pmod(F.xxhash64("vid"), F.col("shards")).cast("int"))
-
+@dataclass
+class Routes:
+    """A model's centroids (unit rows) and into how many parts each one's shard is split."""
+
+    centroids: np.ndarray
+    parts: np.ndarray
+
+    def of(self, x: np.ndarray, probes: int) -> np.ndarray:
+        """The nearest centroids of unit rows, nearest first."""
+        n = min(probes, len(self.centroids))
+        out = np.empty((len(x), n), np.int64)
+        for i in range(0, len(x), 4096):
+            s = x[i : i + 4096].astype(np.float32) @ self.centroids.T
+            top = np.argpartition(-s, n - 1, axis=1)[:, :n]
+            out[i : i + 4096] = np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), axis=1, kind="stable"), 1)
+        return out
+
+
+def fitted(x: np.ndarray, rows: int, shard_rows: int, rounds: int = FIT_ROUNDS) -> Routes:
+    """Routes by spherical k-means over a sample x (unit rows) of a collection of so many rows."""
+    n = max(1, min(-(-rows // shard_rows), -(-len(x) // FIT_EACH)))
+    rng = np.random.default_rng(11)
+    x = x.astype(np.float32)
+    c = x[rng.choice(len(x), n, replace=False)].copy()
+    home = np.zeros(len(x), np.int64)
+    for _ in range(rounds if n > 1 else 0):
+        for i in range(0, len(x), 4096):
+            home[i : i + 4096] = (x[i : i + 4096] @ c.T).argmax(1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, home, x)
+        length = np.sqrt((sums * sums).sum(1, keepdims=True))
+        c = np.where(length > 1e-6, sums / np.maximum(length, 1e-6), c)
+    share = np.bincount(Routes(c, np.ones(n)).of(x, 1)[:, 0], minlength=n) / len(x)
+    return Routes(c, np.maximum(1, np.ceil(share * rows / (SPLIT * shard_rows))).astype(np.int64))
+
+
+def routes(vectors: DataFrame, shard_rows: int) -> dict[str, Routes]:
+    """The routes of each model; what comes to the driver is a count and a bounded sample per model."""
+    counts = {r["model"]: r["n"] for r in vectors.groupBy("model").agg(F.count("*").alias("n")).collect()}
+    wanted = {m: min(FIT_ROWS, FIT_EACH * -(-n // shard_rows)) for m, n in counts.items()}
+    cut = F.lit(0)
+    for m, n in counts.items():
+        cut = F.when(F.col("model") == m, F.lit(min(1 << 20, int(1.2 * (1 << 20) * wanted[m] / n) + 1024))).otherwise(cut)
+    sample = vectors.where(F.pmod(F.xxhash64(F.lit(5), "vid"), F.lit(1 << 20)) < cut).select("model", "embedding")
+    drawn = sample.toArrow()
+    out = {}
+    for m in counts:
+        rows = drawn.filter(pa.compute.equal(drawn.column("model"), m)).column("embedding")[: FIT_ROWS * 2]
+        x = _matrix(rows) if len(rows) else None
+        # a model so small that the sample missed it is one shard
+        out[m] = fitted(x, counts[m], shard_rows) if x is not None else Routes(np.zeros((1, 1), np.float32), np.ones(1, np.int64))
+    return out
+
+
+def sent(batches: Iterator[pa.RecordBatch], of: dict[str, Routes], probes: int) -> Iterator[pa.RecordBatch]:
+    """(model, cell, part, home, vid, embedding): each vector once for its own shard and once for
+    every other that it asks. Equal vectors of a task go once."""
+    names = ["model", "cell", "part", "home", "vid", "embedding"]
+    seen: set[tuple[str, str]] = set()
+    for b in batches:
+        models, vids = b.column("model").to_pylist(), b.column("vid").to_pylist()
+        fresh: dict[str, list[int]] = {}
+        for i, k in enumerate(zip(models, vids, strict=True)):
+            if k not in seen:
+                if len(seen) < SEEN:
+                    seen.add(k)
+                fresh.setdefault(k[0], []).append(i)
+        for m, rows in fresh.items():
+            part_of, row = of[m], np.array(rows)
+            if len(part_of.centroids) == 1 and part_of.parts[0] == 1:
+                cells = np.zeros((len(row), 1), np.int64)
+            else:
+                cells = part_of.of(_matrix(pa.chunked_array([b.column("embedding").take(pa.array(row))])), probes)
+            own = np.array([int(vids[i][:8], 16) for i in rows]) % part_of.parts[cells[:, 0]]
+            at, cell, part, home = [row], [cells[:, 0]], [own], [np.ones(len(row), bool)]
+            for j in range(cells.shape[1]):
+                n = part_of.parts[cells[:, j]]
+                for p in range(int(n.max())):
+                    to = (n > p) & ((own != p) if j == 0 else True)
+                    at.append(row[to])
+                    cell.append(cells[to, j])
+                    part.append(np.full(int(to.sum()), p))
+                    home.append(np.zeros(int(to.sum()), bool))
+            at = np.concatenate(at)
+            cols = [pa.array([m] * len(at), pa.string()), pa.array(np.concatenate(cell), pa.int32()), pa.array(np.concatenate(part), pa.int32()), pa.array(np.concatenate(home)), b.column("vid").take(pa.array(at)), b.column("embedding").take(pa.array(at))]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+
+def _answered(k: int, least: float):
+    """Of one shard the graph, built of its own vectors, and the nearest of all that ask it."""
     def run(t: pa.Table) -> pa.Table:
-        x = _matrix(t.column("embedding"))
-        vids = np.array(t.column("vid").to_pylist(), dtype=object)
-        small = x.astype(np.float32)
-        if len(x) > 1:
-            graph, ids, _ = vg.build(small)
-        else:
-            graph, ids = np.full((1, vg.EDGES), -1, np.int32), np.full((1, 1), -1, np.int32)
-        edges = pa.ListArray.from_arrays(pa.array(np.arange(0, graph.size + 1, graph.shape[1], dtype=np.int32)), pa.array(graph.ravel(), pa.int32()))
-        embedding = t.column("embedding")
-        if t.column("shards")[0].as_py() == 1:
-            embedding, edges = pa.nulls(len(x), embedding.type), pa.nulls(len(x), edges.type)
-        names = ["model", "shard", "shards", "pos", "vid", "embedding", "edges", "near"]
-        cols = [t.column("model"), t.column("shard"), t.column("shards"), pa.array(np.arange(len(x), dtype=np.int32)), t.column("vid"), embedding, edges, _near_lists(x, vids, x, ids, k, least)]
-        return pa.table(dict(zip(names, cols, strict=True)))
-
-    schema = f"model string, shard int, shards int, pos int, vid string, embedding array<float>, edges array<int>, near {_NEAR}"
-    return sharded.select("model", "shard", "shards", "vid", "embedding").groupBy("model", "shard").applyInArrow(run, schema)
-
-
-def nearest(vectors: DataFrame, k: int = 5, least: float = -1.0, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+        vids, home = np.array(t.column("vid").to_pylist(), dtype=object), t.column("home").to_numpy(zero_copy_only=False).astype(bool)
+        first = lambda rows: rows[np.sort(np.unique(vids[rows].astype(str), return_index=True)[1])] if len(rows) else rows
+        own, asking = first(np.flatnonzero(home)), first(np.flatnonzero(~home))
+        if not len(own):
+            own, asking = own, asking[:0]
+        vectors, names, near = t.column("embedding"), [], []
+        if len(own):
+            x = _matrix(vectors.take(pa.array(own)))
+            graph, ids, _, trees = vg.build(x.astype(np.float32))
+            names.append(vids[own])
+            near.append(_near_lists(x, vids[own], x, ids, k, least))
+            if len(asking):
+                q = _matrix(vectors.take(pa.array(asking)))
+                ids, _ = vg.search(x.astype(np.float32), graph, q.astype(np.float32), trees)
+                names.append(vids[asking])
+                near.append(_near_lists(x, vids[own], q, ids, k, least))
+        flat = np.concatenate(names) if names else np.zeros(0, object)
+        kind = pa.list_(pa.struct([("vid", pa.string()), ("cosine", pa.float64())]))
+        lists = pa.chunked_array(near, kind) if near else pa.array([], kind)
+        out = pa.table({"model": pa.array([t.column("model")[0].as_py()] * len(flat), pa.string()), "vid": pa.array(flat, pa.string()), "near": lists})
+        return out.filter(pa.compute.greater(pa.compute.list_value_length(out.column("near")), 0))
+
+    return run
+
+
+def nearest(vectors: DataFrame, k: int = 5, least: float = -1.0, shard_rows: int = SHARD_ROWS, probes: int = PROBES) -> DataFrame:
     """(model, vid, other, cosine): of every distinct vector the k most similar other distinct
     ones of its model, with a cosine of at least `least`.
 
-    vectors: (model, vid, embedding). Approximate: greedy searches propose, robust pruning
-    keeps diverse edges, and a beam search queries each shard. A vector's own shard answers
-    while its graph is built; every other shard is asked in blocks of queries. Cost is
-    vectors times shards.
+    vectors: (model, vid, embedding), vid in hexadecimal. Approximate: a vector asks the shards
+    of its `probes` nearest centroids; in each, greedy searches propose, robust pruning keeps
+    diverse edges and a beam search answers. The same path holds for one shard and for many.
     """
-    shards = materialise(build_shards(vectors, k, least, shard_rows), "shards")
-    own = shards.select("model", "vid", "near")
-    many = shards.where("shards > 1")
-    out = own
-    if not many.isEmpty():
-        salt = F.pmod(F.xxhash64(F.lit(2), "vid"), F.greatest(F.ceil(F.col("shards") * F.lit(shard_rows / block_rows)), F.lit(1))).cast("int")
-        blocks = F.greatest(F.ceil(F.col("shards") * F.lit(shard_rows / block_rows)), F.lit(1)).cast("int")
-        asked = many.select("model", "vid", "embedding", F.col("shard").alias("home"), salt.alias("block"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")).where("shard <> home")
-        index = many.select("model", "shard", "pos", "vid", "embedding", "edges", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-
-        def run(q: pa.Table, t: pa.Table) -> pa.Table:
-            if not len(q) or not len(t):
-                return pa.table({"model": pa.array([], pa.string()), "vid": pa.array([], pa.string()), "near": pa.array([], pa.list_(pa.struct([("vid", pa.string()), ("cosine", pa.float64())])))})
-            t = t.sort_by("pos")
-            x, qx = _matrix(t.column("embedding")), _matrix(q.column("embedding"))
-            vids = np.array(t.column("vid").to_pylist(), dtype=object)
-            graph = t.column("edges").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
-            ids, _ = vg.search(x.astype(np.float32), graph, qx.astype(np.float32))
-            return pa.table({"model": q.column("model"), "vid": q.column("vid"), "near": _near_lists(x, vids, qx, ids, k, least)})
-
-        keys = ["model", "shard", "block"]
-        across = asked.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(run, f"model string, vid string, near {_NEAR}")
-        out = own.unionByName(across)
-    flat = out.select("model", "vid", F.explode("near").alias("n")).select("model", "vid", F.col("n.vid").alias("other"), F.col("n.cosine").alias("cosine"))
-    if many.isEmpty():
-        return flat
+    of = vectors.sparkSession.sparkContext.broadcast(routes(vectors, shard_rows))
+    asked = vectors.select("model", "vid", "embedding").mapInArrow(lambda b: sent(b, of.value, probes), "model string, cell int, part int, home boolean, vid string, embedding array<float>")
+    near = asked.groupBy("model", "cell", "part").applyInArrow(_answered(k, least), f"model string, vid string, near {_NEAR}")
+    flat = near.select("model", "vid", F.explode("near").alias("n")).select("model", "vid", F.col("n.vid").alias("other"), F.col("n.cosine").alias("cosine"))
     w = W.partitionBy("model", "vid").orderBy(F.desc("cosine"), "other")
     return flat.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k).drop("n")
 
 
-def similar_ids(embedding_model: DataFrame, text_embeddings: DataFrame, k: int = 5, least: float = 0.85, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def similar_ids(embedding_model: DataFrame, text_embeddings: DataFrame, k: int = 5, least: float = 0.85, shard_rows: int = SHARD_ROWS, probes: int = PROBES) -> DataFrame:
     """(model_id, id, other_id, cosine, place): for every claim or node the k most similar other
     ones of the same model, as far as their cosine is at least `least`.
 
@@ -147,11 +223,12 @@ def similar_ids(embedding_model: DataFrame, text_embeddings: DataFrame, k: int =
     of all pairs. Ties go to the smaller id. Repeated rows add nothing; if a text has several
     different vectors in one model's space, each counts and a pair has its greatest cosine.
     """
-    usable = usable_vectors(text_embeddings)
-    texts = materialise(usable.select("model", "text", "vid").distinct(), "vectors_of_texts")
-    near = materialise(nearest(usable.select("model", "vid", "embedding"), k, least, shard_rows, block_rows), "near")
-    ids = embedding_model.select(norm_id("id").alias("id"), F.trim("model_id").alias("model"), norm_hash("text_hash").alias("text")).where("id IS NOT NULL").distinct()
-    ids = materialise(ids.join(texts, ["model", "text"]).select("model", "vid", "id").distinct(), "ids")
+    named = embedding_model.select(norm_id("id").alias("id"), F.trim("model_id").alias("model"), norm_hash("text_hash").alias("text")).where("id IS NOT NULL")
+    # vectors that no id refers to take no places among the nearest
+    usable = usable_vectors(text_embeddings).join(named.select("model", "text").distinct(), ["model", "text"], "left_semi")
+    usable = materialise(usable.select("model", "text", "vid", "embedding"), "usable")
+    near = materialise(nearest(usable, k, least, shard_rows, probes), "near")
+    ids = materialise(named.distinct().join(usable.select("model", "text", "vid").distinct(), ["model", "text"]).select("model", "vid", "id").distinct(), "ids")
     # of each vector the k + 1 smallest ids; the limit applies before the shuffle as well
     w = W.partitionBy("model", "vid").orderBy("id")
     heads = ids.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k + 1).drop("n").withColumnRenamed("id", "other_id")

@@ -185,10 +185,13 @@ def beam_search(x: np.ndarray, graph: np.ndarray, q: np.ndarray, ids: np.ndarray
     return out_ids, out_sims
 
 
-def build(x: np.ndarray, edges: int = EDGES, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(graph, ids, sims): the pruned graph and the nearest rows that each row's search met."""
+def build(x: np.ndarray, edges: int = EDGES, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, Trees]:
+    """(graph, ids, sims, trees): the pruned graph, the nearest rows that each row's search met,
+    and the trees where searches enter."""
     n = len(x)
     trees = Trees(x)
+    if n == 1:
+        return np.full((1, edges), -1, np.int32), np.full((1, 1), -1, np.int32), np.full((1, 1), -2, np.float32), trees
     k = min(max(n - 1, 1), beam)
     ids, sims = entries(x, trees.own_leaves(), x, k, len(trees.trees), True)
     graph = with_reverse(x, robust_prune(x, np.arange(n), ids, sims, edges), edges)
@@ -199,11 +202,10 @@ def build(x: np.ndarray, edges: int = EDGES, beam: int = BEAM) -> tuple[np.ndarr
     order = np.argsort(-sims, axis=1, kind="stable")
     ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
     graph = with_reverse(x, robust_prune(x, np.arange(n), ids, sims, edges), edges)
-    return graph, ids, sims
+    return graph, ids, sims, trees
 
 
-def search(x: np.ndarray, graph: np.ndarray, q: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+def search(x: np.ndarray, graph: np.ndarray, q: np.ndarray, trees: Trees, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """The nearest rows of a built shard for queries from elsewhere."""
-    trees = Trees(x)
     ids, sims = entries(x, trees.leaves(q), q, min(len(x), 8), len(trees.trees), False)
     return beam_search(x, graph, q, ids, sims, beam)

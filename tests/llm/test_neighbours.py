@@ -26,20 +26,20 @@ def recall(found, x, k=5, least=0.0):
 
 def test_graph_recall():
     x = unit(clustered(3000)).astype(np.float32)
-    graph, ids, _ = G.build(x)
+    graph, ids, _, trees = G.build(x)
     assert recall([set(r[:5].tolist()) for r in ids], x) > 0.95
     other = np.arange(0, 3000, 7)
-    q, _ = G.search(x, graph, x[other])
+    q, _ = G.search(x, graph, x[other], trees)
     assert (q[:, 0] == other).mean() > 0.99
 
 
 def test_graph_degenerate():
     for n in (2, 3, 7):
         x = unit(np.random.default_rng(n).standard_normal((n, 4))).astype(np.float32)
-        _, ids, _ = G.build(x)
+        _, ids, _, _ = G.build(x)
         assert all(set(r[r >= 0].tolist()) == set(range(n)) - {i} for i, r in enumerate(ids))
     same = np.ones((500, 4), np.float32) / 2
-    graph, ids, _ = G.build(same)
+    graph, ids, _, _ = G.build(same)
     assert (ids[:, 0] >= 0).all() and graph.shape == (500, G.EDGES)
 
 
@@ -50,11 +50,11 @@ def tables(spark, x, model="m-32-a", text=lambda i: i, ids=lambda i: f"id{i:05}"
     return e, t
 
 
-@pytest.mark.parametrize("shard_rows", [100_000, 300])
+@pytest.mark.parametrize("shard_rows", [100_000, 300, 100])
 def test_pairs_against_brute_force(spark, shard_rows):
     x = clustered(1200)
     e, t = tables(spark, x)
-    got = N.similar_ids(e.union(e.limit(50)), t.union(t.limit(50)), least=0.85, shard_rows=shard_rows, block_rows=200).collect()
+    got = N.similar_ids(e.union(e.limit(50)), t.union(t.limit(50)), least=0.85, shard_rows=shard_rows).collect()
     assert {r.place for r in got} <= {1, 2, 3, 4, 5} and len({(r.id, r.place) for r in got}) == len(got)
     found = [set() for _ in x]
     s = unit(x.astype(np.float32).astype(float))
@@ -65,6 +65,26 @@ def test_pairs_against_brute_force(spark, shard_rows):
     assert recall(found, x, least=0.85) >= 0.95
 
 
+def test_a_third_of_all_vectors_in_one_place(spark, monkeypatch):
+    x = clustered(1500, seed=3)
+    x[:500] = x[0] + 0.05 * np.random.default_rng(1).standard_normal((500, 32))
+    monkeypatch.setattr(N, "SPLIT", 1)
+    of = N.fitted(unit(x), len(x), 100)
+    assert len(of.centroids) >= 10 and (of.parts > 1).any()
+    e, t = tables(spark, x)
+    found = [set() for _ in x]
+    for r in N.similar_ids(e, t, least=0.85, shard_rows=100).collect():
+        found[int(r.id[2:])].add(int(r.other_id[2:]))
+    assert recall(found, x, least=0.85) >= 0.95
+
+
+def test_unreferenced_vectors_take_no_place(spark):
+    x = np.array([[1.0, 0.001 * i] + [0.0] * 30 for i in range(12)])
+    e, t = tables(spark, x)
+    got = N.similar_ids(e.where("id IN ('id00000', 'id00011')"), t).collect()
+    assert {(r.id, r.other_id) for r in got} == {("id00000", "id00011"), ("id00011", "id00000")}
+
+
 def test_unusable_vectors_and_copies(spark):
     good = [1.0] + [0.0] * 31
     near = [1.0, 0.1] + [0.0] * 30
