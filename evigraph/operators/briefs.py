@@ -8,6 +8,11 @@ from pyspark.sql import Window as W
 
 from ..schema import ATTESTATION_WEIGHT
 
+#: Tokens that stand around a claim in a brief; claims from which a source is substantial.
+OVERHEAD, SUBSTANTIAL = 20, 5
+#: Sources that a brief of a type draws on at most; other types have no limit.
+MAX_SOURCES = {"event": 5}
+
 
 def slug(c: str | Column) -> Column:
     x = F.col(c) if isinstance(c, str) else c
@@ -21,18 +26,22 @@ def slug_map(nodes: DataFrame) -> DataFrame:
     return x.select("id", "node_type", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), F.substring("id", 1, 8))).alias("slug"))
 
 
-def place_number(c: str) -> Column:
-    """The first number in a location, for ordering; null if it has none."""
-    return F.regexp_extract(c, "([0-9]+)", 1).try_cast("double")
-
+def reading_key() -> Column:
+    """Orders claims as they are read: records without a date last, by date, by record, then by
+    the place in it, numbers before other places, at last by id.
 
-def reading_keys() -> list[Column]:
-    return [F.col("claim_date").isNull(), F.col("claim_date").asc(), place_number("location_in_record").asc_nulls_last(), F.col("location_in_record").asc_nulls_last(), F.col("id").asc()]
+    Needs record_date, record_hash, record_id, location_in_record and id.
+    """
+    number = F.trim("location_in_record").try_cast("double")
+    return F.struct(
+        F.col("record_date").isNull().alias("undated"), F.coalesce("record_date", F.lit("")).alias("date"), F.coalesce("record_hash", "record_id", F.lit("")).alias("record"),
+        number.isNull().alias("lexical"), F.coalesce(number, F.lit(0.0)).alias("number"), F.when(number.isNull(), F.coalesce("location_in_record", F.lit(""))).otherwise("").alias("place"), F.col("id").alias("id"),
+    )
 
 
 def reading_order(claims: DataFrame, by: str) -> DataFrame:
-    """(id, by, place): undated claims last, then by date, number in the record, location, id."""
-    return claims.withColumn("place", F.row_number().over(W.partitionBy(by).orderBy(*reading_keys()))).select("id", by, "place")
+    """(id, by, place): each claim's place in the reading order among those of one `by`."""
+    return claims.withColumn("place", F.row_number().over(W.partitionBy(by).orderBy(reading_key()))).select("id", by, "place")
 
 
 def profiles(nodes: DataFrame, node_claims: DataFrame, claims: DataFrame, n: int = 5, width: int = 200) -> DataFrame:
@@ -51,27 +60,67 @@ def tokens(c: str | Column) -> Column:
     return (F.floor(F.length(x) / F.lit(2.7)) + 1).cast("bigint")
 
 
-def spread_selection(rows: DataFrame, node: str, source: str, cap: int, budget: int) -> DataFrame:
-    """The claims of each node that a brief takes, in turn from its sources.
+def budget_for(window: int) -> int:
+    """The tokens of a model's window that a brief may take."""
+    return int(window * 0.85)
+
+
+def claim_cost(content: str = "content", excerpt: str = "original_excerpt") -> Column:
+    """The tokens of a claim as it is rendered: content and excerpt, and what stands around them."""
+    return tokens(F.concat(F.coalesce(content, F.lit("")), F.coalesce(excerpt, F.lit("")))) + F.lit(OVERHEAD)
 
-    rows: (node, source, id, content, importance). If a node has at most cap claims they are
-    all taken. Else sources take turns by their size (ties by name), a source's claims by
-    importance, until cap or the first claim that passes the token budget.
+
+def kept_sources(sources: DataFrame, limit: Column) -> DataFrame:
+    """The sources of each node that a brief draws on, at most `limit` (null = all of them).
+
+    sources: (node, source, size, first, focus). The one most about the node comes first, then
+    the others by size; sources of fewer than SUBSTANTIAL claims come last, by focus, unless
+    no source has as many.
     """
-    size = W.partitionBy(node, source)
-    x = rows.withColumns({"_size": F.count("*").over(size), "_all": F.count("*").over(W.partitionBy(node)), "_turn": F.row_number().over(size.orderBy(F.desc("importance"), "id"))})
-    turn = W.partitionBy(node).orderBy("_turn", F.desc("_size"), source, "id")
-    x = x.withColumns({"_at": F.row_number().over(turn), "_cost": F.sum(tokens("content")).over(turn.rowsBetween(W.unboundedPreceding, 0))})
-    taken = (F.col("_all") <= cap) | ((F.col("_at") <= cap) & (F.col("_cost") <= budget))
-    return x.where(taken).select(*rows.columns, F.col("_at").alias("turn"))
+    w = W.partitionBy("node")
+    x = sources.withColumn("_some", F.max(F.col("size") >= SUBSTANTIAL).over(w)).withColumn("_late", F.col("_some") & (F.col("size") < SUBSTANTIAL))
+    x = x.withColumn("_lead", F.row_number().over(w.orderBy("_late", F.desc(F.coalesce("focus", F.lit(0.0))), F.desc("size"), "first")) == 1)
+    late_focus = F.when(F.col("_late"), -F.coalesce("focus", F.lit(0.0))).otherwise(0.0)
+    x = x.withColumn("_at", F.row_number().over(w.orderBy(F.desc("_lead"), "_late", late_focus, F.desc("size"), "first")))
+    return x.where(limit.isNull() | (F.col("_at") <= limit)).drop("_some", "_late", "_lead", "_at")
+
 
+def spread_selection(rows: DataFrame, cap: int, budget: int | None = None, limit: Column | None = None, focus: DataFrame | None = None) -> DataFrame:
+    """(node, source, id, turn): the claims of each node that a brief takes, in turn from its sources.
 
-def importance(corroborated: Column, by_node: Column, attestation: str = "attestation") -> Column:
-    """Corroborated before not, spoken by the node before not, then how close the witness was."""
+    rows: (node, source, id, key, importance, cost), key being reading_key(). A node without a
+    limit on its sources and with at most cap claims keeps all, whatever they cost. Else its
+    sources (see kept_sources; limit may use the node's columns in `rows`) take turns in the
+    order in which they are first read, each with its most important claims first, until cap or
+    the first claim that passes the budget of tokens. Claims without a source are one source.
+
+    Only keys, costs and importance are moved, no texts; of a source at most cap claims reach
+    the node's order, and of a node at most cap its running cost.
+    """
+    of = F.coalesce("source", F.lit(""))
+    asked = F.lit(None).cast("int") if limit is None else limit
+    sources = rows.withColumn("_limit", asked).groupBy("node", of.alias("_source")).agg(F.count("*").alias("size"), F.min("key").alias("first"), F.min("_limit").alias("_limit"))
+    about = sources.withColumn("focus", F.lit(0.0)) if focus is None else sources.join(focus.select("node", F.col("source").alias("_source"), "focus"), ["node", "_source"], "left")
+    kept = kept_sources(about.withColumnRenamed("_source", "source"), F.col("_limit")).select("node", F.col("source").alias("_source"), "first", "_limit")
+    total = sources.groupBy("node").agg(F.sum("size").alias("_all"))
+    x = rows.withColumn("_source", of).join(kept, ["node", "_source"])
+    x = x.withColumn("_turn", F.row_number().over(W.partitionBy("node", "_source").orderBy(F.desc("importance"), "key"))).where(F.col("_turn") <= cap)
+    turn = W.partitionBy("node").orderBy("_turn", "first")
+    x = x.select("node", "source", "id", "cost", "_turn", "first", "_limit").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= cap)
+    if budget is not None:
+        x = x.join(total, "node").withColumn("_spent", F.sum("cost").over(turn.rowsBetween(W.unboundedPreceding, 0)))
+        x = x.where(((F.col("_all") <= cap) & F.col("_limit").isNull()) | (F.col("_spent") <= budget))
+    return x.select("node", "source", "id", "turn")
+
+
+def importance(suspect: Column, corroborated: Column, by_node: Column, attestation: str = "attestation") -> Column:
+    """Not suspect before suspect, corroborated before not, spoken by the node before not, then
+    how close the witness was. Suspect claims stay, but displace no others."""
     rank = F.lit(0)
     for i, a in enumerate(sorted(ATTESTATION_WEIGHT, key=ATTESTATION_WEIGHT.get), 1):
         rank = F.when(F.col(attestation) == a, F.lit(i)).otherwise(rank)
-    return F.coalesce(corroborated, F.lit(False)).cast("int") * 100 + F.coalesce(by_node, F.lit(False)).cast("int") * 10 + rank
+    yes = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    return (1 - yes(suspect)) * 1000 + yes(corroborated) * 100 + yes(by_node) * 10 + rank
 
 
 def payload_hash(*cols: str) -> Column:

@@ -15,7 +15,7 @@ UNIT = "\u001f"
 
 def lookup(c: str | Column, values: dict, default) -> Column:
     x = F.col(c) if isinstance(c, str) else c
-    out = F.lit(default)
+    out = F.lit(default)  # null where there is none
     for k, v in values.items():
         out = F.when(x == k, F.lit(v)).otherwise(out)
     return out

@@ -53,6 +53,11 @@ class Graph:
     def claims(self, *cols: str) -> DataFrame:
         return self._clean("claims", ("id", *cols))
 
+    def reading_claims(self, *cols: str) -> DataFrame:
+        """Claims with what briefs.reading_key() needs: the date and hash of their record."""
+        r = self.records("record_date", "content_hash").groupBy(F.col("id").alias("record_id")).agg(F.min("record_date").alias("record_date"), F.min("content_hash").alias("record_hash"))
+        return self.claims("record_id", "location_in_record", *cols).join(r, "record_id", "left")
+
     def edges(self) -> DataFrame:
         """(claim_id, node_id, salience): one row per edge, with its strongest salience; null = not assessed."""
         if self.compacted:

@@ -194,50 +194,66 @@ def s17(g):
 # ---- briefs
 
 
-_SELECT = """
-, x AS (SELECT nc.nid, nc.rid, c.id, c.content, CASE c.attestation WHEN 'first_hand' THEN 3 WHEN 'second_hand' THEN 2 WHEN 'third_hand' THEN 1 ELSE 0 END + CASE WHEN c.speaker_id = nc.nid THEN 10 ELSE 0 END + CASE WHEN k.id IS NOT NULL THEN 100 ELSE 0 END AS imp
- FROM nc JOIN clm c ON c.id = nc.cid LEFT JOIN (SELECT claim_a AS id FROM corr UNION SELECT claim_b FROM corr) k ON k.id = c.id),
-y AS (SELECT *, count(*) OVER (PARTITION BY nid, rid) AS size, count(*) OVER (PARTITION BY nid) AS alln, row_number() OVER (PARTITION BY nid, rid ORDER BY imp DESC, id) AS turn FROM x),
-z AS (SELECT *, row_number() OVER w AS pl, sum(floor(length(content) / 2.7) + 1) OVER (PARTITION BY nid ORDER BY turn, size DESC, rid NULLS FIRST, id ROWS UNBOUNDED PRECEDING) AS cost FROM y WINDOW w AS (PARTITION BY nid ORDER BY turn, size DESC, rid NULLS FIRST, id)),
-sel AS (SELECT nid, rid, id, pl FROM z WHERE alln <= 40 OR (pl <= 40 AND cost <= 1200))
+CAP, BUDGET = 40, 1800
+_SELECT = f"""
+, cw AS (SELECT c.id AS cid, coalesce(w.work, c.record_id) AS work FROM clm c LEFT JOIN work w ON w.rid = c.record_id), sz AS (SELECT work, count(DISTINCT cid) AS n FROM cw WHERE work IS NOT NULL GROUP BY 1),
+x AS (SELECT nc.nid, coalesce(cw.work, '') AS src, c.id, c.pos, CASE WHEN n.node_type = 'event' THEN 5 END AS lim, CASE c.attestation WHEN 'first_hand' THEN 3 WHEN 'second_hand' THEN 2 WHEN 'third_hand' THEN 1 ELSE 0 END + CASE WHEN c.speaker_id = nc.nid THEN 10 ELSE 0 END + CASE WHEN k.id IS NOT NULL THEN 100 ELSE 0 END AS imp,
+ floor(length(coalesce(c.content, '') || coalesce(c.original_excerpt, '')) / 2.7) + 21 AS cost
+ FROM nc JOIN rk c ON c.id = nc.cid JOIN cw ON cw.cid = nc.cid JOIN node n ON n.id = nc.nid LEFT JOIN (SELECT claim_a AS id FROM corr UNION SELECT claim_b FROM corr) k ON k.id = c.id),
+s AS (SELECT x.nid, src, lim, count(*) AS size, min(pos) AS first, count(*) / any_value(sz.n) AS focus, count(*) >= 5 AS big FROM x LEFT JOIN sz ON sz.work = x.src GROUP BY 1, 2, 3),
+s1 AS (SELECT *, bool_or(big) OVER (PARTITION BY nid) AND NOT big AS late FROM s), s2 AS (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY late, coalesce(focus, 0) DESC, size DESC, first) AS lead FROM s1),
+s3 AS (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY lead > 1, late, CASE WHEN late THEN -coalesce(focus, 0) ELSE 0 END, size DESC, first) AS pl FROM s2), kept AS (SELECT * FROM s3 WHERE lim IS NULL OR pl <= lim),
+y AS (SELECT x.*, kept.first, (SELECT sum(size) FROM s WHERE s.nid = x.nid) AS alln, row_number() OVER (PARTITION BY x.nid, x.src ORDER BY imp DESC, x.pos) AS t FROM x JOIN kept ON kept.nid = x.nid AND kept.src = x.src),
+z AS (SELECT *, row_number() OVER w AS turn, sum(cost) OVER (PARTITION BY nid ORDER BY t, first ROWS UNBOUNDED PRECEDING) AS spent FROM y WINDOW w AS (PARTITION BY nid ORDER BY t, first)),
+sel AS (SELECT nid, src, id, pos, turn FROM z WHERE turn <= {CAP} AND ((alln <= {CAP} AND lim IS NULL) OR spent <= {BUDGET}))
 """
 
 
 def _selected(g):
+    """What the briefs of live nodes take. No review of belonging is among the tables: no claim is suspect."""
     hit = g.corroborations().select(F.explode(F.array("claim_a", "claim_b")).alias("id")).distinct().withColumn("hit", F.lit(True))
-    c = g.claims("content", "attestation", "speaker_id").join(hit, "id", "left")
-    x = g.node_claims().withColumnRenamed("cid", "id").join(c, "id")
-    x = x.withColumn("importance", briefs.importance(F.col("hit"), F.col("speaker_id") == F.col("nid")))
-    return briefs.spread_selection(x.select("nid", "rid", "id", "content", "importance"), "nid", "rid", 40, 1200)
+    works = g.works()
+    c = g.reading_claims("content", "original_excerpt", "attestation", "speaker_id").join(hit, "id", "left").join(works.withColumnRenamed("rid", "record_id"), "record_id", "left")
+    c = c.select("id", F.coalesce("work", "record_id").alias("source"), briefs.reading_key().alias("key"), briefs.claim_cost().alias("cost"), "hit", "speaker_id", "attestation")
+    nc = g.node_claims()
+    kinds = g.nodes("node_type").withColumnRenamed("id", "node")
+    x = nc.select(F.col("nid").alias("node"), F.col("cid").alias("id")).join(c, "id").join(kinds, "node")
+    x = x.withColumn("importance", briefs.importance(F.lit(False), F.col("hit"), F.col("speaker_id") == F.col("node")))
+    limit = ev.lookup("node_type", briefs.MAX_SOURCES, None)
+    focus = ev.source_focus(nc, g.claims("record_id"), works).withColumnsRenamed({"nid": "node", "work": "source"})
+    return briefs.spread_selection(x.select("node", "node_type", "source", "id", "key", "importance", "cost"), CAP, BUDGET, limit.cast("int"), focus)
+
+
+@add("b2_spread_selection", q("nc clm corr node work rk", _SELECT + "SELECT nid, nullif(src, '') AS work, id, turn FROM sel"))
+def b2(g):
+    return _selected(g).select(F.col("node").alias("nid"), F.col("source").alias("work"), "id", "turn")
 
 
-@add("b2_spread_selection", q("nc clm corr", _SELECT + "SELECT nid, rid, id, pl AS turn FROM sel"))
-def b2(g):
-    return _selected(g).select("nid", "rid", "id", "turn")
+_BRIEF = _SELECT + ", b AS (SELECT n.id AS node_id, n.node_type, n.name, count(*) AS claims, count(DISTINCT nullif(src, '')) AS works, list(sel.id ORDER BY pos) AS claim_ids FROM node n JOIN sel ON sel.nid = n.id GROUP BY 1, 2, 3) "
 
 
-@add("b1_briefs", q("nc clm corr node", _SELECT + """
-, o AS (SELECT sel.nid, sel.id, sel.rid, c.content, row_number() OVER (PARTITION BY sel.nid ORDER BY c.claim_date IS NULL, c.claim_date, try_cast(regexp_extract(c.location_in_record, '([0-9]+)', 1) AS DOUBLE) NULLS LAST, c.location_in_record NULLS LAST, c.id) AS p FROM sel JOIN clm c ON c.id = sel.id)
-SELECT n.id AS node_id, n.node_type, n.name, count(*) AS claims, count(DISTINCT o.rid) AS records, list(o.id ORDER BY o.p) AS claim_ids FROM node n JOIN o ON o.nid = n.id GROUP BY 1, 2, 3"""))
+@add("b1_briefs", q("nc clm corr node work rk", _BRIEF + "SELECT node_id, node_type, name, claims, works, claim_ids FROM b"))
 def b1(g):
-    s = _selected(g).select("nid", "rid", "id").join(g.claims("claim_date", "location_in_record"), "id")
-    x = s.withColumn("p", F.row_number().over(W.partitionBy("nid").orderBy(*briefs.reading_keys())))
-    b = x.groupBy(F.col("nid").alias("id")).agg(F.count("*").alias("claims"), F.countDistinct("rid").alias("records"), F.array_sort(F.collect_list(F.struct("p", "id"))).alias("c"))
-    return g.nodes("node_type", "name").join(b, "id").select(F.col("id").alias("node_id"), "node_type", "name", "claims", "records", F.transform("c", lambda r: r["id"]).alias("claim_ids"))
+    s = _selected(g).select("node", "source", "id").join(g.reading_claims(), "id").withColumn("key", briefs.reading_key())
+    b = s.groupBy(F.col("node").alias("id")).agg(F.count("*").alias("claims"), F.countDistinct("source").alias("works"), F.array_sort(F.collect_list(F.struct("key"))).alias("c"))
+    return g.nodes("node_type", "name").join(b, "id").select(F.col("id").alias("node_id"), "node_type", "name", "claims", "works", F.transform("c", lambda r: r["key"]["id"]).alias("claim_ids"))
+
+
+_JSON = "'{\"node_type\":' || to_json(node_type) || ',\"name\":' || to_json(name) || ',\"claim_ids\":' || to_json(claim_ids) || '}'"
 
 
-@add("b6_brief_hashes")
+@add("b6_brief_hashes", q("nc clm corr node work rk", _BRIEF + f"SELECT node_id, sha256({_JSON}) AS brief_hash FROM b"))
 def b6(g):
     return b1(g).select("node_id", briefs.payload_hash("node_type", "name", "claim_ids").alias("brief_hash"))
 
 
-@add("w12_order_changes", q("clm", """
-, o AS (SELECT id, record_id, row_number() OVER (PARTITION BY record_id ORDER BY seq, id) AS old, row_number() OVER (PARTITION BY record_id ORDER BY claim_date IS NULL, claim_date, try_cast(regexp_extract(location_in_record, '([0-9]+)', 1) AS DOUBLE) NULLS LAST, location_in_record NULLS LAST, id) AS new FROM clm WHERE record_id IS NOT NULL)
+@add("w12_order_changes", q("rk", """
+, o AS (SELECT id, record_id, row_number() OVER (PARTITION BY record_id ORDER BY seq, id) AS old, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS new FROM rk WHERE record_id IS NOT NULL)
 SELECT record_id, count(*) AS claims, count(*) FILTER (old <> new) AS moved FROM o GROUP BY 1"""))
 def w12(g):
-    c = g.claims("record_id", "claim_date", "location_in_record", "seq").where("record_id IS NOT NULL")
+    c = g.reading_claims("seq").where("record_id IS NOT NULL").withColumn("key", briefs.reading_key())
     w = W.partitionBy("record_id")
-    x = c.withColumns({"old": F.row_number().over(w.orderBy("seq", "id")), "new": F.row_number().over(w.orderBy(*briefs.reading_keys()))})
+    x = c.withColumns({"old": F.row_number().over(w.orderBy("seq", "id")), "new": F.row_number().over(w.orderBy("key"))})
     return x.groupBy("record_id").agg(F.count("*").alias("claims"), F.sum((F.col("old") != F.col("new")).cast("int")).alias("moved"))
 
 

@@ -395,12 +395,11 @@ def latest_event(g):
     return e.groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type"), F.max("ts").alias("ts"), F.count("*").alias("n"))
 
 
-@add("l4_reading_order", q("clm rec", """
-SELECT id, record_id, row_number() OVER (PARTITION BY record_id ORDER BY claim_date IS NULL, claim_date, try_cast(regexp_extract(location_in_record, '([0-9]+)', 1) AS DOUBLE) NULLS LAST, location_in_record NULLS LAST, id) AS place FROM clm WHERE record_id IS NOT NULL"""))
+@add("l4_reading_order", q("rk", "SELECT id, record_id, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS place FROM rk WHERE record_id IS NOT NULL"))
 def reading_order(g):
     from ..operators import briefs
 
-    return briefs.reading_order(g.claims("record_id", "claim_date", "location_in_record").where("record_id IS NOT NULL"), "record_id")
+    return briefs.reading_order(g.reading_claims().where("record_id IS NOT NULL"), "record_id")
 
 
 @add("l9_batches", q("node", "SELECT batch, count(*) AS n, min(id) AS first_id FROM (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 50 AS batch FROM node) GROUP BY 1"))

@@ -28,6 +28,8 @@ PARTS = {
     "nc": ("SELECT speaker_id AS nid, id AS cid, record_id AS rid FROM clm WHERE speaker_id IS NOT NULL UNION SELECT e.node_id, c.id, c.record_id FROM edge e JOIN clm c ON c.id = e.claim_id", ("clm", "edge")),
     "work": ("SELECT id AS rid, min(coalesce(work_id, id)) AS work FROM rec GROUP BY id", ("rec",)),
     "alias": (f"SELECT alias, node_id, min(reported_at) AS first_at FROM (SELECT trim(regexp_replace(alias, '\\s+', ' ', 'g')) AS alias, {ident('node_id')} AS node_id, reported_at FROM canonical_spelling_outvoted) WHERE alias <> '' AND node_id IS NOT NULL GROUP BY alias, node_id", ()),
+    "rk": ("""SELECT *, row_number() OVER (ORDER BY record_date IS NULL, coalesce(record_date, ''), coalesce(record_hash, record_id, ''), num IS NULL, coalesce(num, 0), CASE WHEN num IS NULL THEN coalesce(location_in_record, '') ELSE '' END, id) AS pos
+  FROM (SELECT c.*, r.record_date, r.record_hash, try_cast(trim(location_in_record) AS DOUBLE) AS num FROM clm c LEFT JOIN (SELECT id, min(record_date) AS record_date, min(content_hash) AS record_hash FROM rec GROUP BY 1) r ON r.id = c.record_id)""", ("clm", "rec")),
     "corr": ("""SELECT DISTINCT least(claim_id, other) AS claim_a, greatest(claim_id, other) AS claim_b, CAST(0.85 AS DOUBLE) AS similarity FROM (
   SELECT c.id AS claim_id, c.record_id AS r, lag(c.id) OVER w AS other, lag(c.record_id) OVER w AS other_r FROM edge e JOIN clm c ON c.id = e.claim_id
   WINDOW w AS (PARTITION BY e.node_id ORDER BY c.seq, c.id)) WHERE r <> other_r AND claim_id <> other""", ("edge", "clm")),

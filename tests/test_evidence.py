@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from evigraph.functions import names
 from evigraph.operators import briefs, gate
 from evigraph.operators import evidence as E
@@ -63,12 +65,57 @@ def test_record_scoped_people(spark):
     assert [r[0] for r in df.select(names.record_scoped("n")).collect()] == [True, True, True, False, False, None]
 
 
-def test_selection_takes_turns(spark, rows):
-    claims = [("n", "big", f"b{i}", "x" * 20, i) for i in range(6)] + [("n", "small", "s0", "x" * 20, 0), ("m", "one", "o", "x" * 9000, 0)]
-    df = frame(spark, "nid string, rid string, id string, content string, importance int", claims)
-    got = briefs.spread_selection(df, "nid", "rid", 3, 10_000)
-    assert rows(got, "id", "turn") == [("b4", 3), ("b5", 1), ("o", 1), ("s0", 2)]
-    assert rows(briefs.spread_selection(df, "nid", "rid", 3, 17), "id") == [("b5",), ("o",), ("s0",)]
+def chosen(claims, cap, budget, limit, focus):
+    """A plain account of the selection, for one node: claims (source, id, key, importance, cost)."""
+    claims = sorted(claims, key=lambda c: c[2])
+    if len(claims) <= cap and limit is None:
+        return [c[1] for c in claims]
+    of = {}
+    for c in claims:
+        of.setdefault(c[0], []).append(c)
+    first = {s: q[0][2] for s, q in of.items()}
+    if limit is not None and len(of) > limit:
+        by_focus = sorted(of, key=lambda s: (-focus.get(s, 0.0), -len(of[s]), first[s]))
+        pool = [s for s in by_focus if len(of[s]) >= briefs.SUBSTANTIAL] or by_focus
+        order = pool[:1] + sorted(pool[1:], key=lambda s: (-len(of[s]), first[s])) + [s for s in by_focus if s not in pool]
+        of = {s: of[s] for s in order[:limit]}
+    turns = sorted((t, first[s], c) for s, q in of.items() for t, c in enumerate(sorted(q, key=lambda c: (-c[3], c[2]))))
+    out, spent = [], 0
+    for _, _, c in turns[:cap]:
+        spent += c[4]
+        if budget is not None and spent > budget:
+            break
+        out.append(c[1])
+    return out
+
+
+def test_selection_against_a_plain_account(spark):
+    import random
+
+    r = random.Random(5)
+    rows_, want = [], {}
+    focus = {(f"n{n}", f"s{s}"): r.choice([0.0, 0.2, 0.5, 1.0]) for n in range(60) for s in range(9)}
+    for n in range(60):
+        claims = [(r.choice([None, *[f"s{s}" for s in range(n % 9)]]), f"c{n}-{i}", i * 7 % 101, r.choice([0, 1, 100, 1000]), r.randint(1, 60)) for i in range(r.randint(1, 50))]
+        limit = 3 if n % 2 else None
+        rows_ += [(f"n{n}", limit, *c) for c in claims]
+        of = {s: focus[(f"n{n}", s)] for s in {c[0] for c in claims} if s}
+        want[f"n{n}"] = {k: sorted(chosen(claims, 12, k, limit, of)) for k in (None, 200)}
+    df = frame(spark, "node string, lim int, source string, id string, key int, importance int, cost long", rows_)
+    f = frame(spark, "node string, source string, focus double", [(n, s, v) for (n, s), v in focus.items()])
+    for budget in (None, 200):
+        got = {}
+        for x in briefs.spread_selection(df, 12, budget, F.col("lim"), f).collect():
+            got.setdefault(x.node, []).append(x.id)
+        assert {n: sorted(v) for n, v in got.items()} == {n: v[budget] for n, v in want.items() if v[budget]}
+    assert briefs.spread_selection(df.limit(0), 12, 200).collect() == []
+
+
+def test_suspect_claims_come_last(spark, rows):
+    df = frame(spark, "id string, suspect boolean, hit boolean, own boolean, attestation string", [("a", True, True, True, "first_hand"), ("b", None, None, None, None), ("c", False, False, False, "second_hand"), ("d", False, True, False, None), ("e", False, False, True, "third_hand")])
+    got = df.select("id", briefs.importance(F.col("suspect"), F.col("hit"), F.col("own")).alias("v"))
+    assert [r.id for r in got.orderBy(F.desc("v")).collect()] == ["d", "e", "c", "b", "a"]
+    assert briefs.budget_for(1000) == 850
 
 
 def test_slugs(spark, rows):
