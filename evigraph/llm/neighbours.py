@@ -20,12 +20,16 @@ from ..common import norm_hash, norm_id
 from ..session import materialise
 from . import vectorgraph as vg
 
-#: Vectors in one shard, about, and how many shards a vector is asked of.
-SHARD_ROWS, PROBES = 8192, 4
+#: Vectors in one shard, about, and of how many shards a vector is asked at most.
+SHARD_ROWS, PROBES = 4096, 6
+#: A shard is asked only if a neighbour as far away as allowed may well lie in it: if the plane
+#: between the two centroids is no farther than so many standard deviations of such a
+#: neighbour's way in one direction.
+MARGIN = 1.5
 #: Centroids are fitted to a sample of at most so many vectors of a model, and so many for each
-#: centroid; larger collections have larger shards. Every vector is indexed and asked.
-FIT_ROWS, FIT_EACH, FIT_ROUNDS = 65_536, 32, 8
-#: A shard that is expected to hold so many times SHARD_ROWS is split by hash; all its parts are asked.
+#: centroid; collections beyond have larger shards. Every vector is indexed and asked.
+FIT_ROWS, FIT_EACH, FIT_ROUNDS = 262_144, 32, 8
+#: A shard that is expected to hold so many times the usual is split by hash; all its parts are asked.
 SPLIT = 4
 #: Different vectors that a task remembers in order not to send them again.
 SEEN = 200_000
@@ -88,14 +92,21 @@ class Routes:
     centroids: np.ndarray
     parts: np.ndarray
 
-    def of(self, x: np.ndarray, probes: int) -> np.ndarray:
-        """The nearest centroids of unit rows, nearest first."""
+    def of(self, x: np.ndarray, probes: int, reach: float | None = None) -> np.ndarray:
+        """The nearest centroids of unit rows, nearest first; -1 for those whose side of the
+        plane between them and the nearest is farther than reach."""
         n = min(probes, len(self.centroids))
         out = np.empty((len(x), n), np.int64)
         for i in range(0, len(x), 4096):
             s = x[i : i + 4096].astype(np.float32) @ self.centroids.T
             top = np.argpartition(-s, n - 1, axis=1)[:, :n]
-            out[i : i + 4096] = np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), axis=1, kind="stable"), 1)
+            near = np.take_along_axis(s, top, 1)
+            order = np.argsort(-near, axis=1, kind="stable")
+            top, near = np.take_along_axis(top, order, 1), np.take_along_axis(near, order, 1)
+            if reach is not None:
+                between = np.linalg.norm(self.centroids[top] - self.centroids[top[:, :1]], axis=2)
+                top = np.where(near[:, :1] - near <= reach * between + 1e-9, top, -1)
+            out[i : i + 4096] = top
         return out
 
 
@@ -114,7 +125,7 @@ def fitted(x: np.ndarray, rows: int, shard_rows: int, rounds: int = FIT_ROUNDS)
         length = np.sqrt((sums * sums).sum(1, keepdims=True))
         c = np.where(length > 1e-6, sums / np.maximum(length, 1e-6), c)
     share = np.bincount(Routes(c, np.ones(n)).of(x, 1)[:, 0], minlength=n) / len(x)
-    return Routes(c, np.maximum(1, np.ceil(share * rows / (SPLIT * shard_rows))).astype(np.int64))
+    return Routes(c, np.maximum(1, np.ceil(share * rows / (SPLIT * max(shard_rows, rows / n)))).astype(np.int64))
 
 
 def routes(vectors: DataFrame, shard_rows: int) -> dict[str, Routes]:
@@ -135,7 +146,7 @@ def routes(vectors: DataFrame, shard_rows: int) -> dict[str, Routes]:
     return out
 
 
-def sent(batches: Iterator[pa.RecordBatch], of: dict[str, Routes], probes: int) -> Iterator[pa.RecordBatch]:
+def sent(batches: Iterator[pa.RecordBatch], of: dict[str, Routes], probes: int, least: float) -> Iterator[pa.RecordBatch]:
     """(model, cell, part, home, vid, embedding): each vector once for its own shard and once for
     every other that it asks. Equal vectors of a task go once."""
     names = ["model", "cell", "part", "home", "vid", "embedding"]
@@ -153,13 +164,14 @@ def sent(batches: Iterator[pa.RecordBatch], of: dict[str, Routes], probes: int)
             if len(part_of.centroids) == 1 and part_of.parts[0] == 1:
                 cells = np.zeros((len(row), 1), np.int64)
             else:
-                cells = part_of.of(_matrix(pa.chunked_array([b.column("embedding").take(pa.array(row))])), probes)
+                x = _matrix(pa.chunked_array([b.column("embedding").take(pa.array(row))]))
+                cells = part_of.of(x, probes, MARGIN * float(np.sqrt(max(2 - 2 * least, 0) / x.shape[1])))
             own = np.array([int(vids[i][:8], 16) for i in rows]) % part_of.parts[cells[:, 0]]
             at, cell, part, home = [row], [cells[:, 0]], [own], [np.ones(len(row), bool)]
             for j in range(cells.shape[1]):
                 n = part_of.parts[cells[:, j]]
                 for p in range(int(n.max())):
-                    to = (n > p) & ((own != p) if j == 0 else True)
+                    to = (cells[:, j] >= 0) & (n > p) & ((own != p) if j == 0 else True)
                     at.append(row[to])
                     cell.append(cells[to, j])
                     part.append(np.full(int(to.sum()), p))
@@ -201,12 +213,13 @@ def nearest(vectors: DataFrame, k: int = 5, least: float = -1.0, shard_rows: int
     """(model, vid, other, cosine): of every distinct vector the k most similar other distinct
     ones of its model, with a cosine of at least `least`.
 
-    vectors: (model, vid, embedding), vid in hexadecimal. Approximate: a vector asks the shards
-    of its `probes` nearest centroids; in each, greedy searches propose, robust pruning keeps
+    vectors: (model, vid, embedding), vid in hexadecimal. Approximate: a vector asks its own
+    shard and those of the next centroids, `probes` in all, in which a neighbour of cosine
+    `least` may well lie (see MARGIN); in each, greedy searches propose, robust pruning keeps
     diverse edges and a beam search answers. The same path holds for one shard and for many.
     """
     of = vectors.sparkSession.sparkContext.broadcast(routes(vectors, shard_rows))
-    asked = vectors.select("model", "vid", "embedding").mapInArrow(lambda b: sent(b, of.value, probes), "model string, cell int, part int, home boolean, vid string, embedding array<float>")
+    asked = vectors.select("model", "vid", "embedding").mapInArrow(lambda b: sent(b, of.value, probes, least), "model string, cell int, part int, home boolean, vid string, embedding array<float>")
     near = asked.groupBy("model", "cell", "part").applyInArrow(_answered(k, least), f"model string, vid string, near {_NEAR}")
     flat = near.select("model", "vid", F.explode("near").alias("n")).select("model", "vid", F.col("n.vid").alias("other"), F.col("n.cosine").alias("cosine"))
     w = W.partitionBy("model", "vid").orderBy(F.desc("cosine"), "other")
