@@ -39,13 +39,51 @@ def test_a_failed_run_neither_skips_nor_repeats(spark, tmp_path):
 
     with pytest.raises(RuntimeError):
         I.run_incremental(spark, frame(spark, {"a": "2", "b": "1", "c": "1"}), d, fails)
-    # output and rows were written, the marker wasn't
-    (tmp_path / "s" / "v2" / "output").mkdir(parents=True, exist_ok=True)
+    # output and rows of a run that was killed were written, the marker wasn't
+    (tmp_path / "s" / "v2-killed" / "output").mkdir(parents=True, exist_ok=True)
     assert I.committed(spark, d) == 1
     v, out = I.run_incremental(spark, frame(spark, {"a": "2", "b": "1", "c": "1"}), d, lambda c: c)
     assert v == 2 and collect(out) == {("a", "2", "changed"), ("c", "1", "new")}
 
 
+def test_of_two_runs_at_once_one_is_lost(spark, tmp_path):
+    d, inner = str(tmp_path / "s"), []
+    I.run_incremental(spark, frame(spark, {"a": "1"}), d, lambda c: c)
+
+    def meanwhile(c):
+        inner.append(collect(I.run_incremental(spark, frame(spark, {"a": "1", "b": "1"}), d, lambda x: x)[1]))
+        return c
+
+    with pytest.raises(I.RunLost):
+        I.run_incremental(spark, frame(spark, {"a": "3"}), d, meanwhile)
+    assert inner == [{("b", "1", "new")}] and I.committed(spark, d) == 2
+    assert collect(I.run_incremental(spark, frame(spark, {"a": "3"}), d, lambda c: c)[1]) == {("a", "3", "changed"), ("b", None, "deleted")}
+
+
+def test_partial_runs_and_what_they_write(spark, tmp_path):
+    d = str(tmp_path / "s")
+    state = {f"k{i}": str(i) for i in range(600)}
+    I.run_incremental(spark, frame(spark, state), d, lambda c: c)
+    first = I.State(spark, d, 1)
+    v, out = I.run_incremental(spark, frame(spark, {"k7": "x", "k8": "8", "new": "1"}), d, lambda c: c, partial=True)
+    assert collect(out) == {("k7", "x", "changed"), ("new", "1", "new")}
+    now = I.State(spark, d, v)
+    moved = {r for r in now.at if now.at[r] != first.at.get(r)}
+    assert 1 <= len(moved) <= 2 and len(now.at) == 16
+    state |= {"k7": "x", "new": "1"}
+    assert {(r.key, r.token) for r in now.rows().collect()} == set(state.items())
+    assert sorted(now.tree().collect()) == sorted(I.tree(frame(spark, state), now.leaf).collect())
+    assert collect(I.run_incremental(spark, spark.createDataFrame([], SCHEMA), d, lambda c: c, partial=True)[1]) == set()
+    # old versions go, the rows that still count stay
+    assert I.committed(spark, d) == 3 and not (tmp_path / "s" / "_committed-1").exists()
+    assert {(r.key, r.token) for r in I.State(spark, d, 3).rows().collect()} == set(state.items())
+
+
+def test_depth_follows_the_number_of_keys():
+    assert [I.leaf_digits(n) for n in (0, 1, 10**6, 10**9, 10**12)] == [2, 2, 3, 5, 8] and I.widths(5) == [0, 2, 4, 5]
+    assert [I.range_digits(n) for n in (0, 10**6, 10**9)] == [1, 1, 2]
+
+
 def test_trees(spark):
     state = frame(spark, {f"k{i}": str(i) for i in range(500)})
     a, b = I.tree(I.one_row_per_key(state)), I.tree(I.one_row_per_key(state.repartition(7)))

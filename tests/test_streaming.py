@@ -1,4 +1,4 @@
-from evigraph.operators.incremental import committed
+from evigraph.operators.incremental import State, committed
 from evigraph.streaming import ingest
 
 
@@ -11,7 +11,7 @@ def test_batches_are_processed_once(spark, tmp_path):
         s = spark.readStream.schema(schema).json(src)
         ingest.ingest(s, state, ck, lambda c: c).awaitTermination()
         v = committed(spark, state)
-        return v, {(r.key, r.token, r.change) for r in spark.read.parquet(f"{state}/v{v}/output").collect()}
+        return v, {(r.key, r.token, r.change) for r in State(spark, str(state), v).output().collect()}
 
     put([("a", "1"), ("b", "1")], 0)
     assert run() == (1, {("a", "1", "new"), ("b", "1", "new")})
