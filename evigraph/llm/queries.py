@@ -81,7 +81,7 @@ WITH r AS (SELECT {_ID.format("node_id")} AS node_id, nullif(trim(node_type), ''
 u AS (SELECT node_id, name AS v, name_uses AS uses, reported_at FROM r WHERE name IS NOT NULL
   UNION ALL SELECT node_id, alias, alias_uses, reported_at FROM r WHERE alias IS NOT NULL),
 l AS (SELECT node_id, v, uses FROM (SELECT *, row_number() OVER (PARTITION BY node_id, v ORDER BY uses IS NULL, reported_at DESC NULLS LAST, uses DESC) AS n FROM u) WHERE n = 1),
-b AS (SELECT node_id, v FROM (SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY coalesce(uses, 0) DESC, v) AS n FROM l) WHERE n = 1),
+b AS (SELECT node_id, v FROM (SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY uses DESC NULLS LAST, v) AS n FROM l) WHERE n = 1),
 t AS (SELECT node_id, node_type FROM (SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY reported_at DESC NULLS LAST, node_type) AS n FROM r WHERE node_type IS NOT NULL) WHERE n = 1)
 SELECT x.node_id, t.node_type, b.v AS name FROM (SELECT DISTINCT node_id FROM r) x LEFT JOIN b USING (node_id) LEFT JOIN t USING (node_id)
 """
