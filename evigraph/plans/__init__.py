@@ -2,6 +2,6 @@
 
 
 def all_registries():
-    from . import curation, evidence, more, pairing, resolving, streams, training
+    from . import curation, evidence, more, pages, pairing, resolving, streams, training
 
-    return [curation.R, evidence.R, more.R, pairing.R, resolving.R, streams.R, training.R]
+    return [curation.R, evidence.R, more.R, pages.R, pairing.R, resolving.R, streams.R, training.R]
