@@ -371,7 +371,7 @@ def spellings(nodes: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, frozens
         out = [_parsed(k, n, sent.value[0][k], sent.value[1][k]) or {} for k, n in zip(kind, name, strict=True)]
         return pd.DataFrame({c: [r.get(c) for r in out] for c in _COLUMNS})
 
-    parsed = names.withColumn("p", parse("kind", "name")).select("kind", "name", "uses", "p.*").where("key IS NOT NULL")
+    parsed = spread(names).withColumn("p", parse("kind", "name")).select("kind", "name", "uses", "p.*").where("key IS NOT NULL")
     parsed = materialise(parsed, "parsed")
     classes = parsed.groupBy("kind", "key").agg(F.sum("uses").alias("uses"), *[F.first(c).alias(c) for c in ("short", "weight", "given", "middle", "surname", "suffix", "tokens", "acronym", "blocks")])
     of_node = live.join(parsed.select("kind", "name", "key"), ["kind", "name"]).select("id", "kind", "key")
