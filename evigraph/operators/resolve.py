@@ -222,6 +222,24 @@ def match_in_record(asked: DataFrame, people: DataFrame, aliases: DataFrame) ->
     return x.select("record_id", "name", F.coalesce("by_name", "by_alias", "by_word").alias("node_id"), via.alias("via")).where("node_id IS NOT NULL")
 
 
+def cross_type_twins(nodes: DataFrame) -> DataFrame:
+    """(id_a, id_b, type_a, type_b, key): names in lower case that nodes of two types share,
+    type_a < type_b. nodes: (id, node_type, name); nulls and blanks take no part."""
+    k = nodes.select("id", "node_type", F.lower(F.trim(F.regexp_replace("name", r"\s+", " "))).alias("key")).where("key <> '' AND node_type IS NOT NULL AND id IS NOT NULL").distinct()
+    several = k.groupBy("key").agg(F.countDistinct("node_type").alias("n")).where("n > 1").drop("n")
+    k = k.join(several, "key", "left_semi")
+    b = k.select(F.col("id").alias("id_b"), F.col("node_type").alias("type_b"), "key")
+    return k.join(b, "key").where("node_type < type_b").select(F.col("id").alias("id_a"), "id_b", F.col("node_type").alias("type_a"), "type_b", "key")
+
+
+def doubled_places(places: DataFrame) -> DataFrame:
+    """(bare_id, compound_id): places without comma whose name is the last part of a compound
+    one, with the first such (by seq). places: (id, name, seq)."""
+    bare = places.where(~F.contains("name", F.lit(","))).select(F.col("id").alias("bare_id"), F.lower(F.trim("name")).alias("k"))
+    long = places.where(F.contains("name", F.lit(","))).select("id", "seq", F.lower(F.trim(F.element_at(F.split("name", ","), -1))).alias("k"))
+    return bare.join(long, "k").groupBy("bare_id").agg(F.min_by("id", F.struct("seq", "id")).alias("compound_id"))
+
+
 def fuller_names(people: DataFrame) -> DataFrame:
     """(name, candidates, fuller): names whose given name is an initial, how many names spell it
     out, and the first of these. people: (name), distinct.

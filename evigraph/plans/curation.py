@@ -195,7 +195,13 @@ def s17(g):
 
 
 CAP, BUDGET = 40, 1800
-_SELECT = f"""
+
+
+def _select_sql(cap: int, budget: int) -> str:
+    return _SELECT_SQL.replace("$CAP", str(cap)).replace("$BUDGET", str(budget))
+
+
+_SELECT_SQL = """
 , cw AS (SELECT c.id AS cid, coalesce(w.work, c.record_id) AS work FROM clm c LEFT JOIN work w ON w.rid = c.record_id), sz AS (SELECT work, count(DISTINCT cid) AS n FROM cw WHERE work IS NOT NULL GROUP BY 1),
 x AS (SELECT nc.nid, coalesce(cw.work, '') AS src, c.id, c.pos, CASE WHEN n.node_type = 'event' THEN 5 END AS lim, CASE c.attestation WHEN 'first_hand' THEN 3 WHEN 'second_hand' THEN 2 WHEN 'third_hand' THEN 1 ELSE 0 END + CASE WHEN c.speaker_id = nc.nid THEN 10 ELSE 0 END + CASE WHEN k.id IS NOT NULL THEN 100 ELSE 0 END AS imp,
  floor(length(coalesce(c.content, '') || coalesce(c.original_excerpt, '')) / 2.7) + 21 AS cost
@@ -205,11 +211,12 @@ s1 AS (SELECT *, bool_or(big) OVER (PARTITION BY nid) AND NOT big AS late FROM s
 s3 AS (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY lead > 1, late, CASE WHEN late THEN -coalesce(focus, 0) ELSE 0 END, size DESC, first) AS pl FROM s2), kept AS (SELECT * FROM s3 WHERE lim IS NULL OR pl <= lim),
 y AS (SELECT x.*, kept.first, (SELECT sum(size) FROM s WHERE s.nid = x.nid) AS alln, row_number() OVER (PARTITION BY x.nid, x.src ORDER BY imp DESC, x.pos) AS t FROM x JOIN kept ON kept.nid = x.nid AND kept.src = x.src),
 z AS (SELECT *, row_number() OVER w AS turn, sum(cost) OVER (PARTITION BY nid ORDER BY t, first ROWS UNBOUNDED PRECEDING) AS spent FROM y WINDOW w AS (PARTITION BY nid ORDER BY t, first)),
-sel AS (SELECT nid, src, id, pos, turn FROM z WHERE turn <= {CAP} AND ((alln <= {CAP} AND lim IS NULL) OR spent <= {BUDGET}))
+sel AS (SELECT nid, src, id, pos, turn FROM z WHERE turn <= $CAP AND ((alln <= $CAP AND lim IS NULL) OR spent <= $BUDGET))
 """
+_SELECT = _select_sql(CAP, BUDGET)
 
 
-def _selected(g):
+def _selected(g, cap: int = CAP, budget: int = BUDGET):
     """What the briefs of live nodes take. No review of belonging is among the tables: no claim is suspect."""
     hit = g.corroborations().select(F.explode(F.array("claim_a", "claim_b")).alias("id")).distinct().withColumn("hit", F.lit(True))
     works = g.works()
@@ -221,7 +228,7 @@ def _selected(g):
     x = x.withColumn("importance", briefs.importance(F.lit(False), F.col("hit"), F.col("speaker_id") == F.col("node")))
     limit = ev.lookup("node_type", briefs.MAX_SOURCES, None)
     focus = ev.source_focus(nc, g.claims("record_id"), works).withColumnsRenamed({"nid": "node", "work": "source"})
-    return briefs.spread_selection(x.select("node", "node_type", "source", "id", "key", "importance", "cost"), CAP, BUDGET, limit.cast("int"), focus)
+    return briefs.spread_selection(x.select("node", "node_type", "source", "id", "key", "importance", "cost"), cap, budget, limit.cast("int"), focus)
 
 
 @add("b2_spread_selection", q("nc clm corr node work rk", _SELECT + "SELECT nid, nullif(src, '') AS work, id, turn FROM sel"))
@@ -316,11 +323,12 @@ def z9(g):
 
 
 @add("z11_duplicate_bindings", f"""
-SELECT r AS record_id, len(hs) AS n, sha256(array_to_string(hs, ',')) AS fingerprint FROM (SELECT {ident('record_id')} AS r, list_sort(list(DISTINCT {hash64('record_content_hash')})) AS hs FROM digest_import_receipts WHERE {ident('record_id')} IS NOT NULL GROUP BY 1) WHERE len(hs) > 1""")
+SELECT h AS content_hash, len(rs) AS n, sha256(array_to_string(rs, ',')) AS fingerprint FROM (SELECT {hash64('record_content_hash')} AS h, list_sort(list(DISTINCT {ident('record_id')})) AS rs FROM digest_import_receipts WHERE {ident('record_id')} IS NOT NULL AND {hash64('record_content_hash')} IS NOT NULL GROUP BY 1) WHERE len(rs) > 1""")
 def z11(g):
-    x = g.raw("digest_import_receipts").select(norm_id("record_id").alias("record_id"), norm_hash("record_content_hash").alias("h")).where("record_id IS NOT NULL").distinct()
-    y = x.groupBy("record_id").agg(F.sort_array(F.collect_list("h")).alias("hs")).where("size(hs) > 1")
-    return y.select("record_id", F.size("hs").alias("n"), F.sha2(F.array_join("hs", ","), 256).alias("fingerprint"))
+    """Contents that receipts bind to several records, with a fingerprint of these."""
+    x = g.raw("digest_import_receipts").select(norm_id("record_id").alias("r"), norm_hash("record_content_hash").alias("content_hash")).where("r IS NOT NULL AND content_hash IS NOT NULL").distinct()
+    y = x.groupBy("content_hash").agg(F.sort_array(F.collect_list("r")).alias("rs")).where("size(rs) > 1")
+    return y.select("content_hash", F.size("rs").alias("n"), F.sha2(F.array_join("rs", ","), 256).alias("fingerprint"))
 
 
 @add("z12_consistency", q("allnode node rec clm edge", """
