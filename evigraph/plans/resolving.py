@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..common import node_type, table
-from ..functions import kernel, names, text
+from ..functions import kernel, names, orders, text
 from ..operators import resolve
 from ..operators.graph import Graph
 from .registry import Registry
@@ -222,3 +222,30 @@ def e4(spark, sf):
     last = F.element_at(w, -1)
     asked = people.where(F.size(w) > 1).select("record_id", F.concat(F.upper(F.substring(last, 1, 1)), F.substring(last, 2, F.length(last))).alias("name"))
     return resolve.match_in_record(asked, people, g.aliases())
+
+
+_REGION = orders.REGION_PATTERN
+_COUNTRY = "CASE " + " ".join(f"WHEN r IN ({', '.join(repr(x) for x, c in orders.COUNTRY_OF.items() if c == country)}) THEN '{country}'" for country in orders.REGIONS) + " END"
+
+
+#: Places in running order; the tables' places are in digest order already.
+CASE_PLACES = ["Roswell New Mexico", "Perth Western Australia", "New South Wales", "Old Washington DC", "Lima", "Reno, Nevada", "Leeds England", "Nelson", "Port Nelson West Coast"]
+
+
+@R.add("x25_place_orders", q("node", f"""
+, p AS (SELECT DISTINCT name FROM node WHERE node_type = 'place' AND name IS NOT NULL UNION SELECT unnest([{', '.join(repr(x) for x in CASE_PLACES)}])),
+m AS (SELECT name, regexp_extract(name, '{_REGION}', 1) AS s, regexp_extract(name, '{_REGION}', 2) AS r FROM p)
+SELECT name, CASE WHEN position(',' IN name) > 0 OR r = '' THEN name ELSE {_COUNTRY} || ', ' || r || CASE WHEN trim(s) <> '' THEN ', ' || trim(s) ELSE '' END END AS ordered FROM m"""))
+def x25(spark, sf):
+    p = _nodes(spark, sf).where("node_type = 'place' AND name IS NOT NULL").select("name").union(spark.createDataFrame([(x,) for x in CASE_PLACES], "name string")).distinct()
+    return p.select("name", orders.place_order("name").alias("ordered"))
+
+
+@R.add("x24_person_orders", q("node", f"""
+, p AS (SELECT DISTINCT name FROM node WHERE node_type = 'person' AND name IS NOT NULL),
+w AS (SELECT name, list_filter(regexp_split_to_array(trim(regexp_replace(regexp_replace(name, '^\\s+|\\s+$', '', 'g'), '{orders.RANK_PATTERN}', '')), '\\s+'), lambda x: x <> '') AS w FROM p),
+k AS (SELECT *, CASE WHEN len(w) > 1 AND rtrim(w[-1], '.') IN ('Jr', 'Sr', 'II', 'III', 'IV') THEN len(w) - 1 ELSE len(w) END AS k FROM w)
+SELECT name, CASE WHEN regexp_matches(name, '[,()\\p{{Nd}}]') OR len(w) = 0 THEN name WHEN k = 1 THEN w[1] || CASE WHEN k < len(w) THEN ' ' || w[-1] ELSE '' END ELSE w[k] || CASE WHEN k < len(w) THEN ' ' || w[-1] ELSE '' END || ', ' || array_to_string(w[1:k - 1], ' ') END AS ordered FROM k"""))
+def x24(spark, sf):
+    p = _nodes(spark, sf).where("node_type = 'person' AND name IS NOT NULL").select("name").distinct()
+    return p.select("name", orders.surname_order("name").alias("ordered"))
