@@ -69,62 +69,170 @@ def overlapping(texts: DataFrame, jaccard: float = JACCARD, containment: float =
     return pairs, membership
 
 
-def cosine_pairs(vectors: DataFrame, k: int, least: float = -1.0, block: int = 4096, other_group: bool = False) -> DataFrame:
-    """(id, other, cosine, place): exact k nearest of each vector, by blocks of a matrix product.
+def _unit(s: pd.Series) -> np.ndarray:
+    m = np.array(s.tolist(), dtype=np.float64)
+    norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+
 
-    vectors: (id, grp, embedding), equal lengths. Queries and base are cut into blocks of at
-    most about `block` rows by hash; each pair of blocks is one task, whose k best go on, so
-    the work is spread and nothing is collected. Vectors without length take part with cosine
-    0. other_group leaves out rows of the query's own grp.
+def _in_blocks(vectors: DataFrame, work, schema: str, block: int, both_ways: bool) -> DataFrame:
+    """work(left, right, cosines of a stripe) over all pairs of blocks; its frames are the result.
+
+    vectors: (id, grp, embedding), equal lengths, any further columns come along. Rows are cut
+    into blocks of about `block` by hash; each pair of blocks is one task, so the work is spread
+    and nothing is collected. both_ways asks each pair of rows from either side; else a pair of
+    rows comes once (left id < right id). Cosines are at 9 decimals, those of a vector without
+    length 0, and -2 for a row with itself and for pairs that don't count.
     """
     n = vectors.count()
     parts = max(1, -(-n // block))
-    v = vectors.select("id", F.col("grp").cast("string").alias("grp"), F.col("embedding").cast("array<double>").alias("embedding"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
+    more = [c for c in vectors.columns if c not in ("id", "grp", "embedding")]
+    v = vectors.select("id", F.col("grp").cast("string").alias("grp"), F.col("embedding").cast("array<double>").alias("embedding"), *more, F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
     v = materialise(v, "vectors")
-    left = v.withColumnRenamed("part", "x").withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    right = v.withColumnRenamed("part", "y").withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-
-    def unit(s: pd.Series) -> np.ndarray:
-        m = np.array(s.tolist(), dtype=np.float64)
-        norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
-        return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+    upto = lambda low: F.explode(F.sequence(low, F.lit(parts - 1)))
+    left = v.withColumnRenamed("part", "x").withColumn("y", upto(F.lit(0) if both_ways else F.col("x")))
+    right = v.withColumnRenamed("part", "y").withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(parts - 1) if both_ways else F.col("y"))))
+    # columns of their own, so that the two sides of the cogroup aren't mixed up
+    right = right.select(F.col("x").alias("x"), F.col("y").alias("y"), *[F.col(c).alias(c) for c in v.columns if c != "part"])
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(t):
+            same = not both_ways and q["x"].iloc[0] == q["y"].iloc[0]
             t = t.sort_values("id", kind="stable").reset_index(drop=True)
-            tv, ids, grp = unit(t["embedding"]), t["id"].to_numpy(), t["grp"].to_numpy()
+            tv, ids = _unit(t["embedding"]), t["id"].to_numpy()
             for i in range(0, len(q), 1024):
                 part = q.iloc[i : i + 1024]
-                s = np.round(unit(part["embedding"]) @ tv.T, 9)
-                s[part["id"].to_numpy()[:, None] == ids[None, :]] = -2
-                if other_group:
-                    s[part["grp"].to_numpy()[:, None] == grp[None, :]] = -2
-                top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                sim = np.take_along_axis(s, top, 1)
-                r, c = np.nonzero((sim >= least) & (sim > -2))
-                out.append(pd.DataFrame({"id": part["id"].to_numpy()[r], "other": ids[top[r, c]], "cosine": sim[r, c]}))
-        return pd.concat(out) if out else pd.DataFrame({"id": pd.Series(dtype=t["id"].dtype), "other": pd.Series(dtype=t["id"].dtype), "cosine": pd.Series(dtype=float)})
+                s = np.round(_unit(part["embedding"]) @ tv.T, 9)
+                mine = part["id"].to_numpy()[:, None]
+                s[(mine >= ids[None, :]) if same else (mine == ids[None, :])] = -2
+                out.append(work(part, t, s))
+        return pd.concat(out)[names] if out else pd.DataFrame({c: pd.Series(dtype=object) for c in names})
+
+    return left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInPandas(run, schema)
 
+
+def cosine_pairs(vectors: DataFrame, k: int, least: float = -1.0, block: int = 4096, other_group: bool = False) -> DataFrame:
+    """(id, other, cosine, place): exact k nearest of each vector, by blocks of a matrix product.
+
+    vectors: (id, grp, embedding). Of each pair of blocks the k best of a row go on. Vectors
+    without length take part with cosine 0. other_group leaves out rows of the query's own grp.
+    """
     kind = vectors.schema["id"].dataType.simpleString()
-    near = left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInPandas(run, f"id {kind}, other {kind}, cosine double")
+
+    def work(q: pd.DataFrame, t: pd.DataFrame, s: np.ndarray) -> pd.DataFrame:
+        if other_group:
+            s[q["grp"].to_numpy()[:, None] == t["grp"].to_numpy()[None, :]] = -2
+        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+        sim = np.take_along_axis(s, top, 1)
+        r, c = np.nonzero((sim >= least) & (sim > -2))
+        return pd.DataFrame({"id": q["id"].to_numpy()[r], "other": t["id"].to_numpy()[top[r, c]], "cosine": sim[r, c]})
+
+    near = _in_blocks(vectors, work, f"id {kind}, other {kind}, cosine double", block, True)
     w = W.partitionBy("id").orderBy(F.desc("cosine"), "other")
     return near.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
+def cosine_histogram(vectors: DataFrame, block: int = 4096) -> DataFrame:
+    """(cut, p, n): how many pairs of one grp and of different ones have each cosine at 6 decimals.
+
+    Pairs are counted inside their blocks; at most 2 million rows a pair of blocks go on, not the pairs.
+    """
+    def work(q: pd.DataFrame, t: pd.DataFrame, s: np.ndarray) -> pd.DataFrame:
+        ok = s > -2
+        same = (q["grp"].to_numpy()[:, None] == t["grp"].to_numpy()[None, :])[ok]
+        cut, at = np.unique(np.round(s[ok], 6), return_inverse=True)
+        p = np.bincount(at[same], minlength=len(cut))
+        return pd.DataFrame({"cut": cut, "p": p, "n": np.bincount(at, minlength=len(cut)) - p})
+
+    h = _in_blocks(vectors, work, "cut double, p bigint, n bigint", block, False)
+    return h.groupBy((F.col("cut") + F.lit(0.0)).alias("cut")).agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+
+
+def cut_counts(vectors: DataFrame, cut: float, block: int = 4096) -> DataFrame:
+    """cut_report() over all pairs of vectors, as one grp or not; a pair of blocks gives one row a stripe."""
+    def work(q: pd.DataFrame, t: pd.DataFrame, s: np.ndarray) -> pd.DataFrame:
+        ok = s > -2
+        same = q["grp"].to_numpy()[:, None] == t["grp"].to_numpy()[None, :]
+        y, f = s[ok & same], s[ok & ~same]
+        return pd.DataFrame({"low": [y.min() if len(y) else None], "high": [f.max() if len(f) else None], "kept": [int((y >= cut).sum())], "missed": [int((y < cut).sum())], "false_links": [int((f >= cut).sum())]}).astype({"low": float, "high": float})
+
+    c = _in_blocks(vectors, work, "low double, high double, kept bigint, missed bigint, false_links bigint", block, False)
+    number = lambda x: F.when(~F.isnan(x), F.col(x))
+    return c.agg(F.round(F.min(number("low")) - F.max(number("high")), 9).alias("separation"), *[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("kept", "missed", "false_links")])
+
+
+def rank_of_first_match(vectors: DataFrame, block: int = 4096) -> DataFrame:
+    """(id, rank): where the nearest vector of the own grp stands among all others: 1 + those nearer.
+
+    Two rounds over the blocks: the best of the own grp, then the count of nearer ones; a row of
+    a pair of blocks gives one row each time. Vectors alone in their grp have no row.
+    """
+    kind = vectors.schema["id"].dataType.simpleString()
+
+    def first(q: pd.DataFrame, t: pd.DataFrame, s: np.ndarray) -> pd.DataFrame:
+        best = np.where(q["grp"].to_numpy()[:, None] == t["grp"].to_numpy()[None, :], s, -2).max(axis=1)
+        return pd.DataFrame({"id": q["id"].to_numpy()[best > -2], "best": best[best > -2]})
+
+    def nearer(q: pd.DataFrame, t: pd.DataFrame, s: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"id": q["id"].to_numpy(), "nearer": (s > q["best"].to_numpy()[:, None]).sum(axis=1)})
+
+    best = _in_blocks(vectors, first, f"id {kind}, best double", block, True).groupBy("id").agg(F.max("best").alias("best"))
+    # every vector is compared, those without a match count for others only
+    x = vectors.select("id", "grp", "embedding").join(materialise(best, "best"), "id", "left").withColumn("best", F.coalesce("best", F.lit(9.0)))
+    n = _in_blocks(x, nearer, f"id {kind}, nearer bigint", block, True).groupBy("id").agg(F.sum("nearer").alias("nearer"))
+    return n.join(x.where("best < 9").select("id"), "id", "left_semi").select("id", (1 + F.col("nearer")).alias("rank"))
+
+
+def similar_groups(vectors: DataFrame, least: float, block: int = 4096) -> DataFrame:
+    """(id, component): vectors that chains of cosines of at least `least` tie together.
+
+    Of the pairs inside two blocks only a spanning forest goes on, at most one edge a row.
+    """
+    from .cluster import components
+
+    kind = vectors.schema["id"].dataType.simpleString()
+
+    def work(q: pd.DataFrame, t: pd.DataFrame, s: np.ndarray) -> pd.DataFrame:
+        a, b = q["id"].to_numpy(), t["id"].to_numpy()
+        root: dict = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        edges = []
+        for i, j in zip(*np.nonzero(s >= least), strict=True):
+            x, y = find(a[i]), find(b[j])
+            if x != y:
+                root[x] = y
+                edges.append((a[i], b[j]))
+        return pd.DataFrame(edges, columns=["a", "b"], dtype=object)
+
+    return components(_in_blocks(vectors, work, f"a {kind}, b {kind}", block, False), vectors.select("id"))
+
+
 def similarity_profile(pairs: DataFrame, cuts: tuple[float, ...], c: str = "cosine") -> DataFrame:
     """One row: n, max, median, min and how many pairs reach each cut."""
     at = [F.sum(F.when(F.col(c) >= x, 1).otherwise(0)).alias(f"at_{int(round(x * 100))}") for x in cuts]
     return pairs.agg(F.count("*").alias("n"), F.max(c).alias("max"), F.median(c).alias("median"), F.min(c).alias("min"), *at)
 
 
-def best_cut(scored: DataFrame, score: str = "score", label: str = "same") -> DataFrame:
+def score_histogram(scored: DataFrame, score: str = "score", label: str = "same") -> DataFrame:
+    """(cut, p, n): how many true and false pairs have each score at 6 decimals."""
+    return scored.groupBy(F.round(score, 6).alias("cut")).agg(F.sum(F.col(label).cast("int")).alias("p"), F.sum((~F.col(label)).cast("int")).alias("n"))
+
+
+def best_cut(histogram: DataFrame) -> DataFrame:
     """(cut, kept, missed, false_links, balanced_accuracy): the score that parts pairs best.
 
-    Every distinct score at 6 decimals is a cut (score >= cut links); the lowest of equally good
-    ones wins. Counts run over the cuts, of which scores between -1 and 1 have 2 million at most.
+    histogram: (cut, p, n), as of score_histogram() or cosine_histogram(). Every score is a cut
+    (score >= cut links); the lowest of equally good ones wins. Counts run over the cuts, of
+    which scores between -1 and 1 have 2 million at most.
     """
-    g = scored.groupBy(F.round(score, 6).alias("cut")).agg(F.sum(F.col(label).cast("int")).alias("p"), F.sum((~F.col(label)).cast("int")).alias("n"))
+    g = materialise(histogram, "histogram")
     w = W.orderBy(F.desc("cut")).rowsBetween(W.unboundedPreceding, 0)
     t = g.agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
     x = g.withColumns({"kept": F.sum("p").over(w), "false_links": F.sum("n").over(w)}).join(F.broadcast(t))  # one row

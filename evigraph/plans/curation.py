@@ -374,13 +374,6 @@ def z14(g):
     return c.groupBy(F.coalesce("origin_kind", F.lit("no chain")).alias("origin_kind")).agg(F.count("*").alias("claims"), F.count("origin_ref").alias("with_reference"), n(F.col("attribution_in_text")).alias("attributed"), n(F.col("attribution_in_text").isNull()).alias("undeclared"))
 
 
-@add("s16_vault_notes", q("node edge clm", """
-SELECT n.node_type, n.name, string_agg('- ' || c.content, chr(10) ORDER BY c.content) AS body FROM node n JOIN edge e ON e.node_id = n.id JOIN (SELECT id, min(content) AS content FROM clm GROUP BY id) c ON c.id = e.claim_id WHERE e.salience = 'subject' GROUP BY 1, 2"""))
-def s16(g):
-    e = g.edges().where("salience = 'subject'").join(g.claims("content").withColumnRenamed("id", "claim_id"), "claim_id").join(g.nodes("node_type", "name").withColumnRenamed("id", "node_id"), "node_id")
-    return e.groupBy("node_type", "name").agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("- "), "content"))), "\n").alias("body"))
-
-
 @add("r1_daily_events", "SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2")
 def r1(g):
     return g.raw("events").groupBy(F.date_trunc("day", "ts").alias("day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..common import table, with_position
 from ..functions import text
-from ..operators import cluster, gate, pairs, resolve
+from ..operators import gate, pairs, resolve
 from ..operators import evidence as ev
 from ..operators.graph import Graph
 from .evidence import _SPREAD
@@ -67,23 +67,14 @@ def u3_dropped(spark, sf):
     return _pair_sets(spark, sf)[1]
 
 
-def _all_pairs(spark, sf):
-    v = _labelled(spark, sf)
-    label = v.select("id", "grp")
-    near = pairs.cosine_pairs(v, v.count())
-    return near.join(label, "id").join(label.select(F.col("id").alias("other"), F.col("grp").alias("other_grp")), "other")
-
-
 @R.add("w4_rank_of_first_match", f"WITH {_ALL}, b AS (SELECT id, max(cosine) AS best FROM s WHERE la = lb GROUP BY 1) SELECT s.id, 1 + count(*) FILTER (cosine > best) AS rank FROM s JOIN b USING (id) GROUP BY s.id")
 def w4(spark, sf):
-    p = _all_pairs(spark, sf)
-    return pairs.rank_of(p.select("id", "other", "cosine"), p.where("grp = other_grp").select("id", "other"))
+    return pairs.rank_of_first_match(_labelled(spark, sf))
 
 
 @R.add("g32_cut_report", f"WITH {_ALL} SELECT round(min(cosine) FILTER (la = lb) - max(cosine) FILTER (la <> lb), 9) AS separation, count(*) FILTER (la = lb AND cosine >= 0.3) AS kept, count(*) FILTER (la = lb AND cosine < 0.3) AS missed, count(*) FILTER (la <> lb AND cosine >= 0.3) AS false_links FROM s WHERE id < other")
 def g32(spark, sf):
-    p = _all_pairs(spark, sf).where("id < other")
-    return pairs.cut_report(p.select(F.col("cosine").alias("score"), (F.col("grp") == F.col("other_grp")).alias("same")), 0.3)
+    return pairs.cut_counts(_labelled(spark, sf), 0.3)
 
 
 @R.add("v10_corroboration_candidates", f"""WITH {_ALL}, n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY cosine DESC, other) AS place FROM s) WHERE place <= 4)
@@ -98,9 +89,7 @@ def v10(spark, sf):
 
 @R.add("v11_similar_groups", f"""WITH RECURSIVE {_ALL}, e AS (SELECT id AS a, other AS b FROM s WHERE cosine >= 0.4), t(id, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT e.a, t.c FROM e JOIN t ON t.id = e.b) SELECT id, min(c) AS component FROM t GROUP BY id""")
 def v11(spark, sf):
-    v = _labelled(spark, sf)
-    near = pairs.cosine_pairs(v, v.count(), least=0.4)
-    return cluster.components(near.select(F.col("id").alias("a"), F.col("other").alias("b")), v.select("id"))
+    return pairs.similar_groups(_labelled(spark, sf), 0.4)
 
 
 _LOCATORS = """

@@ -147,21 +147,21 @@ def v12(spark, sf):
     return pairs.record_pairs(pairs.cosine_pairs(v, 10, other_group=True), v.select("id", "grp"))
 
 
+#: The cuts of a profile, and two that these vectors reach.
+PROFILE_CUTS = (0.95, 0.90, 0.85, 0.83, 0.80, 0.75, 0.70, 0.65, 0.60, 0.55, 0.4, 0.3)
+
+
 @R.add("v14_similarity_profile", f"""WITH {_ALL}, n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY cosine DESC, other) AS place FROM s WHERE la <> lb) WHERE place <= 10)
-SELECT count(*) AS n, max(cosine) AS max, median(cosine) AS median, min(cosine) AS min, count(*) FILTER (cosine >= 0.2) AS at_20, count(*) FILTER (cosine >= 0.3) AS at_30, count(*) FILTER (cosine >= 0.4) AS at_40 FROM n""")
+SELECT count(*) AS n, max(cosine) AS max, median(cosine) AS median, min(cosine) AS min, {", ".join(f"count(*) FILTER (cosine >= {c}) AS at_{round(c * 100)}" for c in PROFILE_CUTS)} FROM n""")
 def v14(spark, sf):
-    return pairs.similarity_profile(pairs.cosine_pairs(_labelled(spark, sf), 10, other_group=True), (0.2, 0.3, 0.4))
+    return pairs.similarity_profile(pairs.cosine_pairs(_labelled(spark, sf), 10, other_group=True), PROFILE_CUTS)
 
 
 @R.add("v15_best_cut", f"""WITH {_ALL}, g AS (SELECT round(cosine, 6) AS cut, count(*) FILTER (la = lb) AS p, count(*) FILTER (la <> lb) AS n FROM s WHERE id < other GROUP BY 1),
 t AS (SELECT sum(p) AS tp, sum(n) AS tn FROM g), c AS (SELECT cut, sum(p) OVER w AS kept, sum(n) OVER w AS fl FROM g WINDOW w AS (ORDER BY cut DESC))
 SELECT cut, CAST(kept AS BIGINT) AS kept, CAST(tp - kept AS BIGINT) AS missed, CAST(fl AS BIGINT) AS false_links, round((kept / tp + 1 - fl / tn) / 2, 9) AS balanced_accuracy FROM c, t ORDER BY 5 DESC, 1 LIMIT 1""")
 def v15(spark, sf):
-    v = _labelled(spark, sf)
-    n = v.count()
-    label = v.select("id", "grp")
-    s = pairs.cosine_pairs(v, n).where("id < other").join(label, "id").join(label.select(F.col("id").alias("other"), F.col("grp").alias("og")), "other")
-    return pairs.best_cut(s.select(F.col("cosine").alias("score"), (F.col("grp") == F.col("og")).alias("same")))
+    return pairs.best_cut(pairs.cosine_histogram(_labelled(spark, sf)))
 
 
 @R.add("z17_centroids", "WITH e AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) SELECT label AS grp, list(x ORDER BY i) AS centroid FROM (SELECT label, i, round(avg(CAST(x AS DOUBLE)), 9) AS x FROM e GROUP BY 1, 2) GROUP BY 1")

@@ -32,7 +32,7 @@ PARTS = {
   FROM (SELECT c.*, r.record_date, r.record_hash, try_cast(trim(location_in_record) AS DOUBLE) AS num FROM clm c LEFT JOIN (SELECT id, min(record_date) AS record_date, min(content_hash) AS record_hash FROM rec GROUP BY 1) r ON r.id = c.record_id)""", ("clm", "rec")),
     "corr": ("""SELECT DISTINCT least(claim_id, other) AS claim_a, greatest(claim_id, other) AS claim_b, CAST(0.85 AS DOUBLE) AS similarity FROM (
   SELECT c.id AS claim_id, c.record_id AS r, lag(c.id) OVER w AS other, lag(c.record_id) OVER w AS other_r FROM edge e JOIN clm c ON c.id = e.claim_id
-  WINDOW w AS (PARTITION BY e.node_id ORDER BY c.seq, c.id)) WHERE r <> other_r AND claim_id <> other""", ("edge", "clm")),
+  WINDOW w AS (PARTITION BY e.node_id, c.seq // 100000 ORDER BY c.seq, c.id)) WHERE r <> other_r AND claim_id <> other""", ("edge", "clm")),
     "idx0": ("SELECT trim(name) AS name, arg_min(nid, (p, nid)) AS nid FROM (SELECT name, 0 AS p, id AS nid FROM node UNION ALL SELECT alias, 1, node_id FROM alias) WHERE trim(name) <> '' GROUP BY 1", ("node", "alias")),
     "idx1": ("SELECT lower(trim(name)) AS name, arg_min(nid, (p, nid)) AS nid FROM (SELECT name, 0 AS p, id AS nid FROM node UNION ALL SELECT alias, 1, node_id FROM alias) WHERE trim(name) <> '' GROUP BY 1", ("node", "alias")),
     "rooted": ("""SELECT c.*, CASE WHEN origin_kind IS NULL THEN 'unknown' WHEN origin_kind IN ('speaker', 'unattributed') THEN CASE WHEN speaker_id IS NOT NULL THEN 'speaker' ELSE 'record' END
