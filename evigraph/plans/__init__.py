@@ -2,6 +2,6 @@
 
 
 def all_registries():
-    from . import curation, evidence, jobs, merging, more, pages, pairing, publishing, resolving, streams, training
+    from . import curation, dispositions, evidence, jobs, merging, more, pages, pairing, publishing, resolving, streams, training
 
-    return [curation.R, evidence.R, jobs.R, merging.R, more.R, pages.R, pairing.R, publishing.R, resolving.R, streams.R, training.R]
+    return [curation.R, dispositions.R, evidence.R, jobs.R, merging.R, more.R, pages.R, pairing.R, publishing.R, resolving.R, streams.R, training.R]
