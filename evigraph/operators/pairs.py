@@ -11,6 +11,8 @@ from pyspark.sql import Window as W
 from ..session import materialise
 
 SHINGLE, JACCARD, CONTAINMENT = 5, 0.6, 0.9
+#: Sets that hold one shingle for which one task is meant, and the most tasks for a shingle.
+HOT, MOST_SALTS = 10_000, 256
 
 
 def text_words(c: str | Column) -> Column:
@@ -39,7 +41,8 @@ def overlapping(texts: DataFrame, jaccard: float = JACCARD, containment: float =
     Prefix filter: shingles are ordered from rare to frequent; two sets that overlap as much
     as asked share one of their first few. Containment against a much larger set needs that
     set's whole list on one side, so the larger side keeps all of its rare shingles and the
-    smaller side the prefix. Frequent shingles are thus asked by few sets.
+    smaller side the prefix. Frequent shingles are thus asked by few sets, and spread by those
+    that hold them.
     """
     words = texts.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), text_words(text).alias("w"))
     # the filter is on w: one on s would be pushed down and take the lambda's input with it
@@ -59,9 +62,11 @@ def overlapping(texts: DataFrame, jaccard: float = JACCARD, containment: float =
     placed = shared.join(lone, "id").withColumn("place", F.row_number().over(w) + F.col("n") - F.col("kept"))
     least = min(jaccard, containment)
     prefix = placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * least) + 1)
-    a = prefix.select(F.col("id").alias("p"), F.col("n").alias("pn"), "h")
-    b = shared.select(F.col("id").alias("q"), F.col("n").alias("qn"), "h")
-    candidates = a.join(b, "h").where("p <> q AND (pn < qn OR (pn = qn AND p < q))").select("p", "q").distinct()
+    # a shingle that many sets hold is spread by the sets that hold it
+    salts = F.least(F.ceil(F.col("df") / HOT), F.lit(MOST_SALTS)).cast("int")
+    a = prefix.select(F.col("id").alias("p"), F.col("n").alias("pn"), "h", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    b = shared.select(F.col("id").alias("q"), F.col("n").alias("qn"), "h", F.pmod(F.xxhash64("id"), salts).cast("int").alias("salt"))
+    candidates = a.join(b, ["h", "salt"]).where("p <> q AND (pn < qn OR (pn = qn AND p < q))").select("p", "q").distinct()
     x = candidates.join(reps.select(F.col("id").alias("p"), F.col("s").alias("ps"), F.col("n").alias("pn")), "p").join(reps.select(F.col("id").alias("q"), F.col("s").alias("qs"), F.col("n").alias("qn")), "q")
     x = x.withColumn("shared", F.size(F.array_intersect("ps", "qs")))
     j, c = F.col("shared") / (F.col("pn") + F.col("qn") - F.col("shared")), F.col("shared") / F.least("pn", "qn")

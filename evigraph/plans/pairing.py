@@ -8,6 +8,7 @@ from ..common import table
 from ..operators import cluster, pairs, search
 from ..operators.graph import Graph
 from .registry import Registry
+from .sqlbase import ident
 from .sqlbase import with_parts as q
 
 R = Registry()
@@ -183,10 +184,14 @@ def m20_classes(spark, sf):
     return pairs.overlapping(table(spark, sf, "documents"), key="doc_id")[1]
 
 
-@R.add("m20_overlapping_texts", _SHINGLES + """, k AS (SELECT h.* FROM h JOIN r ON r.rep = h.id), c AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM k x JOIN k y ON x.s = y.s AND x.id < y.id GROUP BY 1, 2)
+_CLAIM_SHINGLES = _SHINGLES.replace("SELECT doc_id AS id", "SELECT id").replace("lower(text)", "lower(content)").replace("FROM documents", f"FROM (SELECT DISTINCT {ident('id')} AS id, content FROM claims WHERE {ident('id')} IS NOT NULL)")
+
+
+@R.add("m20_overlapping_claims", _CLAIM_SHINGLES + """, k AS (SELECT h.* FROM h JOIN r ON r.rep = h.id), c AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM k x JOIN k y ON x.s = y.s AND x.id < y.id GROUP BY 1, 2)
 SELECT a, b, shared / (p.n + o.n - shared) AS jaccard, shared / least(p.n, o.n) AS containment, shared FROM c JOIN n p ON p.id = a JOIN n o ON o.id = b WHERE shared / (p.n + o.n - shared) >= 0.6 OR shared / least(p.n, o.n) >= 0.9""")
 def m20_pairs(spark, sf):
-    return pairs.overlapping(table(spark, sf, "documents"), key="doc_id")[0]
+    """Claims: the documents hold copies, which m20_shingle_classes has, and few that are near."""
+    return pairs.overlapping(Graph(spark, sf).claims("content"), text="content")[0]
 
 
 @R.add("m22_works", _SHINGLES.replace("WITH d", "WITH RECURSIVE d") + """, k AS (SELECT h.* FROM h JOIN r ON r.rep = h.id), c AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM k x JOIN k y ON x.s = y.s AND x.id < y.id GROUP BY 1, 2),
