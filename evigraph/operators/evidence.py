@@ -34,7 +34,7 @@ def spread_per_node(node_claims: DataFrame, works: DataFrame) -> DataFrame:
     partial aggregation, so a hub's list never forms.
     """
     x = node_claims.join(works, "rid", "left").select("nid", F.coalesce("work", "rid").alias("work"), "cid")
-    per_work = x.groupBy("nid", "work").agg(F.countDistinct("cid").alias("n"))
+    per_work = materialise(x.groupBy("nid", "work").agg(F.countDistinct("cid").alias("n")), "claims_per_work")
     best = F.max(F.struct("n", "work"))
     per_node = per_work.groupBy("nid").agg(F.sum("n").alias("claims"), F.count("work").alias("sources"), best.alias("b"))
     second = per_work.join(per_node.select("nid", F.col("b.work").alias("top")), "nid").where(~F.col("work").eqNullSafe(F.col("top"))).groupBy("nid").agg(F.max("n").alias("second"))

@@ -349,7 +349,7 @@ def floor_report(g):
     return gate.floor_report(g)
 
 
-@add("v17_belonging", q("edge", """SELECT node_id, count(*) FILTER (salience IN ('subject', 'participant')) AS verified, count(*) FILTER (salience = 'mentioned') AS suspect, count(*) FILTER (salience IS NULL OR salience = 'setting') AS unreviewed, count(*) AS total FROM edge GROUP BY 1"""))
+@add("v17_belonging_standin", q("edge", """SELECT node_id, count(*) FILTER (salience IN ('subject', 'participant')) AS verified, count(*) FILTER (salience = 'mentioned') AS suspect, count(*) FILTER (salience IS NULL OR salience = 'setting') AS unreviewed, count(*) AS total FROM edge GROUP BY 1"""))
 def belonging(g):
     e = g.edges()
     status = e.select("claim_id", "node_id", F.when(F.col("salience").isin("subject", "participant"), "verified").when(F.col("salience") == "mentioned", "suspect").alias("status")).where("status IS NOT NULL")

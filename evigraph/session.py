@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_cleaned: set[str] = set()
 
 
 def get_session(app: str = "evigraph", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,10 +53,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, in this application's own part of it."""
+    """A fresh path below the shared folder, in this application's own part of it, which is
+    deleted when Python ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _cleaned:
+        _cleaned.add(app)
+        atexit.register(_clean_at_exit, spark, os.path.join(shared_dir(spark), "evigraph", app))
     return os.path.join(shared_dir(spark), "evigraph", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
 
 
+def _clean_at_exit(spark: SparkSession, path: str) -> None:
+    try:
+        remove(path, spark)
+    except Exception:  # noqa: BLE001 - the JVM may be gone already; then nothing can be deleted from here
+        pass
+
+
 def clean(spark: SparkSession) -> None:
     """Delete all that this application wrote into the shared folder; no result may still be read from it."""
     remove(os.path.join(shared_dir(spark), "evigraph", spark.sparkContext.applicationId), spark)
