@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..common import norm_hash, norm_id, salted_semi, utc_month
+from ..common import norm_hash, norm_id, parse_utc, salted_semi, utc_month
 
 #: Integer codes in one block; no run crosses a block, so that a window holds at most one block.
 INT_BLOCK_BITS = 16
@@ -97,3 +97,30 @@ def orphan_references(claims: DataFrame, claim_node_refs: DataFrame, receipts: D
 def orphan_summary(orphans: DataFrame) -> DataFrame:
     """(table_name, period, n_rows, n_keys): orphan references per table and month."""
     return orphans.groupBy("table_name", "period").agg(F.count("*").alias("n_rows"), F.countDistinct("ref_key").alias("n_keys"))
+
+
+def reference_states(claims: DataFrame, claim_node_refs: DataFrame, receipts: DataFrame, records: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(table_name, period, state, n_rows): the distinct references of each table and month that
+    lead nowhere (missing), to a retired node (deleted), or to what was created after the row
+    that refers to it (late: it may have led nowhere once, and does no longer).
+
+    States are told of the orphans and, for late ones, of targets by their first creation; times
+    that can't be read make nothing late.
+    """
+    orphans = orphan_references(claims, claim_node_refs, receipts, records, nodes)
+    gone = nodes.where(F.col("retired_at").isNotNull()).select(norm_id("id").alias("ref_key")).where("ref_key IS NOT NULL").distinct().withColumn("was", F.lit(True))
+    o = orphans.join(gone, "ref_key", "left").select("table_name", "period", F.when((F.col("table_name") == "claim_node_refs") & F.col("was"), "deleted").otherwise("missing").alias("state"))
+    first = lambda df, name: df.groupBy(F.lit(name).alias("target"), norm_id("id").alias("ref_key")).agg(F.min(parse_utc("created_at")).alias("made"))
+    made = first(records, "records").unionByName(first(nodes.where(F.col("retired_at").isNull()), "nodes")).where("ref_key IS NOT NULL AND made IS NOT NULL")
+    c = claims.select(norm_id("id").alias("row_key"), norm_id("record_id").alias("record"), parse_utc("created_at").alias("at"))
+    said = c.groupBy("row_key").agg(F.min("at").alias("at"))
+    of = lambda df, name, target, key, at: df.select(F.lit(name).alias("table_name"), F.lit(target).alias("target"), "row_key", F.col(key).alias("ref_key"), F.col(at).alias("at"))
+    r = receipts.select(norm_hash("record_content_hash").alias("row_key"), norm_id("record_id").alias("record"), parse_utc("imported_at").alias("at"))
+    e = claim_node_refs.select(norm_id("claim_id").alias("row_key"), norm_id("node_id").alias("node")).distinct().join(said, "row_key")
+    rows = of(c, "claims", "records", "record", "at").unionByName(of(r, "digest_import_receipts", "records", "record", "at")).unionByName(of(e, "claim_node_refs", "nodes", "node", "at")).where("ref_key IS NOT NULL AND at IS NOT NULL").distinct()
+    late = rows.join(made, ["target", "ref_key"]).where("made > at").select("table_name", _month("at").alias("period"), "row_key", "ref_key").distinct().select("table_name", "period", F.lit("late").alias("state"))
+    return o.unionByName(late).groupBy("table_name", "period", "state").agg(F.count("*").alias("n_rows"))
+
+
+def _month(at: str) -> Column:
+    return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_micros(at) / F.lit(86_400_000_000)).cast("int")), "yyyy-MM")

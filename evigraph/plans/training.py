@@ -61,3 +61,21 @@ def p7_found(spark, sf):
 @R.add("p7_summary", f"SELECT table_name, period, count(*) AS n_rows, count(DISTINCT ref_key) AS n_keys FROM ({_ORPHANS}) GROUP BY ALL")
 def p7_summary(spark, sf):
     return integrity.orphan_summary(_orphans(spark, sf))
+
+
+_AT = "CASE WHEN regexp_matches({0}, '(?i)(Z|UTC|[+-]\\d{{2}}:?\\d{{2}})$') AND length(trim({0})) > 10 THEN CAST(trim({0}) AS TIMESTAMPTZ) WHEN regexp_matches(trim({0}), '^\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN CAST(trim({0}) || CASE WHEN length(trim({0})) = 10 THEN 'T00:00:00Z' ELSE 'Z' END AS TIMESTAMPTZ) END"
+_STATES = f"""
+WITH o AS ({_ORPHANS}), gn AS (SELECT DISTINCT {_ID.format("id")} AS k FROM nodes WHERE retired_at IS NOT NULL),
+mr AS (SELECT {_ID.format("id")} AS k, min({_AT.format("created_at")}) AS made FROM records GROUP BY 1), mn AS (SELECT {_ID.format("id")} AS k, min({_AT.format("created_at")}) AS made FROM nodes WHERE retired_at IS NULL GROUP BY 1),
+cl AS (SELECT {_ID.format("id")} AS row_key, {_ID.format("record_id")} AS r, {_AT.format("created_at")} AS ts FROM claims), sd AS (SELECT row_key, min(ts) AS ts FROM cl GROUP BY 1),
+lt AS (SELECT DISTINCT 'claims' AS table_name, ts, row_key, r FROM cl JOIN mr ON mr.k = r WHERE made > ts
+ UNION SELECT DISTINCT 'digest_import_receipts', ts, row_key, r FROM (SELECT {_HASH.format("record_content_hash")} AS row_key, {_ID.format("record_id")} AS r, {_AT.format("imported_at")} AS ts FROM digest_import_receipts) JOIN mr ON mr.k = r WHERE made > ts
+ UNION SELECT DISTINCT 'claim_node_refs', sd.ts, sd.row_key, n FROM (SELECT {_ID.format("claim_id")} AS c, {_ID.format("node_id")} AS n FROM claim_node_refs) JOIN sd ON sd.row_key = c JOIN mn ON mn.k = n WHERE made > sd.ts),
+x AS (SELECT table_name, period, CASE WHEN table_name = 'claim_node_refs' AND ref_key IN (SELECT k FROM gn) THEN 'deleted' ELSE 'missing' END AS state FROM o UNION ALL SELECT table_name, period, 'late' FROM (SELECT DISTINCT table_name, strftime(ts AT TIME ZONE 'UTC', '%Y-%m') AS period, row_key, r FROM lt))
+SELECT table_name, period, state, count(*) AS n_rows FROM x GROUP BY ALL"""
+
+
+@R.add("p7_states", _STATES)
+def p7_states(spark, sf):
+    t = lambda n: table(spark, sf, n)
+    return integrity.reference_states(t("claims"), t("claim_node_refs"), t("digest_import_receipts"), t("records"), t("nodes"))
