@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import briefs, pages, publishing
+from ..operators import briefs, consistency, gate, pages, publishing
+from ..operators import evidence as ev
 from ..operators.graph import Graph
 from .curation import _SELECT, _selected
+from .evidence import _SPREAD
 from .pages import _LEDGERS, _SECTION, _SLUGS, _composed
 from .registry import Registry
 from .sqlbase import with_parts as q
@@ -86,3 +88,20 @@ def b8(spark, sf):
     g = Graph(spark, sf)
     c = g.node_claims().join(g.works(), "rid", "left").select("nid", "cid", F.coalesce("work", "rid").alias("work"))
     return publishing.person_listing(g.nodes("node_type"), c)
+
+
+@R.add("z12_findings", q("allnode node alias nc work", _SPREAD + _SLUGS + f"""
+, pr AS (SELECT DISTINCT n.id FROM allnode n JOIN sp ON sp.nid = n.id WHERE sp.second_source >= 3 AND ((n.node_type IN ('person', 'organisation', 'project', 'event', 'topic') AND sp.claims >= 8 AND sp.sources >= 3) OR (n.node_type IN ('place', 'object', 'document') AND sp.claims >= 12 AND sp.sources >= 4))),
+fl AS (SELECT file, min(id) AS id FROM (SELECT id, {_SECTION.format('node_type')} || '/' || trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') AS file FROM allnode WHERE name IS NOT NULL) GROUP BY 1),
+x AS (SELECT 'proposal-points-at-dead-node' AS finding, id AS x FROM pr WHERE id NOT IN (SELECT id FROM node)
+UNION ALL SELECT 'brief-for-dead-node', file FROM fl WHERE id NOT IN (SELECT id FROM node)
+UNION ALL SELECT 'brief-stranded-by-rename', file FROM fl JOIN sl ON sl.id = fl.id WHERE split_part(file, '/', -1) <> sl.slug
+UNION ALL SELECT 'proposal-without-brief', name || ' (' || left(id, 8) || ')' FROM node WHERE id IN (SELECT id FROM pr) AND id NOT IN (SELECT id FROM fl))
+SELECT finding, count(*) AS n, list_sort(list(x))[:5] AS examples FROM x GROUP BY 1"""))
+def z12_findings(spark, sf):
+    """Proposals from the floors over retired nodes as well, briefs as _files() has them."""
+    g = Graph(spark, sf)
+    floors = gate.floors_passed(g.nodes("node_type", "name", live=False), ev.spread_per_node(g.node_claims(), g.works()))
+    slugs = briefs.slug_map(g.nodes("node_type", "name")).select("id", "slug")
+    b = _files(g).select(F.regexp_replace("file", r"\.yaml$", "").alias("reference"), "node_ids", F.lit("h").alias("brief_hash"), F.lit("p").alias("payload_hash"))
+    return consistency.findings(floors.select("node_id"), g.nodes("node_type", "name", "seq").join(slugs, "id"), b)
