@@ -115,6 +115,34 @@ def plan(pairs: DataFrame, scores: DataFrame, verdicts: DataFrame, types: DataFr
     return x.select("shortlist_pairs", "new_pairs", "to_verify", calls.alias("verify_calls"), F.floor(F.col("chars") / CHARS_PER_TOKEN).alias("input_tokens"), (F.col("to_verify") * OUTPUT_PER_PAIR).alias("output_tokens"), (calls * CONTEXT_PER_CALL).alias("cached_context_tokens"), F.bround(calls * USD_PER_CALL, 2).alias("usd"))
 
 
+def judged(items: DataFrame, ask: Callable[[list[str]], list[dict | None]], size: int = PAIRS_PER_CALL) -> DataFrame:
+    """items (a, b, text) with same and reason, by an injected judge that is shown `size` texts at a time.
+
+    ask gives for each text {'same': bool, 'reason': str}; what it gives for a text counts only
+    if same is a boolean, else the pair is unanswered (same null). A call that fails leaves its
+    batch unanswered and stops nothing. Reasons are cut to 400 letters, as they are a note.
+    """
+    kinds = ", ".join(f"{c} {items.schema[c].dataType.simpleString()}" for c in ("a", "b"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            same, why = [], []
+            for i in range(0, len(x), size):
+                part = x["text"].iloc[i : i + size].tolist()
+                try:
+                    answers = list(ask(part))
+                except Exception as e:  # noqa: BLE001 - one bad reply must not stop the rest
+                    answers = [{"reason": f"{type(e).__name__}: {e}"}] * len(part)
+                answers = (answers + [None] * len(part))[: len(part)]
+                for d in answers:
+                    d = d if isinstance(d, dict) else {}
+                    same.append(d["same"] if isinstance(d.get("same"), bool) else None)
+                    why.append(str(d.get("reason") or "")[:400])
+            yield pd.DataFrame({"a": x["a"].tolist(), "b": x["b"].tolist(), "same": pd.Series(same, dtype=object), "reason": why})
+
+    return items.select("a", "b", "text").mapInPandas(run, f"{kinds}, same boolean, reason string")
+
+
 def land(verdicts: DataFrame, queue: DataFrame, nodes: DataFrame, claims: DataFrame) -> DataFrame:
     """(a, b, suggested_survivor, suggested_canonical, node_type, score): the queue entries that
     the yes-verdicts add.

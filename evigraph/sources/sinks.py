@@ -81,3 +81,60 @@ def fill_cache(texts: DataFrame, cache: DataFrame | None, model: str, embed: Cal
 def dequantised(vector: str, low: float, high: float):
     """Byte components as floats between low and high."""
     return F.transform(vector, lambda v: v.cast("float") * F.lit((high - low) / 255).cast("float") + F.lit(low).cast("float"))
+
+
+class Stale(RuntimeError):
+    """A manifest is too old to act on."""
+
+
+def require_fresh(manifest: DataFrame, now: str, at: str = "at", hours: float = 6.0) -> DataFrame:
+    """The manifest, or Stale if it has no row that is fresh()."""
+    if fresh(manifest, at, now, hours).isEmpty():
+        raise Stale(f"nothing in the manifest is younger than {hours} hours")
+    return manifest
+
+
+def new_events(events: DataFrame, ledger: DataFrame, ident: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(to append, collisions): of events those whose id the ledger doesn't hold.
+
+    An event that stands there word by word is left out, so that appending twice adds nothing;
+    one whose id stands there, or among the events, with other contents is a collision and
+    isn't appended. Both tables have the same columns.
+    """
+    body = lambda df: df.withColumn("_h", F.sha2(F.to_json(F.struct(*sorted(c for c in df.columns if c != ident)), {"ignoreNullFields": "false"}), 256))
+    e, held = body(events.where(F.col(ident).isNotNull())), body(ledger).select(ident, F.col("_h").alias("_was")).distinct()
+    several = e.groupBy(ident).agg((F.countDistinct("_h") > 1).alias("_several"))
+    x = e.join(held.groupBy(ident).agg(F.collect_set("_was").alias("_was")), ident, "left").join(several, ident)
+    clash = F.col("_several") | (F.col("_was").isNotNull() & ~(F.array_contains("_was", F.col("_h")) & (F.size("_was") == 1)))
+    fresh_ones = x.where(F.col("_was").isNull() & ~F.col("_several")).dropDuplicates([ident]).select(*events.columns)
+    return fresh_ones, x.where(clash).select(*events.columns).distinct()
+
+
+def append_events(events: DataFrame, path: str, ident: str = "id", order: str = "at") -> DataFrame:
+    """Appends to a ledger of YAML documents what new_events() lets through; returns the collisions.
+
+    Each run adds one file, in the order of `order` and id; readers take the files together.
+    One writer at a time.
+    """
+    spark = events.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    ledger = events.limit(0)
+    if fs.exists(hadoop):
+        from .files import ledger as read
+
+        ledger = read(spark, path).select(F.from_json("event", events.schema).alias("e")).select("e.*")
+    add, collisions = new_events(events, ledger, ident)
+    from ..session import materialise
+
+    collisions = materialise(collisions, "collisions")
+    body = F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import json
+
+        for b in batches:
+            yield pd.DataFrame({"value": ["---\n" + yamlish.dump(json.loads(j)).rstrip("\n") for j in b["body"]]})
+
+    add.orderBy(order, ident).select(body.alias("body")).coalesce(1).mapInPandas(run, "value string").write.mode("append").text(path)
+    return collisions

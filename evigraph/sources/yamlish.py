@@ -187,7 +187,7 @@ def _word(v: Any) -> str:
         return repr(v)
     s = str(v)
     try:
-        plain = s == s.strip() and s and scalar(s) == s and not re.search(r"[\n\r\t]|: |\s#|:$", s) and s[0] not in "-?:,[]{}#&*!|>'\"%@`"
+        plain = s == s.strip() and s and scalar(s) == s and s.lower() not in ("yes", "no", "on", "off", "y", "n") and not re.search(r"[\n\r\t]|: |\s#|:$", s) and s[0] not in "-?:,[]{}#&*!|>'\"%@`"
     except (YamlError, ValueError):
         plain = False
     return s if plain else json.dumps(s, ensure_ascii=False)

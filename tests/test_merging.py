@@ -59,3 +59,15 @@ def test_claim_lines_and_prefixes(spark, rows):
     assert rows(M.claim_lines(claims, keep, limit=2)) == [("q", 1, "[00000009] (None) z"), ("q", 2, "[00000009] (None) "), ("r", 1, "[00000001] (testimony) t1"), ("r", 2, "[00000004] (testimony) t4")]
     links = spark.createDataFrame([("q", "00000009"), ("r", "00000003-whatever"), ("r", "nope")], "record_id string, short string")
     assert rows(M.full_ids(links, claims), "record_id", "id") == [("q", "00000009-b"), ("r", "00000003-x"), ("r", "nope")]
+
+
+def test_a_judge_that_stumbles(spark, rows):
+    items = spark.createDataFrame([("a", str(i), t) for i, t in enumerate(["yes", "no", "odd", "boom", "yes"])], "a string, b string, text string").coalesce(1)
+
+    def ask(texts):
+        if "boom" in texts:
+            raise ValueError("no reply")
+        return [{"same": True, "reason": "r"} if t == "yes" else {"same": False} if t == "no" else {"same": "perhaps"} for t in texts][:2]
+
+    got = rows(M.judged(items, ask, size=3), "b", "same", "reason")
+    assert got == [("0", True, "r"), ("1", False, ""), ("2", None, ""), ("3", None, "ValueError: no reply"), ("4", None, "ValueError: no reply")]

@@ -109,3 +109,27 @@ def test_cache_queue_manifest(spark, tmp_path):
     assert m.first()["n"] == 4 and sinks.fresh(m, "at", "2025-01-01T05:00:00Z").count() == 1 and sinks.fresh(m, "at", "2025-01-01T07:00:00Z").count() == 0
     notes = sinks.vault_notes(spark.createDataFrame([("person", "a/b: c", "- x")], "node_type string, name string, body string"))
     assert tuple(notes.first()) == ("person", "a-b- c.md", "# a/b: c\n\n- x")
+
+
+def test_ledgers_are_appended_once(spark, tmp_path, rows):
+    from evigraph.sources import files, sinks
+
+    path, schema = str(tmp_path / "ledger"), "id string, at string, note string"
+    put = lambda data: sinks.append_events(spark.createDataFrame(data, schema), path)
+    assert put([("b", "2", "x: y\nz"), ("a", "1", None), ("a", "1", None), (None, "3", "lost")]).collect() == []
+    assert rows(put([("a", "1", None), ("b", "2", "other"), ("c", "3", "yes"), ("d", "4", "p"), ("d", "4", "q")])) == [("b", "2", "other"), ("d", "4", "p"), ("d", "4", "q")]
+    import json
+
+    events = [json.loads(r.event) for r in files.ledger(spark, path).collect()]
+    assert sorted((e["id"], e["note"]) for e in events) == [("a", None), ("b", "x: y\nz"), ("c", "yes")]
+
+
+def test_old_manifests_are_refused(spark):
+    import pytest
+
+    from evigraph.sources import sinks
+
+    m = spark.createDataFrame([("2025-01-01T00:00:00Z",)], "at string")
+    assert sinks.require_fresh(m, "2025-01-01T05:59:00Z").count() == 1
+    with pytest.raises(sinks.Stale):
+        sinks.require_fresh(m, "2025-01-01T06:01:00Z")
