@@ -12,7 +12,7 @@ from ..operators import evidence as ev
 from ..operators import incremental as inc
 from ..operators.graph import Graph
 from .registry import Registry
-from .sqlbase import hash64, ident, person_words, scoped
+from .sqlbase import CRC_TABLE, crc32, hash64, ident, person_words, scoped, state_hash
 from .sqlbase import with_parts as q
 
 R = Registry()
@@ -147,7 +147,7 @@ def m17(g):
     return ledger.tips(chain).select("k", "v", "produced_at")
 
 
-@add("m19_state_hashes")
+@add("m19_state_hashes", q("clm edge allnode", state_hash("clm", "id content record_id claim_hash", "claims") + " UNION ALL " + state_hash("edge", "claim_id node_id salience", "edges") + " UNION ALL " + state_hash("allnode", "id node_type name", "nodes")))
 def m19(g):
     out = [reconcile.state_hash(df, n) for n, df in (("claims", g.claims("content", "record_id", "claim_hash")), ("edges", g.edges()), ("nodes", g.nodes("node_type", "name", live=False)))]
     return out[0].unionByName(out[1]).unionByName(out[2])
@@ -170,7 +170,10 @@ def m23(g):
     return m.join(t, ["kind", "id"], "left").groupBy("kind", "model_id", state.alias("state")).agg(F.count("*").alias("n"))
 
 
-@add("m24_pending_by_bucket")
+_PENDING = f", {CRC_TABLE}, pe AS (SELECT {crc32('id')} % 32 AS bucket, count(*) AS n FROM (SELECT DISTINCT id FROM clm WHERE id NOT IN (SELECT {ident('id')} FROM embedding_model WHERE kind = 'claim' AND {ident('id')} IS NOT NULL)), crc GROUP BY 1)"
+
+
+@add("m24_pending_by_bucket", q("clm", _PENDING + " SELECT CAST(bucket AS INTEGER) AS bucket, n FROM pe"))
 def m24(g):
     done = g.raw("embedding_model").where("kind = 'claim'").select(norm_id("id").alias("id")).distinct()
     return g.claims().join(done, "id", "left_anti").groupBy(text.bucket("id").alias("bucket")).agg(F.count("*").alias("n"))

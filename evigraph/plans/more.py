@@ -9,6 +9,7 @@ from ..functions import text
 from ..operators import gate, pairs, resolve
 from ..operators import evidence as ev
 from ..operators.graph import Graph
+from .curation import _PENDING
 from .evidence import _SPREAD
 from .pairing import _ALL, _labelled
 from .registry import Registry
@@ -134,7 +135,7 @@ def b9(spark, sf):
     return n.select(F.col("id").alias("node_id"), decision.alias("decision"))
 
 
-@R.add("z8_embedding_jobs", None)
+@R.add("z8_embedding_jobs", q("clm", _PENDING + " SELECT CAST(bucket AS INTEGER) AS bucket, n AS pending, CAST(greatest(round_even(n / 4.9 / 60, 0), 1) AS INTEGER) AS minutes FROM pe"))
 def z8(spark, sf):
     g = Graph(spark, sf)
     from ..common import norm_id

@@ -93,7 +93,16 @@ def q5(spark, sf):
     return search.hybrid_search(docs, _unit_vectors(spark, sf), "radar return over the ridge", _probe(spark, sf))
 
 
-@R.add("q6_reranked_search")
+_SPLIT = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_RERANKED = f"""WITH {_PROBE}, {_doc_sql().replace("doc_id AS id", "CAST(doc_id AS VARCHAR) AS id").replace("LIMIT 10", "LIMIT 50").replace("FROM documents", "FROM (SELECT * FROM documents WHERE text IS NOT NULL)")},
+sem AS (SELECT CAST(vec_id AS VARCHAR) AS id, round(1 - list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 9) AS distance FROM embeddings, p ORDER BY distance, id LIMIT 50),
+r AS (SELECT id, row_number() OVER (ORDER BY distance, id) AS rank FROM sem UNION ALL SELECT id, row_number() OVER (ORDER BY score DESC, id) FROM kw),
+ch AS (SELECT id FROM (SELECT id, round(sum(1 / (CAST(60 AS DOUBLE) + rank)), 12) AS rrf FROM r GROUP BY id) ORDER BY rrf DESC, id LIMIT 50),
+sc AS (SELECT ch.id, CAST(len(list_filter(regexp_split_to_array(lower(d.text), '{_SPLIT}'), lambda w: w IN ({", ".join(f"'{t}'" for t in _DOC_TOKENS)}))) AS DOUBLE) / (1 + length(d.text) / 500) AS s FROM ch JOIN documents d ON CAST(d.doc_id AS VARCHAR) = ch.id WHERE d.text IS NOT NULL)
+SELECT id, round(1 - 1 / (1 + exp(-s)), 9) AS distance FROM sc ORDER BY distance, id LIMIT 10"""
+
+
+@R.add("q6_reranked_search", _RERANKED)
 def q6(spark, sf):
     words = set(_DOC_TOKENS)
 

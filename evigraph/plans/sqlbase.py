@@ -72,6 +72,23 @@ def scoped(w: str, name: str) -> str:
     return f"({name} SIMILAR TO '\\s*\\[[^\\[\\]]+\\]\\s*' OR CASE WHEN len({w}) > 1 THEN regexp_full_match({w}[-1], '[a-z](\\.[a-z])*') AND NOT regexp_full_match({w}[-1], '[ivx]{{1,4}}') ELSE len({w}) = 0 OR {w}[1] NOT IN {_in(kernel.MONONYMS)} END)"
 
 
+#: A table of 256 numbers, as a CTE `crc (t)`: of each byte the remainder by the CRC-32 polynomial.
+CRC_TABLE = "crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, i::BIGINT)) AS t)"
+
+
+def crc32(x: str) -> str:
+    """The CRC-32 of an ASCII text, beside the CTE crc."""
+    return f"xor(list_reduce(list_transform(string_split({x}, ''), lambda c: ord(c)::BIGINT), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def state_hash(table: str, columns: str, name: str) -> str:
+    """(table_name, n, digest) of a table's columns, as reconcile.state_hash()."""
+    cols = sorted(columns.split())
+    body = " || ',' || ".join(f"'\"{c}\":' || coalesce(to_json({c})::VARCHAR, 'null')" for c in cols)
+    sums = ", ".join(f"'|', coalesce(sum(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT)), 0)" for i in range(4))
+    return f"SELECT '{name}' AS table_name, count(*) AS n, sha256(concat(count(*), {sums})) AS digest FROM (SELECT sha256('{{' || {body} || '}}') AS h FROM (SELECT DISTINCT {', '.join(cols)} FROM {table}))"
+
+
 def strip_acronym(name: str) -> str:
     """Without a trailing acronym of three or more; two letters are not looked at."""
     return f"rtrim(regexp_replace({name}, '\\s*\\([A-Z0-9][A-Z0-9-]+[A-Z0-9]\\)\\s*$', ''))"
