@@ -26,6 +26,22 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
 
 
+def standing(nodes: DataFrame, rejected: DataFrame) -> DataFrame:
+    """(id, rep): which node stands for a node when clusters are made.
+
+    Of the nodes with one type and name the smallest id, for those that no rejected pair
+    touches; a node that one touches stands for itself. So a cluster is made from one node a
+    name and from those that somebody has judged, however many nodes share the name, and a
+    rejected pair is between nodes that stand for themselves. nodes: (id, name, node_type).
+    """
+    r = ordered(rejected)
+    judged_ = r.select(F.col("a").alias("id")).unionByName(r.select(F.col("b").alias("id"))).distinct().withColumn("_own", F.lit(True))
+    n = materialise(nodes.select("id", "name", "node_type").join(judged_, "id", "left"), "standing")
+    reps = n.where("_own IS NULL AND name IS NOT NULL").groupBy("node_type", "name").agg(F.min("id").alias("rep"))
+    x = n.join(reps, ["node_type", "name"], "left")
+    return x.select("id", F.when(F.col("_own").isNull() & F.col("rep").isNotNull(), F.col("rep")).otherwise(F.col("id")).alias("rep"))
+
+
 def labelled_edges(names: DataFrame, fuzzy: DataFrame | None = None) -> DataFrame:
     """(a, b, score, reason): edges of equal names and of similar ones; of both the name's counts."""
     e = ordered(names).select("a", "b", F.col("score").cast("double").alias("score"), F.lit("name-equivalent").alias("reason"))
@@ -38,7 +54,7 @@ def labelled_edges(names: DataFrame, fuzzy: DataFrame | None = None) -> DataFram
 def clusters_of(edges: DataFrame, rejected: DataFrame, nodes: DataFrame, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cards, membership): what the edges tie together without the rejected pairs.
 
-    Taking a rejected pair out may split a cluster. cards: (component, members, pairs,
+    Taking a rejected pair out may split a cluster. cards: (component, members,
     suggested_canonical, node_type, score, reason): the name and type of the member with the
     most claims (ties: the smaller id), score and reason of the best edge. membership:
     (component, node_id); lists of members don't form, a cluster may be of any size.
@@ -46,11 +62,11 @@ def clusters_of(edges: DataFrame, rejected: DataFrame, nodes: DataFrame, claims:
     """
     e = materialise(edges.join(ordered(rejected).select("a", "b").distinct(), ["a", "b"], "left_anti"), "kept_edges")
     m = materialise(components(e).select("component", F.col("id").alias("node_id")), "membership")
-    inside = e.join(m.select(F.col("node_id").alias("a"), "component"), "a").groupBy("component").agg(F.count("*").alias("pairs"), F.max_by(F.struct("score", "reason"), F.struct("score", "reason")).alias("best"))
+    inside = e.join(m.select(F.col("node_id").alias("a"), "component"), "a").groupBy("component").agg(F.max_by(F.struct("score", "reason"), F.struct("score", "reason")).alias("best"))
     n = m.join(nodes.select(F.col("id").alias("node_id"), "name", "node_type"), "node_id").join(claims, "node_id", "left")
     rank = F.struct(-F.coalesce("claims", F.lit(0)), F.col("node_id"))
     top = n.groupBy("component").agg(F.count("*").alias("members"), F.min_by(F.struct("name", "node_type"), rank).alias("top"))
-    cards = top.join(inside, "component").select("component", "members", "pairs", F.col("top.name").alias("suggested_canonical"), "top.node_type", F.col("best.score").alias("score"), F.col("best.reason").alias("reason"))
+    cards = top.join(inside, "component").select("component", "members", F.col("top.name").alias("suggested_canonical"), "top.node_type", F.col("best.score").alias("score"), F.col("best.reason").alias("reason"))
     return cards, m
 
 

@@ -127,14 +127,19 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75) -> DataF
 def fuzzy_edges(nodes: DataFrame, least: float = 0.75) -> DataFrame:
     """(a, b, score), a < b: nodes of one type with similar names, score at 3 decimals.
 
-    Names are compared once for each distinct pair; nodes of equal names are joined on.
+    Names are compared once for each distinct pair. Of nodes with one name the smallest id
+    stands for all: it has the edges to other names, and one of score 1 to each of the others,
+    so that copies of a name aren't expanded into all pairs.
     """
     n = nodes.select("id", F.col("node_type").alias("kind"), "name").where("name IS NOT NULL")
-    names = n.select("kind", "name").distinct()
+    reps = materialise(n.groupBy("kind", "name").agg(F.min("id").alias("rep")), "representatives")
+    names = reps.select("kind", "name")
     p = fuzzy_pairs(names, names, least).where("a < b")
-    same = n.select("kind", F.col("name").alias("x"), F.col("id").alias("i")).join(n.select("kind", F.col("name").alias("x"), F.col("id").alias("j")), ["kind", "x"]).where("i < j").select("i", "j", F.lit(1.0).alias("s"))
-    x = p.join(n.select("kind", F.col("name").alias("a"), F.col("id").alias("i")), ["kind", "a"]).join(n.select("kind", F.col("name").alias("b"), F.col("id").alias("j")), ["kind", "b"]).select("i", "j", F.col("similarity").alias("s"))
-    return x.unionByName(same).groupBy(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).agg(F.max(F.bround("s", 3)).alias("score"))
+    of = lambda c, i: reps.select("kind", F.col("name").alias(c), F.col("rep").alias(i))
+    between = p.join(of("a", "i"), ["kind", "a"]).join(of("b", "j"), ["kind", "b"]).select("i", "j", F.col("similarity").alias("s"))
+    same = n.join(reps, ["kind", "name"]).where("id <> rep").select(F.col("rep").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("s"))
+    x = between.unionByName(same)
+    return x.groupBy(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).agg(F.max(F.bround("s", 3)).alias("score"))
 
 
 #: The tiers of matching in their order.

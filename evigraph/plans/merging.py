@@ -28,26 +28,30 @@ _KEYS = ", k AS (SELECT id, node_type, trim(regexp_replace(regexp_replace(lower(
 _IDS = f", pi AS (SELECT DISTINCT section, proposal_id, {ident('x')} AS x FROM (SELECT section, proposal_id, unnest(node_ids) AS x FROM merge_proposals_referenced_sources)), sp AS (SELECT DISTINCT a.section, a.x AS a, b.x AS b FROM pi a JOIN pi b ON a.proposal_id = b.proposal_id AND a.section = b.section AND a.x < b.x), cn AS (SELECT node_id, count(*) AS claims FROM edge GROUP BY 1)"
 _CARDS = _KEYS + _IDS + """, ke AS (SELECT a, b, score FROM ne WHERE (a, b) NOT IN (SELECT (a, b) FROM sp WHERE section = 'keep_separate')), s AS (SELECT a, b FROM ke UNION SELECT b, a FROM ke UNION SELECT a, a FROM ke UNION SELECT b, b FROM ke),
 t(id, c) AS (SELECT a, b FROM s UNION SELECT s.a, t.c FROM s JOIN t ON t.id = s.b), m AS (SELECT id, min(c) AS component FROM t GROUP BY 1),
-i AS (SELECT m.component, count(*) AS pairs, max(ke.score) AS score FROM ke JOIN m ON m.id = ke.a GROUP BY 1), d AS (SELECT m.component, count(*) AS members, arg_min(n.name, (-coalesce(claims, 0), n.id)) AS suggested_canonical, arg_min(n.node_type, (-coalesce(claims, 0), n.id)) AS node_type FROM m JOIN node n ON n.id = m.id LEFT JOIN cn ON cn.node_id = m.id GROUP BY 1)
-SELECT component, members, pairs, suggested_canonical, node_type, score, 'name-equivalent' AS reason FROM d JOIN i USING (component)"""
+i AS (SELECT m.component, max(ke.score) AS score FROM ke JOIN m ON m.id = ke.a GROUP BY 1), d AS (SELECT m.component, count(*) AS members, arg_min(n.name, (-coalesce(claims, 0), n.id)) AS suggested_canonical, arg_min(n.node_type, (-coalesce(claims, 0), n.id)) AS node_type FROM m JOIN node n ON n.id = m.id LEFT JOIN cn ON cn.node_id = m.id GROUP BY 1)
+SELECT component, members, suggested_canonical, node_type, score, 'name-equivalent' AS reason FROM d JOIN i USING (component)"""
 
 
-def _clusters(g, fuzzy=None):
-    n = g.nodes("node_type", "name")
-    edges = merging.labelled_edges(resolve.name_edges(n), fuzzy)
-    return merging.clusters_of(edges, _sets(g, "keep_separate"), n, _counts(g))
+def _clusters(g, fuzzy: bool):
+    n, rejected = g.nodes("node_type", "name"), _sets(g, "keep_separate")
+    st = merging.standing(n, rejected)
+    reps = n.join(st.where("id = rep").select("id"), "id", "left_semi")
+    # nodes of one name are tied to the one that stands for them, with the score of equal names
+    several = n.groupBy(resolve.plain_key("name").alias("key")).agg((F.countDistinct("node_type") > 1).alias("wide"))
+    star = st.where("id <> rep").join(n.withColumn("key", resolve.plain_key("name")), "id").join(several, "key").where("key <> ''").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.when(F.col("wide"), F.lit(0.9)).otherwise(F.lit(0.95)).alias("score"))
+    edges = merging.labelled_edges(resolve.name_edges(reps).unionByName(star), resolve.fuzzy_edges(reps) if fuzzy else None)
+    return merging.clusters_of(edges, rejected, n, _counts(g))
 
 
 @R.add("e10_name_clusters_less_rejected", q("node edge", _CARDS, recursive=True))
 def e10_names(spark, sf):
-    return _clusters(Graph(spark, sf))[0]
+    return _clusters(Graph(spark, sf), False)[0]
 
 
 @R.add("e10_merge_proposals")
 def e10(spark, sf):
     """Name and fuzzy edges together; similarity has no SQL, see e1_similarity_cases and the tests."""
-    g = Graph(spark, sf)
-    return _clusters(g, resolve.fuzzy_edges(g.nodes("node_type", "name")))[0]
+    return _clusters(Graph(spark, sf), True)[0]
 
 
 def _scores(g):

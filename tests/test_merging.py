@@ -17,7 +17,7 @@ def test_rejected_pairs_split_clusters(spark, rows):
     claims = spark.createDataFrame([("b", 4), ("c", 9), ("d", 9)], "node_id string, claims int")
     none = edges.select("a", "b").limit(0)
     cards, m = M.clusters_of(edges, none, nodes, claims)
-    assert rows(cards) == [("a", 4, 3, "C", "person", 0.95, "name-equivalent")] and rows(m, "node_id") == [("a",), ("b",), ("c",), ("d",)]
+    assert rows(cards) == [("a", 4, "C", "person", 0.95, "name-equivalent")] and rows(m, "node_id") == [("a",), ("b",), ("c",), ("d",)]
     cards, m = M.clusters_of(edges, pairs(spark, [("c", "b")], "a string, b string"), nodes, claims)
     assert rows(cards, "component", "members", "suggested_canonical") == [("a", 2, "B"), ("c", 2, "C")]
     out = M.reranked(cards, m, pairs(spark, [("b", "a", 0.3), ("a", "b", 0.4), ("a", "c", 0.99)]))
@@ -25,6 +25,14 @@ def test_rejected_pairs_split_clusters(spark, rows):
     assert M.clusters_of(edges.limit(0), none, nodes, claims)[0].collect() == []
 
 
+def test_one_node_stands_for_a_name(spark, rows):
+    nodes = [("1", "X", "person"), ("2", "X", "person"), ("3", "X", "person"), ("4", "X", "place"), ("5", "X", "person"), ("6", None, "person"), ("7", "Y", "person")]
+    df = spark.createDataFrame(nodes, "id string, name string, node_type string")
+    rejected = pairs(spark, [("5", "1"), ("7", "9")], "a string, b string")
+    assert rows(M.standing(df, rejected)) == [("1", "1"), ("2", "2"), ("3", "2"), ("4", "4"), ("5", "5"), ("6", "6"), ("7", "7")]
+    assert rows(M.standing(df, rejected.limit(0)), "rep") == [("1",), ("1",), ("1",), ("1",), ("4",), ("6",), ("7",)]
+
+
 def test_pairs_are_scored_once(spark, rows):
     memo = pairs(spark, [("a", "b", 0.1, 1), ("b", "a", 0.2, 2)], "a string, b string, score double, seq int")
     texts = spark.createDataFrame([("a", "x"), ("b", "xx"), ("c", "xxx")], "id string, text string")
