@@ -57,3 +57,22 @@ def violations(tables: dict[str, DataFrame], specs: dict[str, Spec] = SPECS) ->
             lost = counts.join(tables[other].select(F.col(k).alias("k")), "k", "left_anti").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))
             out.append(row(lost, "reference", c))
     return reduce(DataFrame.unionByName, out).where("n > 0")
+
+
+#: Columns that tables of an older form lack, with their types, and what fills a new column at once.
+ADDED = {
+    "nodes": {"retired_at": "string", "metadata": "string"}, "records": {"work_id": "string", "friendly_name": "string", "producer_id": "string", "metadata": "string"},
+    "claims": {"claim_role": "string", "claim_hash": "string", "origin_kind": "string", "origin": "string", "origin_ref": "string", "relay": "array<string>", "entailment_label": "string", "entailment_score": "double", "entailment_model": "string", "entailment_premise": "string", "attribution_in_text": "boolean"},
+    "edges": {"salience": "string"},
+}
+
+
+def upgraded(df: DataFrame, table: str) -> DataFrame:
+    """A table of an older form with the columns it lacks, null: not assessed, never a value.
+    A record without a work is a work of its own; a claim without a confidence has 1.0."""
+    out = df.withColumns({c: F.lit(None).cast(t) for c, t in ADDED.get(table, {}).items() if c not in df.columns})
+    if table == "records":
+        out = out.withColumn("work_id", F.coalesce("work_id", "id"))
+    if table == "claims":
+        out = out.withColumn("confidence", F.coalesce("confidence", F.lit(1.0)) if "confidence" in df.columns else F.lit(1.0))
+    return out
