@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..common import with_position
+from ..common import broadcast_checked, with_position
 from ..session import materialise
 
 # The published coefficients of Acklam's rational approximation of the
@@ -84,7 +84,8 @@ def gaussian_rank_fusion(df: DataFrame, key: str, weights: dict[str, float]) ->
     out = rows
     for c in names:
         z = percentiles(rows, c).select(F.col("value").alias(c), probit(F.col("p")).alias(f"z_{c}"))
-        out = out.join(z, c, "left")
+        # most rows may share one value: the few values are sent to them where they are few indeed
+        out = out.join(broadcast_checked(z), c, "left")
     here = [F.when(F.col(f"z_{c}").isNotNull(), F.lit(float(w))).otherwise(F.lit(0.0)) for c, w in weights.items()]
     parts = [F.coalesce(F.col(f"z_{c}") * F.lit(float(w)), F.lit(0.0)) for c, w in weights.items()]
     total, weight = parts[0], here[0]
