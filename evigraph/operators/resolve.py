@@ -182,8 +182,10 @@ def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: Da
     tier(asked.select("kind", "name", "blind").join(there.where("blind IS NOT NULL"), ["kind", "blind"]), "punctuation", False)
     rest = lambda c: F.regexp_replace(F.trim(F.regexp_replace(F.col(c), r"^\s*\S+\s*", "")), r"\s+", " ")
     people = asked.where("kind = 'person'").select("kind", "name", rest("name").alias("tail")).where("tail <> ''")
-    nick = people.join(n.where("kind = 'person'").withColumn("tail", rest("node_name")), ["kind", "tail"])
-    tier(nick.where(kernel.nickname_udf("name", "node_name")), "nickname", False)
+    # different names meet, nodes of one name come in afterwards
+    spelled_people = n.where("kind = 'person'").select("kind", "node_name").distinct().withColumn("tail", rest("node_name"))
+    nick = spread(people.join(spelled_people, ["kind", "tail"])).where(kernel.nickname_udf("name", "node_name")).select("kind", "name", "node_name")
+    tier(nick.join(n.select("kind", "node_name", "node_id", "seq", "refs"), ["kind", "node_name"]), "nickname", False)
     first = found[0]
     for x in found[1:]:
         first = first.unionByName(x)
