@@ -18,25 +18,43 @@ CLOSING_SHARE, CLOSING_LAST = 0.001, 0.5
 
 # Marks that software leaves where it cut (at the end of a text), sentence ends
 # of several scripts, and what may follow them.
-MARKS = r"(?U)(?<!\s)\s*+(?:\[\s*(?:\.\.\.|…)\s*\]?|\(\s*(?:\.\.\.|…)\s*\)?|[\[(]\s*(?i:continued|cont'd|cont\.|truncated|more|read more|cut|snip)[^\])\n]{0,20}[\])]?|(?i:<\s*(?:truncated|snip|more)\s*/?>))$"
-DOTS = r"(?U)(?<!\s)\s*+(?<!\.)(?:\.{3,}+|…)$"
-ENDS = r".!?。！？．｡؟۔।॥։።…"
-AFTER = r"\"'”’»›“‘)\]}）」』】*_"
+MARKS = r"(?U)(?:\[\s*(?:\.\.\.|…)\s*\]?|\(\s*(?:\.\.\.|…)\s*\)?|[\[(]\s*(?i:continued|cont'd|cont\.|truncated|more|read more|cut|snip)[^\])\n]{0,20}[\])]?|(?i:<\s*(?:truncated|snip|more)\s*/?>))$"
+ENDS = ".!?。！？．｡؟۔।॥։።…"
+AFTER = "\"'”’»›“‘)]}）」』】*_"
 
 
 #: What is taken off a text's end before it is looked at.
 BLANKS = "".join(chr(c) for c in [*range(33), *range(127, 161), 0xAD, 0x1680, *range(0x2000, 0x2010), *range(0x2028, 0x2030), 0x205F, *range(0x2060, 0x2065), 0x3000, 0xFEFF])
-#: Addresses and rules that may stand behind a sentence's end. The patterns look at whole texts;
-#: possessive, so that long runs of blanks and marks cost no backtracking.
+#: Addresses and rules that may stand behind a sentence's end; possessive, so that long runs of
+#: blanks and marks cost no backtracking.
 BEHIND = r"(?<!\s)(?:\s++(?:https?://\S++|[-=_*~#]{3,}+))++$"
 
 
+def _ends_in(text: Column, chars: str) -> Column:
+    return F.right(text, F.lit(1)).isin(*chars)
+
+
+def _ended(text: Column) -> Column:
+    """Whether a sentence ends there, whatever quotes and brackets follow it."""
+    return _ends_in(F.rtrim(text, F.lit(AFTER)), ENDS)
+
+
 def described(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per non-blank text: its lengths without and with the mark, and how its end looks."""
     d = documents.select(F.col(key).alias("_key"), F.col("source").alias("_source"), F.col("n_chars").cast("bigint").alias("_said"), F.col("text").alias("_text"))
     d = d.withColumn("_body", F.rtrim(F.col("_text"), F.lit(BLANKS))).where(F.length("_body") > 0)
-    d = d.withColumn("_core", F.regexp_replace("_body", BEHIND, ""))
-    d = d.withColumn("_bare", F.regexp_replace(F.regexp_replace("_body", MARKS, ""), DOTS, ""))
+    # patterns run over whole texts, so only where a cheap look says that they may fit
+    body, blanks = F.col("_body"), F.lit(BLANKS)
+    behind = F.contains(body, F.lit("http")) | _ends_in(body, "-=_*~#")
+    d = d.withColumn("_core", F.when(behind, F.regexp_replace("_body", BEHIND, "")).otherwise(body))
+    bracket = F.contains(body, F.lit("[")) | F.contains(body, F.lit("(")) | F.contains(body, F.lit("<"))
+    d = d.withColumn("_marked", F.when(bracket, body.rlike(MARKS)).otherwise(F.lit(False)))
+    x = F.when(F.col("_marked"), F.rtrim(F.regexp_replace("_body", MARKS, ""), blanks)).otherwise(body)
+    d = d.withColumn("_unmarked", x)
+    three = lambda c: F.endswith(c, F.lit("..."))
+    one = lambda c: F.endswith(c, F.lit("…"))
+    u = F.col("_unmarked")
+    d = d.withColumn("_bare", F.when(three(u), F.rtrim(F.rtrim(u, F.lit(".")), blanks)).when(one(u), F.rtrim(F.left(u, F.length(u) - 1), blanks)).otherwise(u))
     last = F.substring_index(F.translate("_body", "\r", "\n"), "\n", -1)
     return d.select(
         "_key",
@@ -46,12 +64,12 @@ def described(documents: DataFrame, key: str = "doc_id") -> DataFrame:
         F.length("_text").alias("chars"),
         F.octet_length("_text").alias("bytes"),
         F.length("_bare").alias("bare"),
-        F.col("_body").rlike(MARKS).alias("marked"),
-        F.col("_body").rlike(DOTS).alias("dotted"),
-        F.col("_bare").rlike(f"[{ENDS}][{AFTER}]*$").alias("bare_ended"),
+        F.col("_marked").alias("marked"),
+        (three(body) | one(body)).alias("dotted"),
+        _ended(F.col("_bare")).alias("bare_ended"),
         F.endswith("_body", F.lit("\ufffd")).alias("broken"),
-        F.col("_core").rlike(f"[{ENDS}][{AFTER}]*$").alias("ended"),
-        F.col("_body").rlike(r"</\s*[A-Za-z][\w:-]*\s*>$").alias("tag"),
+        _ended(F.col("_core")).alias("ended"),
+        F.when(F.endswith(body, F.lit(">")), body.rlike(r"</\s*[A-Za-z][\w:-]*\s*>$")).otherwise(F.lit(False)).alias("tag"),
         F.trim(last).alias("last"),
     )
 
