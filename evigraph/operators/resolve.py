@@ -39,8 +39,8 @@ def near_tokens(tokens: DataFrame, least: float = 0.81) -> DataFrame:
 
     Lossless: L = ceil(least (n + m) / 2) letters are common, so the shorter token t loses
     n - L letters and gains m - L, and with them at most 2 (n - L) + (m - L) of its bigrams.
-    One of its rarest bigrams, that many and one, is also u's; only those are joined, then the
-    shared bigrams are counted, and the ratio is taken of what is left.
+    One of its rarest bigrams, that many and one, is also u's; only those are joined, cut by the
+    edit distance, and the ratio is taken of what is left.
     """
     t = tokens.select("t").distinct().where(F.length("t") >= 3)
     gram = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: F.substring(F.col("t"), i, F.lit(2))))
@@ -54,9 +54,9 @@ def near_tokens(tokens: DataFrame, least: float = 0.81) -> DataFrame:
     common = F.ceil(F.lit(least / 2) * (F.col("n") + F.col("m")) - 1e-9)
     lost = 2 * (F.col("n") - common) + (F.col("m") - common)
     shorter = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("t") < F.col("u")))
-    pairs = a.join(b, "g").where(shorter & (common <= F.col("n")) & (F.col("p") <= lost + 1)).select("t", "u").distinct()
-    pairs = pairs.join(sets, "t").join(sets.select(F.col("t").alias("u"), F.col("n").alias("m"), F.col("gs").alias("hs")), "u")
-    pairs = pairs.where(F.size(F.array_intersect("gs", "hs")) >= F.size("gs") - lost).select("t", "u")
+    # an edit is at most one letter lost and one gained, so edits can't be more than those
+    edits = F.levenshtein("t", "u") <= F.col("n") + F.col("m") - 2 * common
+    pairs = a.join(b, "g").where(shorter & (common <= F.col("n")) & (F.col("p") <= lost + 1) & edits).select("t", "u").distinct()
     near = spread(pairs).where(ratio_udf("t", "u") >= least)
     return near.unionByName(near.select(F.col("u").alias("t"), F.col("t").alias("u")))
 
