@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .cluster import components
+from ..session import materialise, remove
 
 
 def latest(events: DataFrame, key: list[str], order: list[str], value: str) -> DataFrame:
@@ -39,17 +39,36 @@ def tips(events: DataFrame, ident: str = "id", supersedes: str = "supersedes") -
     return events.join(older, ident, "left_anti")
 
 
-def merge_map(merges: DataFrame, weight: DataFrame | None = None) -> DataFrame:
-    """(node_id, survivor): where each merged node ends after all merges.
+def merge_map(merges: DataFrame) -> DataFrame:
+    """(node_id, survivor): where each merged node ends after all merges in their order.
 
-    merges: (survivor, victim, at). Nodes that merges tie together, in whatever order, end at
-    the survivor that the last of them names; weight (id, n) decides instead among nodes that
-    no merge names as survivor. The survivor itself has no row.
+    merges: (survivor, victim, at), in the order of at, survivor, victim. A node that was merged
+    before stands for the one it went into, on either side; the survivor itself has no row.
+
+    Merges that don't wait for each other are done in one round: one whose victim no earlier
+    merge touches, and whose survivor no earlier one takes away. So there are as many rounds as
+    merges follow on one another, a survivor of many is one round; a table each.
     """
-    m = merges.where("survivor IS NOT NULL AND victim IS NOT NULL AND survivor <> victim")
-    c = components(m.select(F.col("survivor").alias("a"), F.col("victim").alias("b")))
-    last = m.join(c.select(F.col("id").alias("survivor"), "component"), "survivor").groupBy("component").agg(F.max_by("survivor", F.struct("at", "survivor")).alias("survivor"))
-    return c.join(last, "component").where("id <> survivor").select(F.col("id").alias("node_id"), "survivor")
+    order = ["at", "survivor", "victim"]
+    m = merges.where("survivor IS NOT NULL AND victim IS NOT NULL AND survivor <> victim").select(*order).distinct()
+    left = materialise(m.select(F.struct(*order).alias("o"), F.col("survivor").alias("s"), F.col("victim").alias("v")), "merges")
+    ids = left.select(F.col("s").alias("node_id")).unionByName(left.select(F.col("v").alias("node_id"))).distinct()
+    roots = materialise(ids.withColumn("root", F.col("node_id")), "roots")
+    while not left.isEmpty():
+        touched = left.select(F.col("s").alias("n"), "o").unionByName(left.select(F.col("v").alias("n"), "o")).groupBy("n").agg(F.min("o").alias("first"))
+        taken = left.groupBy(F.col("v").alias("n")).agg(F.min("o").alias("gone"))
+        x = left.join(touched.select(F.col("n").alias("v"), "first"), "v").join(taken.select(F.col("n").alias("s"), "gone"), "s", "left")
+        ready = materialise(x.where((F.col("o") == F.col("first")) & (F.col("gone").isNull() | (F.col("o") < F.col("gone")))).select(F.col("v").alias("from"), F.col("s").alias("to"), "o"), "ready")
+        moved = ready.select(F.col("from").alias("root"), "to")
+        new_roots = materialise(roots.join(moved, "root", "left").select("node_id", F.coalesce("to", "root").alias("root")), "roots")
+        rest = left.join(ready.select("o"), "o", "left_anti")
+        to = lambda c: ready.select(F.col("from").alias(c), F.col("to").alias(f"_{c}"))  # noqa: B023,E731
+        rest = rest.join(to("s"), "s", "left").join(to("v"), "v", "left").select("o", F.coalesce("_s", "s").alias("s"), F.coalesce("_v", "v").alias("v")).where("s <> v")
+        new_left = materialise(rest, "merges")
+        for old in (left, roots, ready):
+            remove(old)
+        left, roots = new_left, new_roots
+    return roots.where("node_id <> root").select("node_id", F.col("root").alias("survivor"))
 
 
 def separate_pairs(sets: DataFrame, ids: str) -> DataFrame:

@@ -81,11 +81,10 @@ def _merges(g):
 
 _MERGES = f"""p AS (SELECT proposal_id AS tm, {ident('suggested_canonical')} AS s, list_filter(list_transform(coalesce(node_ids, []), lambda x: {ident('x')}), lambda x: x IS NOT NULL) AS ids FROM merge_proposals_referenced_sources WHERE section = 'confident'),
 m AS (SELECT DISTINCT survivor, victim, tm FROM (SELECT tm, CASE WHEN list_contains(ids, s) THEN s ELSE list_min(ids) END AS survivor, unnest(ids) AS victim FROM p WHERE len(ids) > 0) WHERE survivor <> victim),
-me AS (SELECT survivor AS a, victim AS b FROM m UNION SELECT victim, survivor FROM m),
-t(id, c) AS (SELECT a, b FROM me UNION SELECT me.a, t.c FROM me JOIN t ON t.id = me.b),
-cc AS (SELECT id, min(c) AS c FROM t GROUP BY 1),
-ls AS (SELECT cc.c, arg_max(m.survivor, (m.tm, m.survivor)) AS survivor FROM m JOIN cc ON cc.id = m.survivor GROUP BY 1),
-mp AS (SELECT cc.id AS node_id, ls.survivor FROM cc JOIN ls USING (c) WHERE cc.id <> ls.survivor)"""
+mo AS (SELECT *, row_number() OVER (ORDER BY tm, survivor, victim) AS i FROM m), mx AS (SELECT DISTINCT x FROM (SELECT survivor AS x FROM m UNION SELECT victim FROM m)),
+fo(i, rt) AS (SELECT CAST(0 AS BIGINT), map_from_entries(list((x, x))) FROM mx UNION ALL
+ SELECT mo.i, map_from_entries(list_transform(map_entries(fo.rt), lambda e: (e.key, CASE WHEN e.value = fo.rt[mo.victim] THEN fo.rt[mo.survivor] ELSE e.value END))) FROM fo JOIN mo ON mo.i = fo.i + 1),
+mp AS (SELECT e.key AS node_id, e.value AS survivor FROM (SELECT unnest(map_entries(rt)) AS e FROM (SELECT rt FROM fo ORDER BY i DESC LIMIT 1)) WHERE e.key <> e.value)"""
 
 
 @add("m9_merge_replay", f"WITH RECURSIVE {_MERGES} SELECT node_id, survivor FROM mp")

@@ -43,6 +43,19 @@ def test_upserts_and_sets(spark, rows):
     assert rows(reconcile.differences(a, a.unionByName(a.limit(1)))) == [("right", "k", 1)]
 
 
+def test_merges_in_their_order(spark, rows):
+    r = random.Random(8)
+    for n in (3, 12, 40):
+        events = [(f"n{r.randrange(n)}", f"n{r.randrange(n)}", r.randrange(30)) for _ in range(2 * n)] + [(None, "n0", 1), ("n0", None, 1)]
+        root = {f"n{i}": f"n{i}" for i in range(n)}
+        for _, s, v in sorted({(at, s, v) for s, v, at in events if s and v and s != v}):
+            a, b = root[s], root[v]
+            root = {k: a if x == b else x for k, x in root.items()}
+        got = dict(rows(ledger.merge_map(spark.createDataFrame(events, "survivor string, victim string, at int")), "node_id", "survivor"))
+        assert got == {k: x for k, x in root.items() if k != x}
+    assert ledger.merge_map(spark.createDataFrame([], "survivor string, victim string, at int")).collect() == []
+
+
 def test_merge_then_undo_changes_nothing(spark, rows):
     edges = spark.createDataFrame([("c1", "a", "mentioned"), ("c1", "b", "subject"), ("c2", "b", None), ("c3", "z", "setting")], "claim_id string, node_id string, salience string")
     merges = spark.createDataFrame([("a", "b", 1), ("q", "a", 2)], "survivor string, victim string, at int")
