@@ -10,7 +10,7 @@ import sys
 #: What each command runs.
 COMMANDS = {
     "stats": "a5_graph_stats", "entailment": "a6_entailment_summary", "propose-pages": "v6_page_proposals", "page-floor": "v7_page_floor_report", "source-spread": "v8_single_source_nodes", "page-set": "b8_page_set", "veto-pages": "m13_vetoes_of_separate_proposals", "apply-pages": "m15_pages_of_confident_proposals",
-    "superseded-pages": "m15_superseded_pages", "duplicate-records": "m20_shingle_classes", "link-works": "m22_works", "same-origin": "m21_same_origin_records", "propose-merges": "e10_merge_proposals", "merge-plan": "e12_merge_plan", "verify-band": "f9_pairs_to_verify", "replay-curation": "m9_merge_replay",
+    "superseded-pages": "m15_superseded_pages", "duplicate-records": "m20_shingle_classes", "link-works": "m22_works", "same-origin": "m21_records_of_one_work", "propose-merges": "e10_merge_proposals", "merge-plan": "e12_merge_plan", "verify-band": "f9_pairs_to_verify", "replay-curation": "m9_merge_replay",
     "apply-renames": "m11_renames", "apply-tags": "m14_tag_outcomes", "belonging": "v17_belonging_standin", "salience": "a7_salience_coverage", "brief-staleness": "v18_page_drift", "briefs": "b1_briefs", "publish-briefs": "s15_published_claims_by_status", "unbuildable-briefs": "b9_unbuildable_briefs", "refile-briefs": "b10_refiled_briefs",
     "export-obsidian": "s16_vault_lines", "doctor": "z12_consistency", "schedule-ingest": "z1_ingest_jobs", "schedule-import": "z2_import_jobs", "schedule-rebuild": "z3_rebuild_jobs", "schedule-digest": "z4_digest_jobs", "review-queue": "z5_review_queue", "schedule-synthesise": "z6_synthesise_jobs",
     "schedule-assemble": "z7_assemble_jobs", "schedule-graph": "z8_graph_jobs", "freshness": "z9_generation_freshness", "duplicate-bindings": "z11_duplicate_bindings", "backfill-claim-hashes": "m25_backfilled_hashes", "embed-missing": "z8_embedding_jobs", "stale-embeddings": "m23_stale_embeddings",

@@ -74,6 +74,22 @@ def overlapping(texts: DataFrame, jaccard: float = JACCARD, containment: float =
     return pairs, membership
 
 
+def same_origin(records: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
+    """(a, b, field), a < b: records that state one source_url or source_id in their front matter,
+    or anywhere if they have none; a stands for all that state the value.
+
+    Values are compared as they are written, without quotes around them. Records that something
+    supersedes take no part; null texts state nothing.
+    """
+    front = F.regexp_extract(F.col(text), r"(?s)\A---\n(.*?)\n---", 1)
+    head = records.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("id"), F.when(front != "", front).otherwise(F.col(text)).alias("head")).where(~F.col("head").rlike(r"(?m)^superseded_by:\s*\S"))
+    lines = head.select("id", F.explode(F.regexp_extract_all("head", F.lit(r"(?m)^((?:source_url|source_id):\s*.+)$"), F.lit(1))).alias("l"))
+    value = F.trim(F.regexp_replace(F.trim(F.regexp_replace("l", r"^\w+:", "")), '^"+|"+$', ""))
+    said = lines.select("id", F.substring_index("l", ":", 1).alias("field"), value.alias("value")).where("value <> ''").distinct()
+    first = said.groupBy("field", "value").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
+    return said.join(first, ["field", "value"]).where("id <> a").select("a", F.col("id").alias("b"), "field").distinct()
+
+
 def _unit(s: pd.Series) -> np.ndarray:
     m = np.array(s.tolist(), dtype=np.float64)
     norm = np.sqrt((m * m).sum(axis=1, keepdims=True))

@@ -213,7 +213,19 @@ def m22(spark, sf):
     return cluster.components(e).select(F.col("id").alias("doc_id"), F.col("component").alias("work_id"))
 
 
-@R.add("m21_same_origin_records", q("rec", "SELECT a.id AS a, b.id AS b FROM rec a JOIN rec b ON a.work_id = b.work_id AND a.id < b.id"))
+#: Texts of records with what they say of their source, and the pairs that say the same.
+CASE_RECORDS = [
+    ("a", '---\ntitle: T\nsource_url: "http://x/1"\nsource_id: 7\n---\nbody\nsource_id: 9\n'), ("b", "---\nsource_url: http://x/1\n---\n"), ("c", "---\nsource_url: http://x/1\nsuperseded_by: b\n---\n"), ("d", "source_id: 7\nno front matter"), ("e", "source_id: 9"),
+    ("f", "---\nsource_url: http://x/1\nsource_id: 7\n---\n"), ("g", "---\nsource_url:\n---\n"), ("h", None), ("i", "---\nsource_url: http://X/1\n---\n"),
+]
+
+
+@R.add("m21_same_origin_cases", "SELECT * FROM (VALUES ('a', 'b', 'source_url'), ('a', 'f', 'source_url'), ('a', 'd', 'source_id'), ('a', 'f', 'source_id')) t(a, b, field)")
+def m21_cases(spark, sf):
+    return pairs.same_origin(spark.createDataFrame(CASE_RECORDS, "id string, text string"))
+
+
+@R.add("m21_records_of_one_work", q("rec", "SELECT a.id AS a, b.id AS b FROM rec a JOIN rec b ON a.work_id = b.work_id AND a.id < b.id"))
 def m21(spark, sf):
     r = Graph(spark, sf).records("work_id").where("work_id IS NOT NULL")
     return r.select(F.col("id").alias("a"), "work_id").join(r.select(F.col("id").alias("b"), "work_id"), "work_id").where("a < b").select("a", "b").distinct()
