@@ -136,7 +136,11 @@ def p8_ids(spark, sf):
     return bpe.encode_corpus(table(spark, sf, "documents"))
 
 
-@R.add("p9_found")
+def _windows_sql(table: str, key: str) -> str:
+    return f"SELECT DISTINCT {key}, array_to_string(w[i:i + {leakage.WORDS - 1}], ' ') AS s FROM (SELECT {key}, w, unnest(range(1, len(w) - {leakage.WORDS - 2})) AS i FROM (SELECT {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table} WHERE text IS NOT NULL) WHERE len(w) >= {leakage.WORDS})"
+
+
+@R.add("p9_found", f"WITH d AS ({_windows_sql('documents', 'doc_id')}), i AS ({_windows_sql('eval_items', 'item_id')}) SELECT DISTINCT doc_id, item_id FROM d JOIN i USING (s)")
 def p9_found(spark, sf):
     return leakage.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "item_id")
 
