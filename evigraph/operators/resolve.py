@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+from collections.abc import Callable
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +20,8 @@ from ..session import materialise
 
 #: Tasks over which the holders of one word are spread.
 SALTS = 8
+#: Letters up to which words meet by what is left when letters are dropped; bits of the bitmap of these.
+LONGEST, BITS = 15, 1 << 26
 
 
 def plain_key(c: str | Column) -> Column:
@@ -33,37 +40,110 @@ def name_edges(nodes: DataFrame, key: Column | None = None) -> DataFrame:
     return pair.select("a", "b", F.when(F.col("types") > 1, F.lit(0.9)).otherwise(F.lit(0.95)).alias("score"))
 
 
+def _remnants(need: dict[tuple[int, int], int], there: np.ndarray | None = None) -> Callable:
+    """A UDF: for each word the hashes of what is left of it, in each way, when it drops letters.
+
+    need: (length of the word, of its partner) -> letters that they have in common. A hash
+    stands for these two lengths and the letters left. there: a bitmap (see _bitmap); only
+    hashes whose bit is set come out.
+    """
+    rate = np.random.default_rng(7).integers(1, 2**63, LONGEST + 2, dtype=np.uint64) | np.uint64(1)
+    steps: dict[int, list[tuple[int, np.uint64]]] = {}
+    for (n, m), common in need.items():
+        steps.setdefault(n, []).append((common, np.uint64((min(n, m) * 64 + max(n, m)) * int(rate[-1]) % 2**64)))
+
+    @F.pandas_udf("array<bigint>")
+    def keys(t: pd.Series) -> pd.Series:
+        words, out = t.tolist(), np.empty(len(t), object)
+        by: dict[int, list[int]] = {}
+        for i, x in enumerate(words):
+            out[i] = np.zeros(0, np.int64)
+            by.setdefault(len(x), []).append(i)
+        for n, every in by.items():
+            for at in range(0, len(every) if n in steps else 0, 512):
+                rows = every[at : at + 512]
+                code = np.array([[ord(c) for c in words[i]] for i in rows], np.uint64) + np.uint64(1)
+                found = []
+                for common, role in steps[n]:
+                    kept = np.array(list(itertools.combinations(range(n), common)))
+                    h = np.zeros((len(rows), len(kept)), np.uint64)
+                    for j in range(common):
+                        h += code[:, kept[:, j]] * rate[j]
+                    h = (h + role) * rate[-2]
+                    found.append(h ^ (h >> np.uint64(29)))
+                h = np.concatenate(found, axis=1)
+                ok = np.ones(h.shape, bool) if there is None else _in_bitmap(h, there)
+                for i, x, y in zip(rows, h, ok, strict=True):
+                    out[i] = np.unique(x[y]).view(np.int64)
+        return pd.Series(out)
+
+    return keys
+
+
+def _in_bitmap(h: np.ndarray, there: np.ndarray) -> np.ndarray:
+    bit = (h & np.uint64(BITS - 1)).astype(np.int64)
+    return (there[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """The bits, BITS in all, that the low bits of the keys k name."""
+    part = keys.select(F.shiftright(F.col("k").bitwiseAND(F.lit(BITS - 1)), 15).alias("part"), F.col("k").bitwiseAND(F.lit((1 << 15) - 1)).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in part.collect():  # BITS / 8 bytes
+        out[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
 def near_tokens(tokens: DataFrame, least: float = 0.81) -> DataFrame:
     """(t, u): pairs of different tokens whose ratio 2 LCS / (n + m) is at least
-    `least`, both ways.
+    `least`, both ways. tokens: (t), and if wanted mine: of a pair one token is mine.
 
-    Lossless: L = ceil(least (n + m) / 2) letters are common, so the shorter token t loses
-    n - L letters and gains m - L, and with them at most 2 (n - L) + (m - L) of its bigrams.
-    One of its rarest bigrams, that many and one, is also u's; only those are joined, cut by the
-    edit distance, and the ratio is taken of what is left.
+    Lossless: L = ceil(least (n + m) / 2) letters are common, so both words leave the same L
+    letters when the shorter drops n - L and the longer m - L of its own. Words of up to LONGEST
+    letters meet by the hash of these letters; the longer word has more ways to drop letters,
+    and of these only such as a bitmap of the shorter words' ways may hold are spread. Pairs
+    with a longer word see _near_long. The ratio is taken of what meets.
+    """
+    mine = F.max("mine") if "mine" in tokens.columns else F.lit(True)
+    t = materialise(tokens.where(F.length("t") >= 3).groupBy("t").agg(mine.alias("mine")), "words")
+    need = {(n, m): c for n in range(3, LONGEST + 1) for m in range(3, LONGEST + 1) if (c := math.ceil(least / 2 * (n + m) - 1e-9)) <= min(n, m)}
+    rows = lambda keep, there=None: spread(t.where(F.length("t") <= LONGEST)).select("t", "mine", F.explode(_remnants({k: c for k, c in need.items() if keep(*k)}, there)("t")).alias("k"))
+    shorter = materialise(rows(lambda n, m: n < m), "shorter_words")
+    longer = rows(lambda n, m: n > m, _bitmap(shorter))
+    equal = materialise(rows(lambda n, m: n == m), "equal_words")
+    other = lambda x: x.select(F.col("t").alias("u"), F.col("mine").alias("_mine"), "k")
+    pairs = shorter.join(other(longer), "k").unionByName(equal.join(other(equal), "k").where("t < u")).where("mine OR _mine").select("t", "u")
+    pairs = pairs.unionByName(_near_long(t, least)).distinct()
+    near = materialise(spread(pairs).where(ratio_udf("t", "u") >= least), "near_pairs")
+    return near.unionByName(near.select(F.col("u").alias("t"), F.col("t").alias("u")))
+
+
+def _near_long(words: DataFrame, least: float) -> DataFrame:
+    """(t, u): candidates of near_tokens whose longer word u has more than LONGEST letters.
+
+    The shorter word t loses n - L letters and gains m - L, and with them at most
+    2 (n - L) + (m - L) of its bigrams. One of its rarest bigrams (by the long words that hold
+    them), that many and one, is also u's; only those are joined, cut by the edit distance.
     """
-    t = tokens.select("t").distinct().where(F.length("t") >= 3)
     gram = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: F.substring(F.col("t"), i, F.lit(2))))
-    sets = materialise(t.select("t", F.length("t").alias("n"), gram.alias("gs")), "grams")
-    grams = sets.select("t", "n", F.explode("gs").alias("g"))
-    df = grams.groupBy("g").agg(F.count("*").alias("df"))
-    w = W.partitionBy("t").orderBy("df", "g")
-    g = materialise(grams.join(df, "g").withColumn("p", F.row_number().over(w)), "ranked_grams")
-    a = g.select("t", "n", "g", "p")
-    b = g.select(F.col("t").alias("u"), F.col("n").alias("m"), "g")
+    # the shorter word holds the common letters, at least `least` / 2 of both
+    grams = words.where(F.length("t") >= math.ceil(least / (2 - least) * (LONGEST + 1) - 1e-9)).select("t", "mine", F.length("t").alias("n"), F.explode(gram).alias("g"))
+    long = materialise(grams.where(F.col("n") > LONGEST), "long_grams")
+    df = long.groupBy("g").agg(F.count("*").alias("df"))
+    w = W.partitionBy("t").orderBy(F.coalesce("df", F.lit(0)), "g")
+    a = grams.join(df, "g", "left").withColumn("p", F.row_number().over(w)).where("df > 0").drop("df")
+    b = long.select(F.col("t").alias("u"), F.col("mine").alias("_mine"), F.col("n").alias("m"), "g")
     common = F.ceil(F.lit(least / 2) * (F.col("n") + F.col("m")) - 1e-9)
     lost = 2 * (F.col("n") - common) + (F.col("m") - common)
     shorter = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("t") < F.col("u")))
     # an edit is at most one letter lost and one gained, so edits can't be more than those
     edits = F.levenshtein("t", "u") <= F.col("n") + F.col("m") - 2 * common
-    pairs = a.join(b, "g").where(shorter & (common <= F.col("n")) & (F.col("p") <= lost + 1) & edits).select("t", "u").distinct()
-    near = spread(pairs).where(ratio_udf("t", "u") >= least)
-    return near.unionByName(near.select(F.col("u").alias("t"), F.col("t").alias("u")))
+    return a.join(b, "g").where("mine OR _mine").where(shorter & (common <= F.col("n")) & (F.col("p") <= lost + 1) & edits).select("t", "u").distinct()
 
 
 def _name_tokens(names: DataFrame) -> DataFrame:
-    """(kind, name, form, t, last, number): the kernel's tokens of each name as it is (form 0) and
-    with declared acronyms collapsed (form 1); last = of its last comma part, number = with
+    """names with (form, t, last, number): the kernel's tokens of each name as it is (form 0) and with
+    declared acronyms collapsed (form 1); last = of its last comma part, number = with
     digits, which the kernel doesn't ask a counterpart for."""
     @F.pandas_udf("array<struct<form:int,t:string,last:boolean,number:boolean>>")
     def split(name: pd.Series) -> pd.Series:
@@ -71,56 +151,67 @@ def _name_tokens(names: DataFrame) -> DataFrame:
             forms = dict.fromkeys([n.lower(), kernel.collapse_acronyms(n.lower())])
             out = []
             for form, f in enumerate(forms):
-                tail, every = set(kernel.tokens(f.split(",")[-1])), kernel.tokens(f)
+                tail, every = set(kernel.tokens([c for c in f.split(",") if c.strip()][-1])) if f.strip(" ,") else set(), kernel.tokens(f)
                 telling = [x for x in every if x not in kernel.STOP] or every
                 out += [{"form": form, "t": x, "last": x in tail, "number": any(c.isdigit() for c in x)} for x in dict.fromkeys(telling)]
             return out
 
         return name.map(one)
 
-    return names.select("kind", "name", F.explode(split("name")).alias("x")).select("kind", "name", "x.*")
+    return names.withColumn("x", F.explode(split("name"))).select(*names.columns, "x.*")
 
 
-def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75) -> DataFrame:
-    """(kind, a, b, similarity): names of one kind whose kernel similarity is at least `least`.
+def fuzzy_pairs(left: DataFrame, right: DataFrame, least: float = 0.75, once: bool = False) -> DataFrame:
+    """(kind, a, b, similarity): names of one kind whose kernel similarity is at least `least`;
+    once leaves out those with a >= b.
 
     left and right: (kind, name), distinct. Two names can only be similar if every telling
     word of one without digits has a counterpart in the other. So each name asks with its rarest
     word without digits and the rarest such of its last comma part, for a near spelling; and with
     its rarer words after the rarest where the other holds an initial of that. Both sides ask,
     in either spelling (acronyms as declared or collapsed). Words with digits ask as well, in
-    the same way: names of numbers or of initials and numbers have no other. Scored once per
-    distinct pair; a word that many names hold is spread by the holders.
+    the same way: names of numbers or of initials and numbers have no other. Only names of
+    different sides meet, where a side is all of left or of right. Scored once per distinct
+    pair; a word that many names hold is spread by the holders.
     """
-    every = materialise(_name_tokens(left.unionByName(right).distinct()), "name_tokens")
-    near = materialise(near_tokens(every.select("t")), "near_tokens")
+    sides = left.select("kind", "name", F.lit(True).alias("l"), F.lit(False).alias("r")).unionByName(right.select("kind", "name", F.lit(False).alias("l"), F.lit(True).alias("r")))
+    sides = sides.groupBy("kind", "name").agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    every = materialise(_name_tokens(sides), "name_tokens")
+    near = near_tokens(every.select("t", F.col("l").alias("mine")))
     counts = every.groupBy("kind", "t").agg(F.countDistinct("name").alias("df"))
-    placed = materialise(every.join(counts, ["kind", "t"]).where(F.length("t") > 1), "asks")
+    # a word asks for its near ones too: a misspelled frequent word isn't rare
+    holders = counts.unionByName(near.join(counts.withColumnRenamed("t", "u"), "u").select("kind", "t", "df")).groupBy("kind", "t").agg(F.sum("df").alias("df"))
+    placed = materialise(every.join(holders, ["kind", "t"]).where(F.length("t") > 1), "asks")
     w = W.partitionBy("kind", "name", "form").orderBy("df", "t")
     asks = second = None
     for words in (placed, placed.where("NOT number")):
         ranked = words.withColumns({"p": F.row_number().over(w), "first": F.first("t").over(w)})
         tails = words.where("last").withColumn("p", F.row_number().over(w)).where(F.contains("name", F.lit(",")) & (F.col("p") == 1))
-        one = ranked.where("p = 1").select("kind", "name", "t").unionByName(tails.select("kind", "name", "t"))
+        one = ranked.where("p = 1").select("kind", "name", "l", "r", "t", F.lit(False).alias("part")).unionByName(tails.select("kind", "name", "l", "r", "t", F.lit(True).alias("part")))
         # the rarest word may stand as an initial on the other side: then one of the next must be there
-        two = ranked.where("p >= 2").select("kind", "name", "t", F.substring("first", 1, 1).alias("letter"))
+        two = ranked.where("p >= 2").select("kind", "name", "l", "r", "t", F.substring("first", 1, 1).alias("letter"))
         asks, second = (one, two) if asks is None else (asks.unionByName(one).distinct(), second.unionByName(two).distinct())
+    asks, second = materialise(asks, "first_asks"), materialise(second, "second_asks")
     initials = every.where(F.length("t") == 1).select("kind", F.col("name").alias("other"), F.col("t").alias("letter")).distinct()
-    has = every.select("kind", F.col("name").alias("other"), "t").distinct()
+    # last parts are compared with last parts; a word over a comma may belong to either
+    part = F.contains("name", F.lit(",")) & (F.col("last") | F.contains("t", F.lit(",")))
+    has = every.groupBy("kind", F.col("name").alias("other"), F.col("l").alias("other_l"), F.col("r").alias("other_r"), "t").agg(F.max(part).alias("other_part"))
 
     def wide(x: DataFrame) -> DataFrame:
         return x.unionByName(x.join(near, "t").select(*[F.col("u").alias("t") if c == "t" else F.col(c) for c in x.columns])).distinct()
 
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     salted = lambda x: x.withColumn("salt", F.explode(salts))
+    has = materialise(has, "held")
     held = has.withColumn("salt", F.pmod(F.xxhash64("other"), F.lit(SALTS)).cast("int"))
-    hits = salted(wide(asks)).join(held, ["kind", "t", "salt"]).select("kind", "name", "other")
-    short = salted(wide(second)).join(held.join(initials, ["kind", "other"]), ["kind", "t", "letter", "salt"]).select("kind", "name", "other")
-    hits = hits.unionByName(short).distinct()
-    is_left = left.select("kind", F.col("name").alias("a"))
-    is_right = right.select("kind", F.col("name").alias("b"))
-    both = hits.select("kind", F.col("name").alias("a"), F.col("other").alias("b")).unionByName(hits.select("kind", F.col("other").alias("a"), F.col("name").alias("b"))).distinct()
-    both = both.join(is_left, ["kind", "a"], "left_semi").join(is_right, ["kind", "b"], "left_semi")
+    across = (F.col("l") & F.col("other_r")) | (F.col("r") & F.col("other_l"))
+    side = ["kind", "name", "other", "l", "r", "other_l", "other_r"]
+    hits = salted(wide(asks)).join(held, ["kind", "t", "salt"]).where(across & (~F.col("part") | F.col("other_part"))).select(*side)
+    # few names hold initials, so these are widened and not the frequent words that ask
+    short = salted(second).join(wide(held.join(initials, ["kind", "other"])), ["kind", "t", "letter", "salt"]).where(across).select(*side)
+    ways = [F.when(F.col("l") & F.col("other_r"), F.struct(F.col("name").alias("a"), F.col("other").alias("b"))), F.when(F.col("r") & F.col("other_l"), F.struct(F.col("other").alias("a"), F.col("name").alias("b")))]
+    both = hits.unionByName(short).select("kind", F.explode(F.array_compact(F.array(*ways))).alias("x")).select("kind", "x.a", "x.b")
+    both = materialise((both.where("a < b") if once else both).distinct(), "candidates")
     return spread(both).withColumn("similarity", similarity_udf("a", "b")).where(F.col("similarity") >= least)
 
 
@@ -134,7 +225,7 @@ def fuzzy_edges(nodes: DataFrame, least: float = 0.75) -> DataFrame:
     n = nodes.select("id", F.col("node_type").alias("kind"), "name").where("name IS NOT NULL")
     reps = materialise(n.groupBy("kind", "name").agg(F.min("id").alias("rep")), "representatives")
     names = reps.select("kind", "name")
-    p = fuzzy_pairs(names, names, least).where("a < b")
+    p = fuzzy_pairs(names, names, least, once=True)
     of = lambda c, i: reps.select("kind", F.col("name").alias(c), F.col("rep").alias(i))
     between = p.join(of("a", "i"), ["kind", "a"]).join(of("b", "j"), ["kind", "b"]).select("i", "j", F.col("similarity").alias("s"))
     same = n.join(reps, ["kind", "name"]).where("id <> rep").select(F.col("rep").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("s"))

@@ -178,3 +178,24 @@ def test_search(spark, rows):
     assert got[0] == ("a", -0.25) and {g[0] for g in got} == {"a", "b", "c"}
     assert [r.id for r in search.hybrid_search(docs, vec, "zzz", [0.0, 1.0], limit=1).collect()] == ["c"]
     assert [r.id for r in search.hybrid_search(docs, vec, "radar", [1.0, 0.0], limit=1, rerank=lambda p: [float(t == "nothing") for _, t in p]).collect()] == ["c"]
+
+
+def test_fuzzy_pairs_of_two_sides(spark, monkeypatch):
+    frequent = [("organisation", f"{x} Observation Bureau") for x in ("Kelm", "Dorvik", "Tandrel", "Moskwin", "Brelund")]
+    left = [("organisation", "Kelm Obsrvation Bureau"), ("person", "A. Marsh"), ("place", "Peru, Lima, Dock")]
+    right = [*frequent, ("person", "Adam Marsh"), ("place", "Lima, Dock"), ("place", "Dock, Harbour"), ("person", "Adem Marsh")]
+    tables, wrote = {}, resolve.materialise
+    monkeypatch.setattr(resolve, "materialise", lambda df, name, *more: tables.setdefault(name, wrote(df, name, *more)))
+    df = lambda x: spark.createDataFrame(x, "kind string, name string")
+    got = {(r.kind, r.a, r.b): r.similarity for r in resolve.fuzzy_pairs(df(left), df(right)).collect()}
+    assert got == {(k, a, b): kernel.similarity(a, b) for k, a in left for q, b in right if k == q and kernel.similarity(a, b) >= kernel.FUZZY}
+    # names of one side aren't compared, nor names that share a misspelled frequent word alone
+    assert {(r.a, r.b) for r in tables["candidates"].collect()} == {(a, b) for _, a, b in got}
+
+
+def test_near_tokens_of_any_length(spark):
+    r = random.Random(5)
+    words = {"".join(r.choices("abcde", k=r.randint(9, 24))) for _ in range(80)}
+    words |= {"".join(c for i, c in enumerate(w) if i not in r.sample(range(len(w)), r.randint(1, 4))) for w in list(words)} | {w[:6] + "yx" + w[6:] for w in list(words)[:40]}
+    got = [(x.t, x.u) for x in resolve.near_tokens(spark.createDataFrame([(w,) for w in words], "t string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a in words for b in words if a != b and kernel.ratio(a, b) >= 0.81}
