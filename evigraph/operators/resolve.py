@@ -237,7 +237,7 @@ def fuzzy_edges(nodes: DataFrame, least: float = 0.75) -> DataFrame:
 TIERS = ("exact", "alias", "equivalent", "acronym", "punctuation", "nickname", "fuzzy")
 
 
-def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: DataFrame, fuzzy: bool = True) -> DataFrame:
+def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: DataFrame, upto: str = "fuzzy") -> DataFrame:
     """(kind, name, node_id, tier, score): what each asked (kind, name) resolves to, by the first
     tier that finds a live node of its type.
 
@@ -247,16 +247,19 @@ def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: Da
     names and declared acronyms the most referenced wins, then the smaller id; elsewhere the
     node that came first (seq, where nodes have it), then the smaller id. Descriptions in
     brackets match nothing, and a person's name without a family name neither matches nor is
-    matched (see match_in_record). Each tier is one join over distinct names.
+    matched (see match_in_record). Each tier is one join over distinct names; those behind
+    `upto` aren't run.
     """
     scoped = (F.col("kind") == "person") & names.record_scoped("name")
     asked = asked.select("kind", "name").where(F.col("name").isNotNull() & ~text.is_description("name") & ~scoped).distinct()
     bare = (F.length(F.trim("name")) <= kernel.BARE) & ~F.contains(F.trim("name"), F.lit(" ")) & (F.upper("name") == F.col("name")) & (F.trim("name") != "")
-    asked = materialise(asked.withColumns({"key": kernel.equivalence_udf("name"), "blind": text.blind_key("name"), "bare": bare}), "asked")
+    # exact names and aliases need no keys
+    key = F.lit(None).cast("string") if TIERS.index(upto) < 2 else kernel.equivalence_udf("name")
+    asked = materialise(asked.withColumns({"key": key, "blind": text.blind_key("name"), "bare": bare}), "asked")
     order = F.col("seq") if "seq" in nodes.columns else F.lit(0)
     n = nodes.select(F.col("node_type").alias("kind"), "name", F.col("id").alias("node_id"), order.cast("bigint").alias("seq")).where(F.col("name").isNotNull())
     n = n.where(~((F.col("kind") == "person") & names.record_scoped("name"))).distinct().join(refs, "node_id", "left").withColumn("refs", F.coalesce("refs", F.lit(0)))
-    keys = n.select("name").distinct().withColumns({"key": kernel.equivalence_udf("name"), "blind": text.blind_key("name"), "acr": text.trailing_acronym("name")})
+    keys = n.select("name").distinct().withColumns({"key": key, "blind": text.blind_key("name"), "acr": text.trailing_acronym("name")})
     n = materialise(n.join(keys, "name").withColumnRenamed("name", "node_name"), "spelled")
     other = aliases.select("alias", "node_id").distinct().join(n.select("kind", "node_id", "node_name", "seq", "refs"), "node_id")
     found = []
@@ -277,11 +280,12 @@ def match_names(asked: DataFrame, nodes: DataFrame, aliases: DataFrame, refs: Da
     spelled_people = n.where("kind = 'person'").select("kind", "node_name").distinct().withColumn("tail", rest("node_name"))
     nick = spread(people.join(spelled_people, ["kind", "tail"])).where(kernel.nickname_udf("name", "node_name")).select("kind", "name", "node_name")
     tier(nick.join(n.select("kind", "node_name", "node_id", "seq", "refs"), ["kind", "node_name"]), "nickname", False)
+    found = found[: TIERS.index(upto) + 1]
     first = found[0]
     for x in found[1:]:
         first = first.unionByName(x)
-    first = materialise(first, "tiers")
-    if fuzzy:
+    if upto == "fuzzy":
+        first = materialise(first, "tiers")
         left = asked.join(first.select("kind", "name").distinct(), ["kind", "name"], "left_anti").select("kind", "name")
         spelled = n.select("kind", F.col("node_name").alias("name")).unionByName(other.select("kind", F.col("alias").alias("name"))).distinct()
         p = materialise(fuzzy_pairs(left, spelled), "fuzzy_pairs")

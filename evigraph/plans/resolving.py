@@ -163,11 +163,15 @@ def _asked(g):
     return r.unionByName(gone).where("kind IS NOT NULL AND name <> ''").distinct()
 
 
-@R.add("e2_matched_names")
-def e2(spark, sf):
+def _matched(spark, sf, **how):
     g = Graph(spark, sf)
     refs = g.edges().groupBy("node_id").agg(F.count("*").alias("refs"))
-    return resolve.match_names(_asked(g), g.nodes("node_type", "name", "seq"), g.aliases(), refs)
+    return resolve.match_names(_asked(g), g.nodes("node_type", "name", "seq"), g.aliases(), refs, **how)
+
+
+@R.add("e2_matched_names")
+def e2(spark, sf):
+    return _matched(spark, sf)
 
 
 #: A small graph and what is asked of it: (kind, name, node, tier), one or more for each tier.
@@ -203,7 +207,8 @@ m AS (SELECT a.kind, a.name, s.id AS node_id, s.p, row_number() OVER (PARTITION
  WHERE NOT (a.kind = 'person' AND a.name IN (SELECT name FROM u)) AND NOT regexp_full_match(a.name, '\\s*\\[[^\\[\\]]+\\]\\s*'))
 SELECT kind, name, node_id, CASE p WHEN 0 THEN 'exact' ELSE 'alias' END AS tier FROM m WHERE k = 1"""))
 def e2_exact(spark, sf):
-    return e2(spark, sf).where("tier IN ('exact', 'alias')").select("kind", "name", "node_id", "tier")
+    """The first two tiers: what they find no later one changes, so the later ones aren't run."""
+    return _matched(spark, sf, upto="alias").select("kind", "name", "node_id", "tier")
 
 
 @R.add("e4_people_of_records", q("node alias nc", f"""

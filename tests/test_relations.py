@@ -199,3 +199,13 @@ def test_near_tokens_of_any_length(spark):
     words |= {"".join(c for i, c in enumerate(w) if i not in r.sample(range(len(w)), r.randint(1, 4))) for w in list(words)} | {w[:6] + "yx" + w[6:] for w in list(words)[:40]}
     got = [(x.t, x.u) for x in resolve.near_tokens(spark.createDataFrame([(w,) for w in words], "t string")).collect()]
     assert len(got) == len(set(got)) and set(got) == {(a, b) for a in words for b in words if a != b and kernel.ratio(a, b) >= 0.81}
+
+
+def test_match_of_the_first_tiers(spark, monkeypatch):
+    from evigraph.plans import resolving
+
+    monkeypatch.setattr(resolve, "fuzzy_pairs", lambda *a, **k: 1 / 0)
+    nodes = spark.createDataFrame(resolving.CASE_NODES, "id string, node_type string, name string, seq long")
+    asked = spark.createDataFrame([c[:2] for c in resolving.CASE_MATCHES], "kind string, name string")
+    out = resolve.match_names(asked, nodes, spark.createDataFrame(resolving.CASE_ALIASES, "alias string, node_id string"), spark.createDataFrame(resolving.CASE_REFS, "node_id string, refs long"), upto="alias")
+    assert {tuple(r)[:4] for r in out.collect()} == {c[:4] for c in resolving.CASE_MATCHES if c[3] in ("exact", "alias")}
