@@ -27,3 +27,10 @@ def test_windows(spark, small):
 
     df = streams._run(spark, ingest.windowed(ingest.stream_of(spark, small, "events.parquet")), "complete")
     assert df.agg({"n": "sum"}).first()[0] == spark.read.parquet(f"{small}/events.parquet").count()
+
+
+def test_results_stay_off_the_driver(spark, small):
+    from evigraph.plans import streams
+
+    df = streams.st2(spark, small)
+    assert df.inputFiles() and df.agg({"n": "sum"}).first()[0] == spark.read.parquet(f"{small}/events.parquet").count()
